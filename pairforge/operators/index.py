@@ -93,6 +93,17 @@ def seeded_shuffle(df: DataFrame, seed, key_cols, name: str = "shuffle_idx") ->
     return dense_index(df.withColumn("_pf_h", dhash(seed, *keys)), [F.col("_pf_h")] + keys, name).drop("_pf_h")
 
 
+def shuffled_head(df: DataFrame, seed, key_cols, k: int, name: str = "pos") -> DataFrame:
+    """O3 + O4: the first ``k`` rows of the seeded shuffle, with their
+    position.  Only a per-task top-k heap is shuffled (TakeOrderedAndProject);
+    the numbering window runs over the ``k`` survivors."""
+    keys = _cols(key_cols)
+    head = (df.withColumn("_pf_h", dhash(seed, *keys))
+              .orderBy(F.col("_pf_h"), *keys).limit(k))
+    w = Window.orderBy(F.col("_pf_h"), *keys)
+    return head.withColumn(name, (F.row_number().over(w) - 1).cast("bigint")).drop("_pf_h")
+
+
 def take_first(df: DataFrame, order_cols, k: int) -> DataFrame:
     """First ``k`` rows in a total order (TakeOrderedAndProject)."""
     return df.orderBy(*_cols(order_cols)).limit(k)

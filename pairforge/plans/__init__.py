@@ -6,4 +6,5 @@ from pairforge.plans.registry import ORACLE, QUERIES  # noqa: F401
 from pairforge.plans import (  # noqa: F401  (imports register the queries)
     pairing,
     text,
+    splitting,
 )
