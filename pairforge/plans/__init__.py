@@ -7,4 +7,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     pairing,
     text,
     splitting,
+    evaluation,
 )
