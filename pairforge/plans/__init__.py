@@ -8,4 +8,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     text,
     splitting,
     evaluation,
+    candidates,
 )

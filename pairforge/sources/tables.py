@@ -14,7 +14,20 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one table.  ``spread=True`` is for CPU-heavy per-row work: see
+    ``spread_partitions``."""
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return spread_partitions(df) if spread else df
+
+
+def spread_partitions(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than task slots (one
+    small file, one row group) so CPU-bound text work uses every core.  A
+    large input already has at least that many splits and is left alone."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
