@@ -9,4 +9,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     splitting,
     evaluation,
     candidates,
+    featurize,
 )
