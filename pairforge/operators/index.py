@@ -10,6 +10,7 @@ is safe at any data size).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,15 +33,22 @@ def dense_index(df: DataFrame, order_cols, name: str = "idx", *, total: str | No
                 num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based rank of each row in ``order_cols`` order.
 
-    ``order_cols`` must form a total order (add a unique tie-breaker), so
-    the numbering is deterministic whatever the partitioning.  With
-    ``total`` set, the row count is attached in that column as well.
+    ``order_cols`` must form a total order of non-NULL values (add a unique
+    tie-breaker), so the numbering is deterministic whatever the
+    partitioning.  With ``total`` set, the row count is attached as well.
+
+    The range-partitioned, sorted frame is persisted: the per-partition
+    count branch and the numbering branch then read the very same
+    partitions (one shuffle, one set of range bounds).  A lost cached block
+    is recomputed from the same shuffle and partitioner, so it comes back
+    identical.
     """
     order = _cols(order_cols)
     n = _num_partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n, *order)
+    ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
-                .withColumn("_pf_mid", F.monotonically_increasing_id()))
+                .persist(StorageLevel.MEMORY_AND_DISK))
+    tagged = ranged.withColumn("_pf_mid", F.monotonically_increasing_id())
     tagged = (tagged.withColumn("_pf_pid", F.shiftright(F.col("_pf_mid"), _POS_BITS))
                     .withColumn("_pf_pos", F.col("_pf_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
     # One row per non-empty partition: bounded by n, so the broadcast is safe.
