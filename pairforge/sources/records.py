@@ -42,14 +42,15 @@ def decode_strict(lines: DataFrame, value: str = "value", delim: str = RECORD_DE
     """Label as int, func2 newlines -> spaces; bad rows keep an
     ``error`` (wrong field count, non-integer label) for the quarantine."""
     parts = split_keep_empty(F.col(value), delim)
-    label_txt = F.trim(parts[0])
+    part = lambda i: F.get(parts, i)  # noqa: E731  (NULL past the end; short rows are flagged)
+    label_txt = F.trim(part(0))
     label = label_txt.try_cast("int")
-    f1, f2 = parts[3], newline_to_space(parts[4])
+    f1, f2 = part(3), newline_to_space(part(4))
     if trim_funcs:
         f1, f2 = py_strip(f1), py_strip(f2)
     error = (F.when(F.size(parts) < 5, F.lit("too_few_fields"))
               .when(label.isNull(), F.lit("label_not_int")))
-    return lines.select(label.alias("label"), parts[1].alias("codehash1"), parts[2].alias("codehash2"),
+    return lines.select(label.alias("label"), part(1).alias("codehash1"), part(2).alias("codehash2"),
                         f1.alias("func1"), f2.alias("func2"), error.alias("error"))
 
 
