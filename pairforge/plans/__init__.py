@@ -10,4 +10,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     evaluation,
     candidates,
     featurize,
+    vocab,
 )
