@@ -11,4 +11,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     candidates,
     featurize,
     vocab,
+    extraction,
 )
