@@ -12,4 +12,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     featurize,
     vocab,
     extraction,
+    ops,
 )
