@@ -13,4 +13,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     vocab,
     extraction,
     ops,
+    models,
 )
