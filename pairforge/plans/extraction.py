@@ -68,11 +68,14 @@ def derived_contracts(spark, sf_dir):
 
 
 def extracted(spark, sf_dir):
+    """Both function tables, checkpointed: every later branch (matching,
+    ranking, sampling) reads the written tables instead of re-running the
+    extraction windows."""
     src, dec = derived_contracts(spark, sf_dir)
     s = X.last_definition(X.extract_functions(src, "codehash", "text", "contract"))
     d = X.extract_functions(dec, "codehash", "text", "decompiled")
     d = X.last_definition(records.ok_rows(d))
-    return s, d
+    return s.checkpoint(), d.checkpoint()
 
 
 @query("extract_functions")
@@ -93,3 +96,33 @@ def contract_pairs(spark, sf_dir):
     lines = records.ok_rows(records.encode_records(pn))
     return lines.select("label", "codehash1", "codehash2", "selector1", "selector2",
                         F.length("value").alias("line_chars"), F.md5("value").alias("line_md5"))
+
+
+@query("linearize_functions")
+def linearize_functions(spark, sf_dir):
+    """The linear form of every extracted function; failures keep an error."""
+    from pairforge.operators import linearize as L
+    s, d = extracted(spark, sf_dir)
+    both = s.select("codehash", "side", "selector", "text").unionByName(d.select("codehash", "side", "selector", "text"))
+    out = L.linearize(both, "text")
+    return out.select("codehash", "side", "selector", F.length("linear").alias("n_chars"),
+                      F.md5("linear").alias("linear_md5"), F.col("linear_error").alias("error"))
+
+
+@query("linearize_pair_splits")
+def linearize_pair_splits(spark, sf_dir):
+    """Pair records -> both functions linearised (append mode) -> failed
+    pairs quarantined -> ids re-numbered -> 70/20/10 split; rows per split,
+    label and status."""
+    from pairforge.operators import linearize as L
+    from pairforge.operators import splits
+    from pairforge.operators.index import dense_index
+    s, d = extracted(spark, sf_dir)
+    pn = pairs.pos_neg_pairs(s.select("codehash", "selector", "text"), d.select("codehash", "selector", "text"))
+    lin = L.linearize_pairs(pn, ["func1", "func2"], mode="append")
+    good = dense_index(lin.filter(F.col("error").isNull()), ["codehash1", "selector1"], "id")
+    sp = splits.ordered_split(good, ["id"])
+    ok = sp.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+    bad = lin.filter(F.col("error").isNotNull()).groupBy(F.lit("quarantine").alias("split"), "label").agg(
+        F.count(F.lit(1)).alias("n"))
+    return ok.unionByName(bad)

@@ -33,6 +33,9 @@ def build_session(master: str | None = None, app: str = "pairforge",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.memory", os.environ.get("PAIRFORGE_DRIVER_MEMORY", "12g"))
     for k, v in SESSION_DEFAULTS.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
