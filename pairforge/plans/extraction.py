@@ -126,3 +126,91 @@ def linearize_pair_splits(spark, sf_dir):
     bad = lin.filter(F.col("error").isNotNull()).groupBy(F.lit("quarantine").alias("split"), "label").agg(
         F.count(F.lit(1)).alias("n"))
     return ok.unionByName(bad)
+
+
+def _q(s: str) -> str:
+    return s.replace("'", "''")
+
+
+_WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in X.KEYWORDS + X.SIZED_TYPES) + "]"
+
+_EXTRACT_SQL = f"""
+WITH body AS (SELECT conv_id, turn, '0x' || md5(CAST(conv_id AS VARCHAR)) AS codehash, replace(text, '*/', '* /') AS b
+              FROM conversations WHERE turn % 2 = 0),
+src AS (SELECT codehash, 'contract C {{' || chr(10) || '  uint total;' || chr(10)
+               || string_agg('function f' || CAST(turn // 2 AS VARCHAR) || '(uint amount, address to) public returns (bool) {{ /* '
+                             || b || ' */ total = total + amount; return true; }}' || chr(10), '' ORDER BY turn)
+               || '}}' || chr(10) AS text
+        FROM body GROUP BY codehash),
+raw AS (SELECT codehash, unnest(l) AS tok, unnest(range(len(l))) AS pos
+        FROM (SELECT codehash, regexp_extract_all(text, '{_q(X.TOKEN_RX)}') AS l FROM src)),
+tk AS (SELECT *, CASE WHEN regexp_matches(tok, '^([ \\t\\r\\n\\x0c]|/\\*|//)') THEN 'ws'
+                      WHEN tok IN ('function', 'modifier') THEN 'fn'
+                      WHEN regexp_matches(tok, '{X.SIGNATURE_TYPE_RX}') THEN 'sigtype'
+                      WHEN regexp_matches(tok, '^[A-Za-z_$]') AND NOT list_contains({_WORDS_SQL}, tok)
+                           AND NOT regexp_matches(tok, '{X.FIXED_RX}') THEN 'ident'
+                      WHEN tok = ')' THEN 'rparen' WHEN tok = '{{' THEN 'lbrace' WHEN tok = '}}' THEN 'rbrace'
+                      WHEN tok = ';' THEN 'semi' WHEN tok = '[' THEN 'lbrack' ELSE 'other' END AS kind
+       FROM raw),
+t AS (SELECT *,
+        sum(CASE WHEN kind = 'lbrace' THEN 1 WHEN kind = 'rbrace' THEN -1 ELSE 0 END)
+          OVER (PARTITION BY codehash ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS depth,
+        min(CASE WHEN kind = 'ident' THEN pos END) OVER w AS next_ident,
+        first_value(CASE WHEN kind = 'ident' THEN tok END IGNORE NULLS) OVER w AS next_name,
+        min(CASE WHEN kind = 'rparen' THEN pos END) OVER w AS next_rparen,
+        min(CASE WHEN kind IN ('lbrace', 'semi') THEN pos END) OVER w AS next_body,
+        lead(kind) OVER (PARTITION BY codehash ORDER BY pos) AS next_kind
+      FROM tk WINDOW w AS (PARTITION BY codehash ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)),
+br AS (SELECT codehash, pos, kind, CASE WHEN kind = 'lbrace' THEN depth ELSE depth + 1 END AS level
+       FROM t WHERE kind IN ('lbrace', 'rbrace')),
+closes AS (SELECT codehash, body, close FROM (
+             SELECT codehash, pos AS body, kind,
+                    min(CASE WHEN kind = 'rbrace' THEN pos END) OVER (PARTITION BY codehash, level ORDER BY pos
+                        ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS close FROM br) WHERE kind = 'lbrace'),
+starts AS (SELECT codehash, pos AS start, next_ident AS name_pos, next_rparen AS rparen FROM t
+           WHERE kind = 'fn' AND next_ident IS NOT NULL AND next_rparen IS NOT NULL AND next_ident < next_rparen),
+spans0 AS (SELECT s.codehash, s.start, s.name_pos, s.rparen, c.close
+           FROM starts s JOIN t a ON a.codehash = s.codehash AND a.pos = s.rparen
+           JOIN t b ON b.codehash = s.codehash AND b.pos = a.next_body AND b.kind = 'lbrace'
+           JOIN closes c ON c.codehash = s.codehash AND c.body = a.next_body),
+spans AS (SELECT * FROM (SELECT *, min(start) OVER (PARTITION BY codehash ORDER BY start
+                                    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS ns FROM spans0)
+          WHERE ns IS NULL OR ns > close),
+tt AS (SELECT t.codehash, t.pos, t.tok, t.kind, t.next_kind,
+              last_value(m.start IGNORE NULLS) OVER u AS start, last_value(m.name_pos IGNORE NULLS) OVER u AS name_pos,
+              last_value(m.rparen IGNORE NULLS) OVER u AS rparen, last_value(m.close IGNORE NULLS) OVER u AS close
+       FROM t LEFT JOIN spans m ON m.codehash = t.codehash AND m.start = t.pos
+       WINDOW u AS (PARTITION BY t.codehash ORDER BY t.pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+f AS (SELECT codehash, start, count(*) AS n_tokens,
+             string_agg(CASE WHEN kind = 'ws' THEN ' ' ELSE tok END, '' ORDER BY pos) AS text,
+             max(CASE WHEN pos = name_pos THEN tok END) AS name,
+             string_agg(CASE WHEN kind = 'sigtype' AND pos > name_pos AND pos < rparen
+                             THEN (CASE WHEN tok = 'uint' THEN 'uint256' ELSE tok END)
+                                  || (CASE WHEN next_kind = 'lbrack' THEN '[]' ELSE '' END) END, ',' ORDER BY pos) AS types
+      FROM tt WHERE start IS NOT NULL AND pos <= close GROUP BY codehash, start),
+g AS (SELECT *, name || '(' || coalesce(types, '') || ')' AS signature,
+             row_number() OVER (PARTITION BY codehash, name || '(' || coalesce(types, '') || ')' ORDER BY start DESC) AS rn
+      FROM f WHERE n_tokens > 20)
+SELECT codehash, CAST(start AS BIGINT) AS pos, name, signature, n_tokens, md5(text) AS text_md5 FROM g WHERE rn = 1"""
+
+
+@query("extract_source_functions", sql=_EXTRACT_SQL)
+def extract_source_functions(spark, sf_dir):
+    """X1-X3 + X6 on the source side of the derived corpus (name, signature,
+    token count and text; the selector is checked by unit tests)."""
+    src, _ = derived_contracts(spark, sf_dir)
+    f = X.extract_functions(src, "codehash", "text", "contract")
+    f = X.last_definition(f)
+    return f.select("codehash", F.col("pos").cast("bigint").alias("pos"), "name", "signature", "n_tokens",
+                    F.md5("text").alias("text_md5"))
+
+
+@query("selector_vectors")
+def selector_vectors(spark, sf_dir):
+    """Every distinct signature with its keccak selector and how many
+    decompiled functions carry that selector in their name."""
+    s, d = extracted(spark, sf_dir)
+    sigs = s.groupBy("signature", "selector").agg(F.count(F.lit(1)).alias("n_source"))
+    dec = d.groupBy("selector").agg(F.count(F.lit(1)).alias("n_decompiled"))
+    return sigs.join(dec, "selector", "left").select("signature", "selector", "n_source",
+                                                     F.coalesce("n_decompiled", F.lit(0)).alias("n_decompiled"))
