@@ -26,8 +26,10 @@ def match_pairs(src: DataFrame, dec: DataFrame, text: str = "text") -> DataFrame
 
 
 def both_sides(src: DataFrame, dec: DataFrame) -> DataFrame:
-    """Rows of ``src`` whose owner also has at least one ``dec`` row."""
-    return src.join(dec.select(KEY), KEY, "left_semi")
+    """Rows of ``src`` whose owner also has at least one ``dec`` row.
+    The key side is de-duplicated first (map-side), so it is one row per
+    owner: AQE broadcasts it when small and splits a hot owner otherwise."""
+    return src.join(dec.select(KEY).distinct(), KEY, "left_semi")
 
 
 def unpivot_pairs(matched: DataFrame, start_id: int = 0) -> DataFrame:
