@@ -70,8 +70,14 @@ def collapse_whitespace(c: Column) -> Column:
 
 
 def token_count(c: Column) -> Column:
-    """Number of tokens (words, whitespace runs, other characters)."""
-    return F.size(F.regexp_extract_all(c, F.lit(TOKEN_RX), 0))
+    """Number of tokens (words, whitespace runs, other characters), counted
+    by the regex engine without materialising the tokens."""
+    return F.regexp_count(c, F.lit(TOKEN_RX)).cast("int")
+
+
+def word_count(c: Column) -> Column:
+    """Number of whitespace-separated words."""
+    return F.regexp_count(c, F.lit(WORD_RX)).cast("int")
 
 
 def words(c: Column) -> Column:

@@ -73,9 +73,8 @@ def group_index(df: DataFrame, group_cols, order_cols, name: str = "gidx",
     is an aggregate with map-side combine; its join back is a plain equi
     join that AQE broadcasts when small and skew-splits when a group is hot.
     """
-    g = _cols(group_cols)
-    gnames = [c if isinstance(c, str) else c._jc.toString() for c in group_cols]
-    indexed = dense_index(df, g + _cols(order_cols), "_pf_gi", num_partitions=num_partitions)
+    gnames = list(group_cols)  # column names
+    indexed = dense_index(df, _cols(gnames) + _cols(order_cols), "_pf_gi", num_partitions=num_partitions)
     aggs = [F.min("_pf_gi").alias("_pf_gstart")]
     if size:
         aggs.append(F.count(F.lit(1)).alias(size))

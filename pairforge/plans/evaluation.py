@@ -182,7 +182,7 @@ SELECT lang, count(*) AS n, min(w) AS min_len, max(w) AS max_len, round(avg(w),
 FROM (SELECT lang, len(regexp_extract_all(text, '{T.WORD_RX}')) AS w FROM documents) GROUP BY lang""")
 def length_stats(spark, sf_dir):
     """A3: word-length statistics per language."""
-    docs = load(spark, sf_dir, "documents").select("lang", F.size(T.words(F.col("text"))).alias("w"))
+    docs = load(spark, sf_dir, "documents", spread=True).select("lang", T.word_count(F.col("text")).alias("w"))
     s = M.length_stats(docs, "w", ["lang"])
     return s.select("lang", "n", "min_len", "max_len", F.round("avg_len", 6).alias("avg_len"),
                     F.round("q1", 6).alias("q1"), F.round("q3", 6).alias("q3"))
