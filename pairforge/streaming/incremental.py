@@ -22,13 +22,11 @@ from pyspark.sql.types import StructType
 from pairforge.operators.index import dense_index
 
 
-def _max_id(spark: SparkSession, out_path: str, id_col: str, before_batch: int) -> int:
+def _read_or_none(spark: SparkSession, path: str):
     try:
-        done = spark.read.parquet(out_path)
-    except Exception:  # noqa: BLE001 -- nothing written yet
-        return -1
-    m = done.filter(F.col("batch") < before_batch).agg(F.max(id_col)).collect()[0][0]
-    return -1 if m is None else int(m)
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 -- nothing written there yet
+        return None
 
 
 def incremental_append(spark: SparkSession, source_dir: str, schema: StructType, out_path: str,
@@ -36,17 +34,31 @@ def incremental_append(spark: SparkSession, source_dir: str, schema: StructType,
                        fmt: str = "parquet", glob: str | None = None, files_per_batch: int = 1,
                        id_col: str = "id") -> int:
     """Run the stream until all present files are processed (availableNow).
-    Returns the number of micro-batches written."""
+    Returns the number of micro-batches written.
+
+    The next id is read from the table once (a max over parquet footers) and
+    then carried from batch to batch, so a batch costs O(its own rows).  A
+    replayed batch reuses the first id it was given the first time."""
     reader = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     stream = transform(reader.load(source_dir))
+    existing = _read_or_none(spark, out_path)
+    m = existing.agg(F.max(id_col)).collect()[0][0] if existing is not None else None
+    state = {"next": 0 if m is None else int(m) + 1}
     seen = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        start = _max_id(spark, out_path, id_col, batch_id) + 1
+        path = os.path.join(out_path, f"batch={batch_id}")
+        earlier = _read_or_none(spark, path)
+        start = state["next"]
+        if earlier is not None:  # replay: keep the ids this batch had
+            first = earlier.agg(F.min(id_col)).collect()[0][0]
+            start = start if first is None else int(first)
         numbered = dense_index(batch, order_cols, "_k").withColumn(id_col, F.col("_k") + F.lit(start)).drop("_k")
-        numbered.write.mode("overwrite").parquet(os.path.join(out_path, f"batch={batch_id}"))
+        numbered.write.mode("overwrite").parquet(path)
+        written = spark.read.parquet(path).count()
+        state["next"] = max(state["next"], start + written)
         seen.append(batch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)

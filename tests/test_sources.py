@@ -73,3 +73,21 @@ def test_stream_equals_batch_and_ids_continue(spark):
     batch = df.filter(F.col("v") != 3)
     assert got.select("event_id", "v").exceptAll(batch).count() == 0 and got.count() == batch.count()
     assert sorted(r.id for r in got.collect()) == list(range(batch.count()))
+
+
+def test_stream_resumes_and_continues_ids(spark):
+    root = tempfile.mkdtemp(prefix="pf-stream2-")
+    src, out, ck = (os.path.join(root, x) for x in ("in", "out", "ckpt"))
+    first = spark.range(0, 100).select(F.col("id").alias("event_id"))
+    first.repartition(2).write.parquet(os.path.join(src, "a"))
+    schema = first.schema
+    assert incremental_append(spark, os.path.join(src, "*"), schema, out, ck, lambda d: d, ["event_id"],
+                              glob="*.parquet") == 2
+    second = spark.range(100, 130).select(F.col("id").alias("event_id"))
+    second.coalesce(1).write.parquet(os.path.join(src, "b"))
+    assert incremental_append(spark, os.path.join(src, "*"), schema, out, ck, lambda d: d, ["event_id"],
+                              glob="*.parquet") == 1
+    got = spark.read.parquet(out)
+    assert got.count() == 130 and sorted(r.id for r in got.collect()) == list(range(130))
+    new_ids = sorted(r.id for r in got.filter(F.col("event_id") >= 100).collect())
+    assert new_ids == list(range(100, 130))
