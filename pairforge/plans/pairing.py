@@ -122,3 +122,27 @@ def pos_neg_pairs_q(spark, sf_dir):
     pn = pairs.pos_neg_pairs(src, dec, seed=SEED)
     return pn.select("label", "codehash1", "codehash2", "selector1", "selector2",
                      F.md5("func1").alias("func1_md5"), F.md5("func2").alias("func2_md5"))
+
+
+@query("pretrain_split", sql=f"""
+WITH {_VIEWS_SQL},
+k AS (SELECT *, row_number() OVER (ORDER BY codehash, selector) - 1 AS k FROM matched),
+recs AS (SELECT 2 * k AS id, 'contract' AS type, CAST(codehash AS VARCHAR) AS codehash, src_text AS text FROM k
+         UNION ALL SELECT 2 * k + 1, 'decompiled', CAST(codehash AS VARCHAR), dec_text FROM k),
+r AS (SELECT *, row_number() OVER (ORDER BY {dhash_sql(SEED, 'id')}, id) - 1 AS rk, count(*) OVER () AS n FROM recs),
+s AS (SELECT *, ceil(n * 0.3::DOUBLE) AS held FROM r)
+SELECT id, type, codehash, md5(text) AS text_md5,
+       CASE WHEN rk < n - held THEN 'train'
+            WHEN rk < n - held + (held - ceil(held * 0.33333::DOUBLE)) THEN 'valid' ELSE 'test' END AS split
+FROM s""")
+def pretrain_split(spark, sf_dir):
+    """J3 + W1 -> K2 (JSONL append) -> S4 (typed read) -> T4 (shuffled 70/20/10)."""
+    from pairforge.session import scratch_path
+    from pairforge.sources import datasets, writers
+    src, dec = conversation_views(spark, sf_dir)
+    recs = pairs.unpivot_pairs(pairs.match_pairs(src, dec), start_id=0)
+    path = scratch_path(spark, "pretrain-jsonl")
+    writers.write_jsonl(recs.select("id", "text", "type", F.col("codehash").cast("string").alias("codehash")), path)
+    back = datasets.read_pretrain_jsonl(spark, path)
+    sp = splits.random_split(back, ["id"], seed=SEED)
+    return sp.select("id", "type", "codehash", F.md5("text").alias("text_md5"), "split")

@@ -72,5 +72,12 @@ def read_lines(spark, path: str) -> DataFrame:
 
 
 def join_delimited(cols: list[Column], delim: str) -> Column:
-    """K6 etc.: ``a<SPLIT>b<SPLIT>...``."""
+    """``a<SPLIT>b<SPLIT>...``."""
     return F.concat_ws(delim, *cols)
+
+
+def encode_review(df: DataFrame, fields=("codehash_a", "codehash_b", "func_a", "func_b")) -> DataFrame:
+    """K6: a reviewed candidate pair as ``a<SPLIT>b<SPLIT>fa<SPLIT>fb`` (same
+    quarantine rule as ``encode_records``)."""
+    from pairforge.functions.text import REVIEW_DELIM
+    return encode_records(df, fields, REVIEW_DELIM)

@@ -24,3 +24,9 @@ def test_writer_quarantines_delimiter_and_removes_line_breaks(spark):
     good = [r for r in enc if r.error is None]
     assert len(good) == 1 and good[0].value == "1<CODESPLIT>a<CODESPLIT>b<CODESPLIT>fx<CODESPLIT>gy"
     assert [r.error for r in enc if r.error] == ["delimiter_in_field"]
+
+
+def test_review_lines(spark):
+    df = spark.createDataFrame([("0xa", "0xb", "f a", "g\nb")], "codehash_a string, codehash_b string, func_a string, func_b string")
+    r = records.encode_review(df).collect()[0]
+    assert r.value == "0xa<SPLIT>0xb<SPLIT>f a<SPLIT>gb" and r.error is None
