@@ -7,8 +7,9 @@ shingle occurrences have that bit set than unset.
 
 The shingles of a document are exploded inside the task that reads it and
 folded by a hash aggregate keyed by document, so the partial aggregate is
-already one row per document before any shuffle.  Bits are read from two
-32-bit halves of the md5 so every engine stays in plain integers.
+already one row per document before any shuffle.  The fingerprint is
+returned as two 32-bit halves so every engine can compare it in plain
+integers.
 """
 
 from __future__ import annotations
@@ -39,13 +40,9 @@ def simhash(df: DataFrame, key: str, text: str) -> DataFrame:
                       F.regexp_extract_all(F.col("_c"), F.lit(f"(?=(.{{{SHINGLE}}}))"), 1)
                       ).otherwise(F.array(F.col("_c")))
     sh = c.select(key, F.explode(shingles).alias("_s")).select(key, F.md5("_s").alias("_h"))
-    sh = sh.select(key,
-                   F.conv(F.substring("_h", 25, 8), 16, 10).cast("bigint").alias("_lo"),
-                   F.conv(F.substring("_h", 17, 8), 16, 10).cast("bigint").alias("_hi"))
-    sums = []
-    for i in range(BITS):
-        src, b = ("_lo", i) if i < 32 else ("_hi", i - 32)
-        sums.append(F.sum(F.shiftright(F.col(src), b).bitwiseAND(1) * 2 - 1).alias(f"_s{i}"))
+    # the low 64 bits of the md5 as one signed long (conv to base -10)
+    sh = sh.select(key, F.conv(F.substring("_h", 17, 16), 16, -10).cast("bigint").alias("_v"))
+    sums = [F.sum(F.shiftright(F.col("_v"), i).bitwiseAND(1) * 2 - 1).alias(f"_s{i}") for i in range(BITS)]
     agg = sh.groupBy(key).agg(*sums)
 
     def pack(lo: int) -> Column:
