@@ -40,7 +40,7 @@ def write_predictions(df: DataFrame, path: str, index_col: str = "index", pred_c
        .write.mode("overwrite").option("sep", "\t").option("header", True).csv(path))
 
 
-def scored_lines(df: DataFrame, fields: list[str], logits: str = "logits", delim: str = "<CODESPLIT>") -> Column:
+def scored_lines(fields: list[str], logits: str = "logits", delim: str = "<CODESPLIT>") -> Column:
     """K8: the original fields (non-ASCII dropped) plus the logits, joined."""
     parts = [drop_non_ascii(F.col(f).cast("string")) for f in fields]
     parts.append(F.array_join(F.transform(F.col(logits), lambda x: x.cast("string")), ","))
