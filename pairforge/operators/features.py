@@ -115,7 +115,8 @@ def block_size(given: int | None, model_max: int = 1024) -> int:
     return min(given, model_max) if given is not None else min(model_max, 1024)
 
 
-def pack_blocks(df: DataFrame, idx: str, ids: str, block: int = 512, batch_rows: int = 1000) -> DataFrame:
+def pack_blocks(df: DataFrame, idx: str, ids: str, block: int = 512, batch_rows: int = 1000,
+                mask_seed=None) -> DataFrame:
     """Concatenate the ids of each batch of ``batch_rows`` rows (in
     ``idx`` order), drop the remainder, cut into blocks of ``block``.
 
@@ -123,6 +124,10 @@ def pack_blocks(df: DataFrame, idx: str, ids: str, block: int = 512, batch_rows:
     batch's rows (a window over at most ``batch_rows`` row lengths), then
     tokens are grouped by (batch, block): each group holds exactly
     ``block`` tokens, whatever the document lengths.
+
+    With ``mask_seed`` set, each token also gets its masking draw
+    ``dhash(seed, 'batch/block', position)`` while it is an exploded row
+    (inside codegen); ``mlm_mask`` then only does array arithmetic.
     """
     b = df.select(F.floor(F.col(idx) / batch_rows).cast("bigint").alias("batch"), F.col(idx), F.col(ids))
     w = Window.partitionBy("batch").orderBy(idx)
@@ -131,13 +136,19 @@ def pack_blocks(df: DataFrame, idx: str, ids: str, block: int = 512, batch_rows:
           .withColumn("_use", F.floor(F.sum("_len").over(Window.partitionBy("batch")) / block) * block))
     t = b.select("batch", "_off", "_use", F.posexplode(ids).alias("_pos", "_id"))
     t = t.withColumn("_p", F.col("_off") + F.col("_pos")).filter(F.col("_p") < F.col("_use"))
-    g = t.groupBy("batch", F.floor(F.col("_p") / block).cast("bigint").alias("block")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("_p"), F.col("_id")))).alias("_t"))
-    return g.select("batch", "block", F.transform("_t", lambda s: s["_id"]).alias("input_ids"))
+    t = t.withColumn("block", F.floor(F.col("_p") / block).cast("bigint"))
+    fields = [F.col("_p"), F.col("_id")]
+    if mask_seed is not None:
+        key = F.concat_ws("/", F.col("batch").cast("string"), F.col("block").cast("string"))
+        fields.append(dhash(mask_seed, key, F.col("_p") - F.col("block") * block).alias("_r"))
+    g = t.groupBy("batch", "block").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_t"))
+    out = g.select("batch", "block", F.transform("_t", lambda s: s["_id"]).alias("input_ids"),
+                   *([F.transform("_t", lambda s: s["_r"]).alias("mask_draws")] if mask_seed is not None else []))
+    return out
 
 
 def mlm_mask(ids: Column, key: Column, seed=42, prob: float = 0.15, vocab_size: int = HASH_VOCAB + N_SPECIAL,
-             specials=(PAD, UNK, CLS, SEP, MASK)) -> tuple[Column, Column]:
+             specials=(PAD, UNK, CLS, SEP, MASK), draws: Column | None = None) -> tuple[Column, Column]:
     """Masked-LM inputs and labels from a seeded hash per (key, position).
 
     15 % of non-special positions are chosen; of those 80 % become [MASK],
@@ -146,8 +157,8 @@ def mlm_mask(ids: Column, key: Column, seed=42, prob: float = 0.15, vocab_size:
     """
     sp = F.array(*[F.lit(s) for s in specials])
     thresh = int(round(prob * 10000))
-    # One hash per position, computed once and zipped with the ids.
-    rs = F.transform(ids, lambda x, i: dhash(seed, key, i))
+    # One hash per position (precomputed by pack_blocks when given), zipped with the ids.
+    rs = draws if draws is not None else F.transform(ids, lambda x, i: dhash(seed, key, i))
     z = F.arrays_zip(ids.alias("x"), rs.alias("r"))
 
     def chosen(e):

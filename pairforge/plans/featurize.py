@@ -121,13 +121,13 @@ t AS (SELECT batch, usable, off + unnest(range(len(ids))) AS p, unnest(ids) AS i
 blocks AS (SELECT batch, p // {MAX_LEN} AS block, list(id ORDER BY p) AS ids FROM t WHERE p < usable GROUP BY ALL)"""
 
 
-def _blocks(spark, sf_dir):
+def _blocks(spark, sf_dir, mask_seed=None):
     # ids are hashed before the per-batch window: shuffling int arrays is
     # cheaper than shuffling the words (measured at sf0.1: 7.2 s vs 11.2 s).
     docs = load(spark, sf_dir, "documents", spread=True)
     d = docs.select("doc_id", F.concat(F.array(F.lit(Z.CLS)), ids_of(F.col("text")), F.array(F.lit(Z.SEP))).alias("ids"))
     d = dense_index(d, ["doc_id"], "idx")
-    return Z.pack_blocks(d, "idx", "ids", block=MAX_LEN, batch_rows=1000)
+    return Z.pack_blocks(d, "idx", "ids", block=MAX_LEN, batch_rows=1000, mask_seed=mask_seed)
 
 
 @query("pack_blocks", sql=f"""
@@ -152,9 +152,9 @@ o AS (SELECT batch, block, i, x,
 
 
 def _masked(spark, sf_dir):
-    b = _blocks(spark, sf_dir)
+    b = _blocks(spark, sf_dir, mask_seed=SEED)
     key = F.concat_ws("/", F.col("batch").cast("string"), F.col("block").cast("string"))
-    inputs, labels = Z.mlm_mask(F.col("input_ids"), key, seed=SEED)
+    inputs, labels = Z.mlm_mask(F.col("input_ids"), key, seed=SEED, draws=F.col("mask_draws"))
     return b.select("batch", "block", inputs.alias("inputs"), labels.alias("labels"))
 
 
