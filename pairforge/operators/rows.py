@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairforge.functions.text import PY_SPACE
+
 
 def last_wins(df: DataFrame, key_cols, order_cols) -> DataFrame:
     """Keep the row with the greatest ``order_cols`` per key.  Planned
@@ -27,7 +29,7 @@ def min_length(df: DataFrame, length_col: str, more_than: int = 20) -> DataFrame
 
 def non_blank(df: DataFrame, col: str) -> DataFrame:
     """The line has a non-space character."""
-    return df.filter(F.col(col).rlike(r"[^\t\n\x0b\x0c\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"))
+    return df.filter(F.col(col).rlike("[^" + PY_SPACE[1:]))
 
 
 def rename_label(df: DataFrame, old: str, new: str = "label") -> DataFrame:

@@ -12,6 +12,7 @@ import hashlib
 import json
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from pairforge.session import ensure_checkpoint_dir
@@ -22,16 +23,12 @@ def cache_path(spark: SparkSession, key: dict) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "pairforge-cache", f"{key.get('kind', 'table')}-{digest}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
-
-
 def cached_table(spark: SparkSession, key: dict, build) -> DataFrame:
     path = cache_path(spark, key)
-    if not _exists(spark, path):
+    try:
+        # only complete writes count: the committer adds _SUCCESS last
+        spark.read.text(path + "/_SUCCESS")
+        return spark.read.parquet(path)
+    except AnalysisException:
         build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        return spark.read.parquet(path)

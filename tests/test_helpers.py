@@ -77,3 +77,16 @@ def test_quarantine_and_index_helpers(spark):
     n = spark.range(0, 1).select(metrics.sample_count(F.lit(10), 3).alias("x"),
                                  metrics.combined_score([F.lit(0.5), F.lit(1.0)]).alias("y")).first()
     assert (n.x, n.y) == (3, 0.75)
+
+
+def test_table_cache_builds_once(spark):
+    from pairforge.sources.cache import cached_table
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(5)
+    key = {"kind": "test", "nonce": os.urandom(4).hex()}
+    assert cached_table(spark, key, build).count() == 5
+    assert cached_table(spark, key, build).count() == 5
+    assert len(calls) == 1
