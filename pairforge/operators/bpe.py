@@ -67,15 +67,20 @@ def _choose(top: list[tuple[str, int]], min_frequency: int, budget: int,
             truncated: bool) -> list[tuple[str, str]]:
     """Merges of one round (see module doc).  ``top`` is sorted by count
     desc, pair asc; when ``truncated``, a pair not listed has a count <= the
-    last listed one, so later picks must beat that too."""
+    last listed one, so later picks must beat that too.
+
+    Merging (a, b) can only raise the count of new pairs (x, ab) and
+    (ab, y), bounded by the counts of (x, a) and (b, y); every other pair
+    keeps or loses count.  A later candidate must share no symbol with the
+    merges taken and beat that bound strictly."""
     if not top or top[0][1] < min_frequency:
         return []
     floor = top[-1][1]
+    split = [(p.split(" "), n) for p, n in top]
     chosen, used, bound = [], set(), 0
-    for pair, n in top:
+    for (left, right), n in split:
         if len(chosen) >= budget or n < min_frequency:
             break
-        left, right = pair.split(" ")
         if chosen:
             if left in used or right in used:
                 break
@@ -83,8 +88,8 @@ def _choose(top: list[tuple[str, int]], min_frequency: int, budget: int,
                 break
         chosen.append((left, right))
         used.update((left, right))
-        # largest count of any other listed pair touching the used symbols
-        bound = max([m for p, m in top if p != pair and (set(p.split(" ")) & used)] + [bound])
+        bound = max([m for (l2, r2), m in split if (r2 == left or l2 == right) and (l2, r2) != (left, right)]
+                    + [bound])
     return chosen
 
 
