@@ -25,17 +25,18 @@ def label_vocab(spark, sf_dir):
 
 
 @query("label_diff", sql="""
-WITH r AS (SELECT user_id, row_number() OVER (ORDER BY event_id) - 1 AS rk, count(*) OVER () AS n FROM events),
-s AS (SELECT CAST(user_id AS VARCHAR) AS label,
+WITH r AS (SELECT n_chars, row_number() OVER (ORDER BY doc_id) - 1 AS rk, count(*) OVER () AS n FROM documents),
+s AS (SELECT CAST(n_chars AS VARCHAR) AS label,
              CASE WHEN rk < floor(n * 0.7::DOUBLE) THEN 'train'
                   WHEN rk < floor(n * 0.7::DOUBLE) + floor(n * 0.2::DOUBLE) THEN 'valid' ELSE 'test' END AS split
       FROM r)
 SELECT DISTINCT split, label FROM s
 WHERE split <> 'train' AND label NOT IN (SELECT label FROM s WHERE split = 'train')""")
 def label_diff(spark, sf_dir):
-    """Labels (user ids) seen in valid/test but never in train."""
-    ev = load(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("label"))
-    sp = splits.ordered_split(ev, ["event_id"])
+    """Labels (document lengths as regression-style labels) that occur
+    in valid/test but never in train."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.col("n_chars").alias("label"))
+    sp = splits.ordered_split(docs, ["doc_id"])
     return L.unseen_labels(sp, "label").select("split", "label")
 
 
