@@ -110,6 +110,11 @@ def dynamic_pad(df: DataFrame, ids: str, batch: str, multiple: int = 8, pad_id:
               .withColumn(ids, pad(F.col(ids), F.col("padded_len"), pad_id)))
 
 
+def effective_length(max_seq_length: int, model_max_length: int = 1024) -> int:
+    """The sequence length actually used."""
+    return min(max_seq_length, model_max_length)
+
+
 def block_size(given: int | None, model_max: int = 1024) -> int:
     """The given block size capped by the model maximum, else min(model max, 1024)."""
     return min(given, model_max) if given is not None else min(model_max, 1024)

@@ -116,6 +116,12 @@ def take_first(df: DataFrame, order_cols, k: int) -> DataFrame:
     return df.orderBy(*_cols(order_cols)).limit(k)
 
 
+def take_first_per_split(df: DataFrame, split_col: str, order_cols, k: int) -> DataFrame:
+    """O4 per split: the first ``k`` rows of every split (``select(range(k))``
+    on each), via the skew-safe in-group index."""
+    return group_index(df, [split_col], order_cols, "_pf_k").filter(F.col("_pf_k") < k).drop("_pf_k")
+
+
 def sample_by_hash(df: DataFrame, seed, key_cols, k: int) -> DataFrame:
     """A reproducible uniform sample of ``k`` rows (top-k by hash)."""
     keys = _cols(key_cols)

@@ -45,3 +45,10 @@ def test_offset_slice_both_strategies(spark):
 def test_shuffled_head_positions(spark):
     got = shuffled_head(spark.range(0, 1000), 42, ["id"], 10, "pos").collect()
     assert sorted(r.pos for r in got) == list(range(10))
+
+
+def test_take_first_per_split(spark):
+    from pairforge.operators.index import take_first_per_split
+    df = spark.range(0, 100).withColumn("split", F.when(F.col("id") < 80, "train").otherwise("test"))
+    got = sorted((r.split, r.id) for r in take_first_per_split(df, "split", ["id"], 3).collect())
+    assert got == [("test", 80), ("test", 81), ("test", 82), ("train", 0), ("train", 1), ("train", 2)]
