@@ -88,12 +88,15 @@ def extract_functions(df: DataFrame, key: str = "codehash", text: str = "text",
     ``side='decompiled'`` takes the selector from the name (``Unresolved_<sel>``);
     a name without ``_`` gets ``error`` set instead of failing the job."""
     t = tokens(df, key, text)
-    w_after = Window.partitionBy(key).orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
+    # "over the rows after this one" as a running frame over the reversed
+    # order: Spark evaluates an unbounded-following frame in O(n^2) per
+    # partition, a running (unbounded-preceding) frame in O(n).
+    w_after = Window.partitionBy(key).orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
     w_upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     k = F.col("kind")
     t = (t.withColumn("depth", F.sum(F.when(k == "lbrace", 1).when(k == "rbrace", -1).otherwise(0)).over(w_upto))
           .withColumn("next_ident", _next(k == "ident", F.col("pos"), w_after))
-          .withColumn("next_name", F.first(F.when(k == "ident", F.col("tok")), ignorenulls=True).over(w_after))
+          .withColumn("next_name", F.last(F.when(k == "ident", F.col("tok")), ignorenulls=True).over(w_after))
           .withColumn("next_rparen", _next(k == "rparen", F.col("pos"), w_after))
           .withColumn("next_body", _next(k.isin("lbrace", "semi"), F.col("pos"), w_after))
           .withColumn("next_kind", F.lead("kind").over(Window.partitionBy(key).orderBy("pos"))))
@@ -101,7 +104,7 @@ def extract_functions(df: DataFrame, key: str = "codehash", text: str = "text",
     # matching close brace: braces of one nesting level, in order
     level = F.when(k == "lbrace", F.col("depth")).otherwise(F.col("depth") + 1)
     braces = t.filter(k.isin("lbrace", "rbrace")).withColumn("level", level)
-    wl = Window.partitionBy(key, "level").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
+    wl = Window.partitionBy(key, "level").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
     closes = (braces.withColumn("close", _next(F.col("kind") == "rbrace", F.col("pos"), wl))
                     .filter(F.col("kind") == "lbrace").select(key, F.col("pos").alias("body"), "close"))
 
@@ -115,7 +118,7 @@ def extract_functions(df: DataFrame, key: str = "codehash", text: str = "text",
                    .filter(F.col("body_kind") == "lbrace").join(closes, [key, "body"]))
     if compat:
         # a start inside another span restarts extraction there: drop the outer span
-        ws = Window.partitionBy(key).orderBy("start").rowsBetween(1, Window.unboundedFollowing)
+        ws = Window.partitionBy(key).orderBy(F.col("start").desc()).rowsBetween(Window.unboundedPreceding, -1)
         spans = spans.withColumn("_next_start", F.min("start").over(ws)).filter(
             F.col("_next_start").isNull() | (F.col("_next_start") > F.col("close"))).drop("_next_start")
 
@@ -178,7 +181,7 @@ def brace_spans(df: DataFrame, key: str, text: str) -> DataFrame:
     w = Window.partitionBy(key).orderBy("i")
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
+    after = Window.partitionBy(key).orderBy(F.col("i").desc()).rowsBetween(Window.unboundedPreceding, -1)
     step = F.when(F.col("piece") == "{", 1).when(F.col("piece") == "}", -1).otherwise(0)
     p = (pieces.withColumn("off", F.coalesce(F.sum(F.length("piece")).over(before), F.lit(0)) + 1)
                .withColumn("d", F.sum(step).over(upto)))
