@@ -56,3 +56,18 @@ def test_distance_symmetric_and_candidates_with_hot_group(spark):
         assert c.id_a < c.id_b and c.distance > 10 and 1 <= c.n_tries <= 26
     counts = {r.g: r.n_pairs for r in simhash.group_pair_counts(df, ["g"]).collect()}
     assert counts["hot"] == 300 * 299 // 2 and counts["cold0"] == 6
+
+
+def test_candidates_and_packing_do_not_depend_on_partitioning(spark):
+    from pairforge.operators import features as Z
+    from pairforge.operators.index import dense_index
+    texts = [("g%d" % (i % 4), i, ("lorem ipsum %d dolor %d sit amet " % (i, i * i)) * (1 + i % 5)) for i in range(120)]
+    df = spark.createDataFrame(texts, "g string, id long, text string")
+    a = simhash.review_candidates(df.repartition(2), ["g"], "id", "text", seed=9).collect()
+    b = simhash.review_candidates(df.repartition(9), ["g"], "id", "text", seed=9).collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b)) and len(a) == 4
+    ids = df.select("id", Z.hashed_ids(F.split("text", " ")).alias("ids"))
+    p1 = Z.pack_blocks(dense_index(ids.repartition(3), ["id"], "idx"), "idx", "ids", block=16, batch_rows=25).collect()
+    p2 = Z.pack_blocks(dense_index(ids.repartition(8), ["id"], "idx", num_partitions=5), "idx", "ids", block=16,
+                       batch_rows=25).collect()
+    assert sorted(map(tuple, p1)) == sorted(map(tuple, p2)) and len(p1) > 10
