@@ -54,7 +54,8 @@ def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text") -
     * coin: ``dhash % 2 == 1`` -> positive (its own decompiled twin, label 1);
     * otherwise a negative: the partner is another decompiled contract at
       rank ``(r + 1 + h % (n - 1)) % n`` -- never itself, found by an equi
-      join on rank (no cross join) -- and inside it the function with index
+      join on rank (no cross join); candidates are contracts with functions
+      on both sides -- and inside it the function with index
       ``h % count``.  With a single decompiled contract no negative exists and
       the row is dropped (the original aborts there).
     """
@@ -66,7 +67,8 @@ def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text") -
                          (dhash(seed, F.lit("coin"), F.col(KEY)) % 2 == 1).alias("positive"))
 
     dec_idx = group_index(dec.select(KEY, SEL, F.col(text).alias("dec_text")), [KEY], [SEL], "fidx", size="fcnt")
-    owners = dec_idx.filter(F.col("fidx") == 0).select(KEY, "fcnt")
+    # partner candidates: contracts with functions on both sides
+    owners = both_sides(dec_idx.filter(F.col("fidx") == 0).select(KEY, "fcnt"), src)
     ranks = dense_index(owners, [KEY], "rank", total="n_owners")
 
     pos = picks.filter("positive").select(

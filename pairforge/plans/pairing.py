@@ -43,7 +43,7 @@ dec_idx AS (
   FROM dec),
 ranks AS (
   SELECT codehash, fcnt, row_number() OVER (ORDER BY codehash) - 1 AS rank, count(*) OVER () AS n_owners
-  FROM dec_idx WHERE fidx = 0),
+  FROM dec_idx WHERE fidx = 0 AND codehash IN (SELECT codehash FROM src)),
 neg AS (
   SELECT p.codehash, p.p, (r.rank + 1 + ({dhash_sql(SEED, "'partner'", 'p.codehash')}) % (r.n_owners - 1)) % r.n_owners AS prank
   FROM picks p JOIN ranks r ON p.codehash = r.codehash

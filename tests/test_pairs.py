@@ -71,3 +71,11 @@ def test_candidates_and_packing_do_not_depend_on_partitioning(spark):
     p2 = Z.pack_blocks(dense_index(ids.repartition(8), ["id"], "idx", num_partitions=5), "idx", "ids", block=16,
                        batch_rows=25).collect()
     assert sorted(map(tuple, p1)) == sorted(map(tuple, p2)) and len(p1) > 10
+
+
+def test_partner_needs_both_sides(spark):
+    src, dec = _views(spark, 12, 3)
+    extra = spark.createDataFrame([("zzz", s, "only decompiled") for s in range(50)],
+                                  "codehash string, selector int, text string")
+    got = pairs.pos_neg_pairs(src, dec.unionByName(extra), seed=4).collect()
+    assert got and all(r.codehash2 != "zzz" for r in got)
