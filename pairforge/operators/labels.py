@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from pairforge.operators.index import dense_index
 
-MAX_LABELS = 100_000
+# Label lists are inlined into plans as literal arrays, so keep them small.
+MAX_LABELS = 10_000
 
 
 def distinct_labels(df: DataFrame, col: str = "label") -> DataFrame:
