@@ -94,6 +94,6 @@ def review_candidates(df: DataFrame, group_cols, id_col: str, text: str, seed=42
     scored = scored.withColumn("distance", distance(F.col("hi_i"), F.col("lo_i"), F.col("hi_j"), F.col("lo_j")))
     ok = scored.filter(F.col("distance") > theta)
     first = ok.groupBy(*gcols).agg(F.min_by(F.struct("t", "id_i", "id_j", "distance"), F.col("t")).alias("c"))
-    return first.select(*gcols, (F.col("c.t") + 1).alias("n_tries"),
+    return first.select(*gcols, (F.col("c.t") + 1).cast("bigint").alias("n_tries"),
                         F.least("c.id_i", "c.id_j").alias("id_a"), F.greatest("c.id_i", "c.id_j").alias("id_b"),
-                        F.col("c.distance").alias("distance"))
+                        F.col("c.distance").cast("bigint").alias("distance"))

@@ -62,7 +62,8 @@ s AS (SELECT d2.lang, d2.source, d2.t, ma.doc_id AS id_i, mb.doc_id AS id_j,
               JOIN fp fa ON fa.doc_id = ma.doc_id JOIN fp fb ON fb.doc_id = mb.doc_id),
 f AS (SELECT lang, source, arg_min({{'t': t, 'a': id_i, 'b': id_j, 'd': distance}}, t) AS c
       FROM s WHERE distance > 10 GROUP BY lang, source)
-SELECT lang, source, c.t + 1 AS n_tries, least(c.a, c.b) AS id_a, greatest(c.a, c.b) AS id_b, c.d AS distance FROM f""")
+SELECT lang, source, CAST(c.t + 1 AS BIGINT) AS n_tries, least(c.a, c.b) AS id_a, greatest(c.a, c.b) AS id_b,
+       CAST(c.d AS BIGINT) AS distance FROM f""")
 def simhash_pairs(spark, sf_dir):
     """A16 + J8/J9: one review candidate per key, whole texts fingerprinted."""
     docs = load(spark, sf_dir, "documents", spread=True)

@@ -89,7 +89,8 @@ def argmax_metrics(spark, sf_dir):
 @query("micro_f1", sql="""
 WITH cells AS (SELECT CAST(e.embedding[r.i + 1] > 0 AS INT) AS p, CAST(e.label = r.i AS INT) AS y
                FROM embeddings e, range(10) r(i)),
-c AS (SELECT count_if(p = 1 AND y = 1) AS tp, count_if(p = 1 AND y = 0) AS fp, count_if(p = 0 AND y = 1) AS fn FROM cells)
+c AS (SELECT CAST(count_if(p = 1 AND y = 1) AS BIGINT) AS tp, CAST(count_if(p = 1 AND y = 0) AS BIGINT) AS fp,
+             CAST(count_if(p = 0 AND y = 1) AS BIGINT) AS fn FROM cells)
 SELECT tp, fp, fn, round(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END, 6) AS micro_f1
 FROM c""")
 def micro_f1(spark, sf_dir):
@@ -183,7 +184,7 @@ SELECT lang, count(*) AS n, min(w) AS min_len, max(w) AS max_len, round(avg(w),
 FROM (SELECT lang, len(regexp_extract_all(text, '{T.WORD_RX}')) AS w FROM documents) GROUP BY lang""")
 def length_stats(spark, sf_dir):
     """A3: word-length statistics per language."""
-    docs = load(spark, sf_dir, "documents", spread=True).select("lang", T.word_count(F.col("text")).alias("w"))
+    docs = load(spark, sf_dir, "documents", spread=True).select("lang", T.word_count(F.col("text")).cast("bigint").alias("w"))
     s = M.length_stats(docs, "w", ["lang"])
     return s.select("lang", "n", "min_len", "max_len", F.round("avg_len", 6).alias("avg_len"),
                     F.round("q1", 6).alias("q1"), F.round("q3", 6).alias("q3"))

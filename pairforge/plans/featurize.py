@@ -52,8 +52,9 @@ def pair_truncate(spark, sf_dir):
     """Z2 + Z3: first sequence capped at 50, pair truncated to 512 - 3."""
     p = _pair_ids(spark, sf_dir).withColumn("a", Z.cap(F.col("a"), 50))
     la, lb = Z.truncated_pair_lengths(F.size("a"), F.size("b"), MAX_LEN - 3)
-    return p.select("codehash", "selector", F.size("a").alias("len_a"), F.size("b").alias("len_b"),
-                    la.alias("trunc_a"), lb.alias("trunc_b"))
+    return p.select("codehash", "selector", F.size("a").cast("bigint").alias("len_a"),
+                    F.size("b").cast("bigint").alias("len_b"),
+                    la.cast("bigint").alias("trunc_a"), lb.cast("bigint").alias("trunc_b"))
 
 
 @query("pair_features", sql=f"""
@@ -72,7 +73,8 @@ FROM f""")
 def pair_features(spark, sf_dir):
     """[CLS] A [SEP] B [SEP], segment ids, mask, right padding to 512."""
     f = Z.pair_features(_pair_ids(spark, sf_dir), "a", "b", max_len=MAX_LEN, first_cap=50)
-    return f.select("codehash", "selector", F.aggregate("input_mask", F.lit(0), lambda acc, x: acc + x).alias("n_real"),
+    return f.select("codehash", "selector",
+                    F.aggregate("input_mask", F.lit(0), lambda acc, x: acc + x).cast("bigint").alias("n_real"),
                     F.md5(_joined(F.col("input_ids"))).alias("ids_md5"),
                     F.md5(_joined(F.col("input_mask"))).alias("mask_md5"),
                     F.md5(_joined(F.col("segment_ids"))).alias("segs_md5"))
@@ -90,7 +92,7 @@ def dynamic_padding(spark, sf_dir):
     conv = load(spark, sf_dir, "conversations")
     s = conv.select("conv_id", "turn", Z.single_ids(ids_of(F.col("text")), MAX_LEN).alias("ids"))
     s = dense_index(s, ["conv_id", "turn"], "idx").withColumn("batch", batch_number("idx", 32))
-    s = s.withColumn("n_real", F.size("ids"))
+    s = s.withColumn("n_real", F.size("ids").cast("bigint"))
     return Z.dynamic_pad(s, "ids", "batch").select("conv_id", "turn", "n_real", "padded_len")
 
 
@@ -107,8 +109,8 @@ def line_features(spark, sf_dir):
     lines = rows.non_blank(lines, "line")
     k = lines.select("doc_id", F.col("line_no").cast("bigint").alias("line_no"),
                      Z.single_ids(ids_of(F.col("line")), MAX_LEN).alias("ids"))
-    return k.select("doc_id", "line_no", F.size("ids").alias("n_ids"),
-                    F.aggregate(Z.special_mask(F.col("ids")), F.lit(0), lambda a, x: a + x).alias("n_special"))
+    return k.select("doc_id", "line_no", F.size("ids").cast("bigint").alias("n_ids"),
+                    F.aggregate(Z.special_mask(F.col("ids")), F.lit(0), lambda a, x: a + x).cast("bigint").alias("n_special"))
 
 
 _PACK_SQL = f"""
@@ -132,11 +134,11 @@ def _blocks(spark, sf_dir, mask_seed=None):
 
 @query("pack_blocks", sql=f"""
 WITH {_PACK_SQL}
-SELECT batch, block, len(ids) AS n_tokens, md5(array_to_string(ids, ' ')) AS block_md5 FROM blocks""")
+SELECT batch, CAST(block AS BIGINT) AS block, len(ids) AS n_tokens, md5(array_to_string(ids, ' ')) AS block_md5 FROM blocks""")
 def pack_blocks(spark, sf_dir):
     """Concatenate each 1,000-document batch, cut into 512-token blocks."""
     b = _blocks(spark, sf_dir)
-    return b.select("batch", "block", F.size("input_ids").alias("n_tokens"),
+    return b.select("batch", "block", F.size("input_ids").cast("bigint").alias("n_tokens"),
                     F.md5(_joined(F.col("input_ids"))).alias("block_md5"))
 
 
@@ -159,7 +161,8 @@ def _masked(spark, sf_dir):
 
 
 @query("mlm_mask", sql=f"""{_MASK_SQL}
-SELECT batch, block, count_if(lab <> -100) AS n_masked, count_if(inp = 4) AS n_mask_token,
+SELECT batch, CAST(block AS BIGINT) AS block, CAST(count_if(lab <> -100) AS BIGINT) AS n_masked,
+       CAST(count_if(inp = 4) AS BIGINT) AS n_mask_token,
        md5(string_agg(CAST(inp AS VARCHAR), ' ' ORDER BY i)) AS inputs_md5,
        md5(string_agg(CAST(lab AS VARCHAR), ' ' ORDER BY i)) AS labels_md5
 FROM o GROUP BY batch, block""")
@@ -167,14 +170,16 @@ def mlm_mask(spark, sf_dir):
     """15 % masked-LM corruption of the packed blocks (80/10/10)."""
     m = _masked(spark, sf_dir)
     return m.select("batch", "block",
-                    F.aggregate("labels", F.lit(0), lambda a, x: a + F.when(x != -100, 1).otherwise(0)).alias("n_masked"),
-                    F.aggregate("inputs", F.lit(0), lambda a, x: a + F.when(x == Z.MASK, 1).otherwise(0)).alias("n_mask_token"),
+                    F.aggregate("labels", F.lit(0), lambda a, x: a + F.when(x != -100, 1).otherwise(0))
+                    .cast("bigint").alias("n_masked"),
+                    F.aggregate("inputs", F.lit(0), lambda a, x: a + F.when(x == Z.MASK, 1).otherwise(0))
+                    .cast("bigint").alias("n_mask_token"),
                     F.md5(_joined(F.col("inputs"))).alias("inputs_md5"),
                     F.md5(_joined(F.col("labels"))).alias("labels_md5"))
 
 
 @query("masked_accuracy", sql=f"""{_MASK_SQL}
-SELECT count_if(lab <> -100 AND inp = lab) AS n_correct, count_if(lab <> -100) AS n_counted,
+SELECT CAST(count_if(lab <> -100 AND inp = lab) AS BIGINT) AS n_correct, CAST(count_if(lab <> -100) AS BIGINT) AS n_counted,
        round(count_if(lab <> -100 AND inp = lab) / count_if(lab <> -100), 6) AS accuracy
 FROM o""")
 def masked_accuracy(spark, sf_dir):

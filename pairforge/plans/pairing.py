@@ -82,8 +82,8 @@ FROM matched""")
 def match_pairs_q(spark, sf_dir):
     src, dec = conversation_views(spark, sf_dir)
     m = pairs.match_pairs(src, dec)
-    return m.select("codehash", "selector", F.length("src_text").alias("src_chars"),
-                    F.length("dec_text").alias("dec_chars"),
+    return m.select("codehash", "selector", F.length("src_text").cast("bigint").alias("src_chars"),
+                    F.length("dec_text").cast("bigint").alias("dec_chars"),
                     F.md5(F.concat_ws("|", "src_text", "dec_text")).alias("pair_md5"))
 
 
@@ -98,7 +98,7 @@ def both_sides_semi(spark, sf_dir):
     user = conv.filter(F.col("role") == "user").select(F.col("conv_id").alias("codehash"), "turn", "text")
     asst = conv.filter(F.col("role") == "assistant").select(F.col("conv_id").alias("codehash"))
     out = pairs.both_sides(user, asst)
-    return out.select(F.col("codehash").alias("conv_id"), "turn", F.length("text").alias("n_chars"))
+    return out.select(F.col("codehash").alias("conv_id"), "turn", F.length("text").cast("bigint").alias("n_chars"))
 
 
 @query("unpivot_pairs", sql=f"""

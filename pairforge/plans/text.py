@@ -35,7 +35,7 @@ def pair_record_roundtrip(spark, sf_dir):
     lines = records.ok_rows(records.encode_records(pre)).select("value")
     dec = records.decode_lenient(lines)
     return dec.select(F.col("label").cast("int").alias("label"), "codehash1", "codehash2",
-                      F.md5("func1").alias("func1_md5"), F.length("func1").alias("func1_chars"), "func2")
+                      F.md5("func1").alias("func1_md5"), F.length("func1").cast("bigint").alias("func1_chars"), "func2")
 
 
 @query("text_normalize", sql=f"""
@@ -49,7 +49,7 @@ def text_normalize(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     t = T.py_strip(T.collapse_whitespace(F.regexp_replace("text", T.LINE_BREAKS, " ")))
     return docs.select("doc_id", t.alias("t")).select(
-        "doc_id", F.length("t").alias("n_chars"), F.md5("t").alias("text_md5"))
+        "doc_id", F.length("t").cast("bigint").alias("n_chars"), F.md5("t").alias("text_md5"))
 
 
 @query("shard_histogram", sql="""
@@ -78,7 +78,7 @@ WHERE n_tokens > 20""")
 def min_token_filter(spark, sf_dir):
     """More than 20 tokens (whitespace runs count as tokens)."""
     docs = load(spark, sf_dir, "documents", spread=True)
-    out = docs.select("doc_id", T.token_count(F.col("text")).alias("n_tokens"))
+    out = docs.select("doc_id", T.token_count(F.col("text")).cast("bigint").alias("n_tokens"))
     return rows.min_length(out, "n_tokens", 20)
 
 

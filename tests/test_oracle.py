@@ -34,14 +34,20 @@ def con():
     return c
 
 
+_TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "float": "FLOAT",
+          "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])
-    res = con.execute(ORACLE[name])
-    cols = [d[0] for d in res.description]
+    rel = con.sql(ORACLE[name])
+    cols = rel.columns
     assert sorted(cols) == sorted(df.columns)
-    assert got == _rows(cols, res.fetchall())
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(cols, rel.types)}
+    assert got == _rows(cols, rel.fetchall())
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
