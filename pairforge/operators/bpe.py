@@ -24,6 +24,7 @@ from __future__ import annotations
 import functools
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -116,8 +117,13 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, top_k:
     state = state.repartition(max(slots, state.rdd.getNumPartitions())).checkpoint()
     merges: list[tuple[str, str]] = []
     rounds = 0
+    release: list[DataFrame] = []
     while len(merges) < budget and (max_rounds is None or rounds < max_rounds):
         top = [(r.pair, r.n) for r in _pairs(state).orderBy(F.desc("n"), F.asc("pair")).limit(top_k).collect()]
+        # this round's word table is now materialised: earlier ones can go
+        for old in release:
+            old.unpersist()
+        release = [state] if state.is_cached else []
         room = budget - len(merges) if max_per_round is None else min(max_per_round, budget - len(merges))
         step = _choose(top, min_frequency, room, len(top) >= top_k)
         if not step:
@@ -127,6 +133,12 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, top_k:
         state = state.select(_apply(F.col("seq"), step).alias("seq"), "cnt")
         if rounds % checkpoint_every == 0:
             state = state.checkpoint()
+        else:
+            # keep this round's words so the next count does not replay the
+            # merges since the last checkpoint (recomputable from lineage)
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    for old in release + ([state] if state.is_cached else []):
+        old.unpersist()
     return merges
 
 
