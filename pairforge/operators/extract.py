@@ -55,8 +55,9 @@ int uint""".split()
 # Sized type names are built from their rule: bytes1..bytes32, int8..int256, uint8..uint256.
 SIZED_TYPES = ([f"bytes{n}" for n in range(1, 33)] + [f"int{n}" for n in range(8, 257, 8)]
                + [f"uint{n}" for n in range(8, 257, 8)])
-# Types that enter a signature (address, bool, bytes, bytesN, intN, string, uintN).
-SIGNATURE_TYPE_RX = r"^(address|bool|bytes|string|int|uint|bytes([1-9]|[12][0-9]|3[0-2])|u?int(8|16|24|32|40|48|56|64|72|80|88|96|104|112|120|128|136|144|152|160|168|176|184|192|200|208|216|224|232|240|248|256))$"
+# Types that enter a signature -- address, bool, bytes, string,
+# int, uint and the sized bytesN / intN / uintN names built above.
+SIGNATURE_TYPE_RX = "^(" + "|".join(["address", "bool", "bytes", "string", "int", "uint"] + SIZED_TYPES) + ")$"
 FIXED_RX = r"^u?fixed([1-9][0-9]*x[1-9][0-9]*)?$"
 MIN_TOKENS = 20
 
