@@ -27,7 +27,9 @@ def spread_partitions(df: DataFrame) -> DataFrame:
     """Round-robin a scan that yields fewer partitions than task slots (one
     small file, one row group) so CPU-bound text work uses every core.  A
     large input already has at least that many splits and is left alone."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave the scan as it is
+        return df
+    return df.repartition(slots) if parts < slots else df
