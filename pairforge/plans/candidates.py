@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from pairforge.functions.hashing import dhash_sql
 from pairforge.operators import simhash as S

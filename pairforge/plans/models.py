@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pairforge.operators import metrics as M
 from pairforge.operators import pairs, scoring, splits
 from pairforge.operators import registry as R
 from pairforge.operators.features import pair_features

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from pairforge.operators import extract as X
 

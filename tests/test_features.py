@@ -1,7 +1,6 @@
 import itertools
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pairforge.operators import features as Z
 
