@@ -131,24 +131,25 @@ def extract_functions(df: DataFrame, key: str = "codehash", text: str = "text",
     tt = tt.filter(F.col("start").isNotNull() & (F.col("pos") <= F.col("close")))
 
     piece = F.when(F.col("kind") == "ws", F.lit(" ")).otherwise(F.col("tok"))
-    tname = F.col("tok")
-    if compat:
-        tname = F.when(tname == "uint", F.lit("uint256")).otherwise(tname)
-        arr = F.when(F.col("next_kind") == "lbrack", F.lit("[]")).otherwise(F.lit(""))
-    else:
-        tname = F.when(tname == "uint", F.lit("uint256")).when(tname == "int", F.lit("int256")).otherwise(tname)
-        arr = F.when(F.col("next_kind") == "lbrack", F.lit("[]")).otherwise(F.lit(""))
+    tname = F.when(F.col("tok") == "uint", F.lit("uint256")).otherwise(F.col("tok"))
+    arr = F.when(F.col("next_kind") == "lbrack", F.lit("[]")).otherwise(F.lit(""))
     is_param = (F.col("kind") == "sigtype") & (F.col("pos") > F.col("name_pos")) & (F.col("pos") < F.col("rparen"))
+    in_params = (F.col("kind") != "ws") & (F.col("pos") > F.col("name_pos")) & (F.col("pos") < F.col("rparen"))
     funcs = tt.groupBy(key, "start").agg(
         F.count(F.lit(1)).alias("n_tokens"),
         F.array_sort(F.collect_list(F.struct("pos", piece.alias("p")))).alias("_pieces"),
         F.array_sort(F.collect_list(F.when(is_param, F.struct("pos", F.concat(tname, arr).alias("t"))))).alias("_types"),
+        F.array_sort(F.collect_list(F.when(in_params, F.struct("pos", F.col("tok").alias("t"))))).alias("_params"),
         F.max(F.when(F.col("pos") == F.col("name_pos"), F.col("tok"))).alias("name"))
+    if compat:
+        types = F.array_join(F.transform("_types", lambda s: s["t"]), ",")
+    else:
+        types = _abi_types(funcs, t, key)
+        funcs = funcs.join(_contract_names(t, key), key, "left")
     funcs = funcs.select(
         F.col(key), F.lit(side).alias("side"), F.col("start").alias("pos"), "name", "n_tokens",
         F.array_join(F.transform("_pieces", lambda s: s["p"]), "").alias("text"),
-        F.concat(F.col("name"), F.lit("("), F.array_join(F.transform("_types", lambda s: s["t"]), ","), F.lit(")"))
-        .alias("signature"))
+        F.concat(F.col("name"), F.lit("("), types, F.lit(")")).alias("signature"))
     funcs = funcs.filter(F.col("n_tokens") > min_tokens)
     if side == "decompiled":
         parts = F.split(F.col("name"), "_")
@@ -160,6 +161,38 @@ def extract_functions(df: DataFrame, key: str = "codehash", text: str = "text",
         key, "side", "pos", "name", "signature", "selector", "n_tokens", "text", F.lit(None).cast("string").alias("error"))
 
 
+_CONTRACT_WORDS = ("contract", "interface", "library")
+
+
+def _contract_names(t: DataFrame, key: str) -> DataFrame:
+    """Names declared by ``contract``/``interface``/``library`` in each text
+    (bounded by the number of such declarations in one file)."""
+    w_before = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    prev = F.last(F.when(F.col("kind") != "ws", F.col("tok")), ignorenulls=True).over(w_before)
+    decl = t.withColumn("_prev", prev).filter((F.col("kind") == "ident") & F.col("_prev").isin(*_CONTRACT_WORDS))
+    return decl.groupBy(key).agg(F.collect_set("tok").alias("_cnames"))
+
+
+def _abi_types(funcs: DataFrame, t: DataFrame, key: str) -> Column:
+    """``compat=False``: every parameter's type, ABI-canonicalised: ``int`` ->
+    ``int256``, ``uint`` -> ``uint256``, ``byte`` -> ``bytes1``, contract /
+    interface / library types -> ``address``; array dimensions are kept
+    (``T[3][]``).  Other user-defined types keep their name."""
+    toks = F.transform("_params", lambda s: s["t"])
+    body = F.regexp_replace(F.array_join(toks, " "), r"^\( ?", "")
+    params = F.filter(F.split(body, " ?, ?"), lambda p: p != "")
+
+    def canon(p):
+        first = F.regexp_extract(p, r"^(\S+)", 1)
+        dims = F.regexp_replace(F.regexp_extract(p, r"^\S+((?: \[(?: [0-9]+)? \])*)", 1), " ", "")
+        mapped = (F.when(first == "uint", F.lit("uint256")).when(first == "int", F.lit("int256"))
+                   .when(first == "byte", F.lit("bytes1"))
+                   .when(F.coalesce(F.array_contains(F.col("_cnames"), first), F.lit(False)), F.lit("address"))
+                   .otherwise(first))
+        return F.concat(mapped, dims)
+    return F.array_join(F.transform(params, canon), ",")
+
+
 def last_definition(funcs: DataFrame, key: str = "codehash") -> DataFrame:
     """The last definition of a selector in a contract wins."""
     w = Window.partitionBy(key, "side", "selector").orderBy(F.col("pos").desc())

@@ -34,7 +34,12 @@ def test_extraction_goldens(spark):
 def test_extraction_non_compat_signature(spark):
     df = spark.createDataFrame([("0xabc", CONTRACT)], "codehash string, text string")
     got = {r.name: r.signature for r in X.extract_functions(df, compat=False).collect()}
-    assert got["many"] == "many(uint256[],int256)"
+    assert got["many"] == "many(uint256[],address,int256)"          # FIXTURES §3
+    assert got["transfer"] == "transfer(address,uint256)"
+    dims = spark.createDataFrame([("0x1", "interface I {} function g(uint[3][] memory a, byte b, I c) public { "
+                                   + "x = 1; x = 2; x = 3; x = 4; }")], "codehash string, text string")
+    sig = X.extract_functions(dims, compat=False).first().signature
+    assert sig == "g(uint256[3][],bytes1,address)"
 
 
 def test_decompiled_side(spark):
