@@ -38,9 +38,13 @@ def decode_lenient(lines: DataFrame, value: str = "value", delim: str = RECORD_D
 
 
 def decode_strict(lines: DataFrame, value: str = "value", delim: str = RECORD_DELIM,
-                  trim_funcs: bool = False) -> DataFrame:
-    """Label as int, func2 newlines -> spaces; bad rows keep an
-    ``error`` (wrong field count, non-integer label) for the quarantine."""
+                  trim_funcs: bool = False, mode: str = "permissive") -> DataFrame:
+    """Label as int, func2 newlines -> spaces.  ``mode``:
+    ``permissive`` keeps bad rows with an ``error`` (wrong field count,
+    non-integer label) for the quarantine; ``dropmalformed`` drops them;
+    ``failfast`` fails the job on the first one."""
+    if mode not in ("permissive", "dropmalformed", "failfast"):
+        raise ValueError(f"unknown mode {mode}")
     parts = split_keep_empty(F.col(value), delim)
     part = lambda i: F.get(parts, i)  # noqa: E731  (NULL past the end; short rows are flagged)
     label_txt = F.trim(part(0))
@@ -50,8 +54,14 @@ def decode_strict(lines: DataFrame, value: str = "value", delim: str = RECORD_DE
         f1, f2 = py_strip(f1), py_strip(f2)
     error = (F.when(F.size(parts) < 5, F.lit("too_few_fields"))
               .when(label.isNull(), F.lit("label_not_int")))
-    return lines.select(label.alias("label"), part(1).alias("codehash1"), part(2).alias("codehash2"),
-                        f1.alias("func1"), f2.alias("func2"), error.alias("error"))
+    out = lines.select(label.alias("label"), part(1).alias("codehash1"), part(2).alias("codehash2"),
+                       f1.alias("func1"), f2.alias("func2"), error.alias("error"))
+    if mode == "dropmalformed":
+        return out.filter(F.col("error").isNull())
+    if mode == "failfast":
+        failed = F.raise_error(F.concat(F.lit("malformed pair record: "), F.col("error")))
+        return out.withColumn("error", F.when(F.col("error").isNotNull(), failed.cast("string")))
+    return out
 
 
 def ok_rows(df: DataFrame) -> DataFrame:

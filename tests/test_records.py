@@ -30,3 +30,13 @@ def test_review_lines(spark):
     df = spark.createDataFrame([("0xa", "0xb", "f a", "g\nb")], "codehash_a string, codehash_b string, func_a string, func_b string")
     r = records.encode_review(df).collect()[0]
     assert r.value == "0xa<SPLIT>0xb<SPLIT>f a<SPLIT>gb" and r.error is None
+
+
+def test_strict_reader_modes(spark):
+    import pytest
+    df = spark.createDataFrame([("1<CODESPLIT>a<CODESPLIT>b<CODESPLIT>f<CODESPLIT>g",), ("oops",)], "value string")
+    assert records.decode_strict(df, mode="dropmalformed").count() == 1
+    with pytest.raises(Exception, match="malformed pair record"):
+        records.decode_strict(df, mode="failfast").collect()
+    with pytest.raises(ValueError):
+        records.decode_strict(df, mode="bogus")
