@@ -55,3 +55,12 @@ def test_linearize_udf_quarantines(spark):
     got = {r.f: (r.linear, r.linear_error) for r in L.linearize(df, "f").collect()}
     assert got["function a() public { x = 1; }"] == ("function a(){x=1}", None)
     assert got["function b( {"][0] is None and got["function b( {"][1]
+
+
+def test_pairs_need_both_sides(spark):
+    df = spark.createDataFrame([("function a() public { x = 1; }", "function b() public { y = 2; }"),
+                                ("function a() public { x = 1; }", "function b( {")], "func1 string, func2 string")
+    got = L.linearize_pairs(df, ["func1", "func2"], mode="append").collect()
+    ok = [r for r in got if r.error is None]
+    assert len(ok) == 1 and ok[0].func1 == "function a() public { x = 1; } function a(){x=1}"
+    assert len([r for r in got if r.error]) == 1
