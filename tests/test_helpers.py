@@ -90,3 +90,8 @@ def test_table_cache_builds_once(spark):
     assert cached_table(spark, key, build).count() == 5
     assert cached_table(spark, key, build).count() == 5
     assert len(calls) == 1
+
+
+def test_non_blank_uses_python_space_set(spark):
+    df = spark.createDataFrame([("  　\t",), (" ",), (" x ",), ("",)], "line string")
+    assert [r.line for r in rows.non_blank(df, "line").collect()] == [" x "]
