@@ -1,8 +1,9 @@
 """Session construction and the shared scratch folder.
 
 On a cluster the scratch folder is whatever ``spark.checkpoint.dir`` names
-(a shared file system).  Only when that is unset -- local runs and tests --
-do we create one under the system temp folder and register it.
+(a shared file system).  Only a ``local`` master, whose one process reads and
+writes everything, gets a folder below the system temp folder when that is
+unset; any other master without the setting is an error.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -59,6 +61,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="pairforge-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)
@@ -69,3 +73,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared checkpoint folder (for written tables)."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "pairforge", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application,
+    so that they can import it wherever the session was started."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 -- remote session: the server owns its workers' path
+        return
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="pairforge-pkg-"), "pairforge.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
