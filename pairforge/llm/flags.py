@@ -94,6 +94,8 @@ def _reducer(later: bool):
             return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=dtype)
 
         keys, owners = joined("keys", U64), joined("owners", np.int64)
+        if not len(keys):
+            return _by_owner(keys, owners)
         if table.column("bucket")[0].as_py() < 0:
             return _by_owner(keys, owners)
         keys, owners, starts, run, order = _sorted_runs(keys, owners)
@@ -101,7 +103,7 @@ def _reducer(later: bool):
             hit = owners != owners[starts][run]
         else:
             shared = joined("shared", np.uint8)[order]
-            several = np.diff(np.concatenate([starts, [len(keys)]])) > 1
+            several = owners[starts] != owners[np.concatenate([starts[1:], [len(keys)]]) - 1]
             hit = (several | (np.add.reduceat(shared, starts) > 0))[run] & (shared == 0)
         return _by_owner(keys[hit], owners[hit])
     return reduce

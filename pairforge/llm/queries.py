@@ -27,3 +27,10 @@ def op7_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pairforge.llm.phrase_dedup import repeated_words
     return (repeated_words(load(spark, sf_dir, "documents"), window=50)
             .select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
+@_query
+def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.suffix_dedup import repeated_bytes
+    return (repeated_bytes(load(spark, sf_dir, "documents"), length=50)
+            .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
