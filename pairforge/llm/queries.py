@@ -34,3 +34,21 @@ def op8_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pairforge.llm.suffix_dedup import repeated_bytes
     return (repeated_bytes(load(spark, sf_dir, "documents"), length=50)
             .select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
+@_query
+def op4_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.packing import pack
+    return pack(load(spark, sf_dir, "documents"), sequence=2048)
+
+
+@_query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.language_id import identify
+    return identify(load(spark, sf_dir, "documents"))
+
+
+@_query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.quality import judge
+    return judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
