@@ -52,3 +52,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pairforge.llm.quality import judge
     return judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+@_query
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.html_text import main_text
+    return main_text(load(spark, sf_dir, "pages"))
+
+
+@_query
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.decontamination import contamination
+    return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
