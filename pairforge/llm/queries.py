@@ -4,6 +4,7 @@ whole tables, and the SQL of those that SQL can express."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairforge.sources.tables import load
 
@@ -64,3 +65,22 @@ def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pairforge.llm.decontamination import contamination
     return contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.warc import archived
+    return archived(load(spark, sf_dir, "pages"), min_bytes=0)
+
+
+@_query
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents have no paths: the source and the digits of doc_id make the
+    directories, and every tenth file of one is named as its licence file."""
+    from pairforge.llm.licences import scan_licences
+    number = F.col("doc_id")
+    path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), (F.floor(number / 1000)).cast("string"),
+                       F.pmod(F.floor(number / 100), F.lit(10)).cast("string"),
+                       F.when(F.pmod(number, F.lit(10)) == 0, F.lit("LICENSE"))
+                       .otherwise(F.concat(number.cast("string"), F.lit(".txt"))))
+    return scan_licences(load(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
