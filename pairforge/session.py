@@ -47,6 +47,7 @@ def build_session(master: str | None = None, app: str = "pairforge",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
