@@ -40,6 +40,13 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def beside(slim: DataFrame) -> DataFrame:
+    """The slim side of a join with whole texts.  Texts are shuffled once by id and
+    the slim side is hashed, at every size: no broadcast that grows with the
+    corpus, no sorting of texts."""
+    return slim.hint("shuffle_hash")
+
+
 def documents(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id`` (bigint) and the named columns of the rows that have an id."""
     return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), *columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import (U64, byte_texts, covered, documents, free_shuffles, gram_hashes, id_array,
+from pairforge.llm.common import (U64, beside, byte_texts, covered, documents, free_shuffles, gram_hashes, id_array,
                                   list_column, list_values, long_gram_hashes, runs_of, save, window_minimizers,
                                   word_hashes)
 from pairforge.llm.flags import flagged_keys
@@ -156,12 +156,12 @@ def repeated_words(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     heads = scanned.join(first.select(F.col("first").alias("doc_id")), "doc_id", "left_semi").where("size(keys) > 0")
     n_seeds = scanned.agg(F.sum(F.size("keys"))).first()[0] or 0
     confirmed = flagged_keys(heads.select("doc_id", "keys"), n_seeds)
-    located = save(texts.join(confirmed, "doc_id").mapInArrow(
+    located = save(texts.join(beside(confirmed), "doc_id").mapInArrow(
         _locator(window, seed), "doc_id bigint, body binary, keys array<bigint>"), "phrase-located")
     free_shuffles(docs.sparkSession)
     n_windows = located.agg(F.sum(F.size("keys"))).first()[0] or 0
     later = flagged_keys(located.select("doc_id", "keys"), n_windows, later=True)
-    cut = save(located.select("doc_id", "body").join(later, "doc_id").mapInArrow(
+    cut = save(located.select("doc_id", "body").join(beside(later), "doc_id").mapInArrow(
         _cutter(window), "doc_id bigint, n_removed bigint, kept_sha256 string, spans array<bigint>")
         .dropDuplicates(["doc_id"]), "phrase-cut")
     free_shuffles(docs.sparkSession)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import documents
+from pairforge.llm.common import beside, documents
 
 BUCKETS = 16_384
 #: smallest mean log ratio of a kept document: labelled clean documents lie above, labelled junk below
@@ -93,8 +93,8 @@ def _grams(rows: DataFrame, buckets: int, *keep: str) -> DataFrame:
 def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """(bucket, weight in millionths) from all documents and the trusted doc_ids."""
     marked = documents(docs, "text").join(
-        trusted.where("doc_id is not null").select(F.col("doc_id").cast("bigint"), F.lit(1).alias("trusted"))
-        .distinct(), "doc_id", "left")
+        beside(trusted.where("doc_id is not null").select(F.col("doc_id").cast("bigint"), F.lit(1).alias("trusted"))
+               .distinct()), "doc_id", "left")
     counts = (_grams(marked.select("text", F.coalesce("trusted", F.lit(0)).alias("trusted")), buckets, "trusted")
               .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")))
     totals = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
