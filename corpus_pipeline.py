@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import save
+from pairforge.llm.common import beside, save
 from pairforge.llm.decontamination import contamination
 from pairforge.llm.language_id import UNKNOWN, identify
 from pairforge.llm.near_dedup import near_duplicates
@@ -23,7 +23,7 @@ from pairforge.sources.tables import load
 
 def _only(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
     """The documents whose doc_id is (or, left_anti, is not) among the ids."""
-    wanted = ids.select(F.col("doc_id").alias("_id"))
+    wanted = beside(ids.select(F.col("doc_id").alias("_id")))
     rows = docs.where("doc_id is not null")
     return rows.join(wanted, rows["doc_id"] == wanted["_id"], how)
 
@@ -44,7 +44,7 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     is left goes.  Other texts stay as they are."""
     found = repeated_words(docs, window=50).where("n_removed > 0").groupBy("doc_id").agg(
         F.first("spans").alias("_spans"), (F.first("n_removed") < F.first("n_words")).alias("_some"))
-    rows = docs.where("doc_id is not null").join(found.withColumnRenamed("doc_id", "_id"),
+    rows = docs.where("doc_id is not null").join(beside(found.withColumnRenamed("doc_id", "_id")),
                                                  F.col("doc_id") == F.col("_id"), "left")
     ranges = F.transform(F.sequence(F.lit(0), F.size("_spans") - 2, F.lit(2)),
                          lambda k: F.struct(F.get("_spans", k).alias("a"), F.get("_spans", k + 1).alias("b")))
