@@ -23,6 +23,7 @@ SLICE_KEYS = 2_000_000
 
 _BLOBS = "bucket bigint, keys binary, owners binary, shared binary"
 _OUT = "doc_id bigint, keys array<bigint>"
+_FLAT = "doc_id bigint, key bigint"
 
 
 def _pack(bucket: int, keys, owners, shared) -> dict:
@@ -88,16 +89,22 @@ def _by_owner(keys, owners) -> pa.Table:
     return pa.table({"doc_id": pa.array(owners[starts], type=pa.int64()), "keys": list_column(parts)})
 
 
+def _flat(keys, owners) -> pa.Table:
+    return pa.table({"doc_id": pa.array(owners, type=pa.int64()), "key": pa.array(keys.view(np.int64))})
+
+
 def _reducer(later: bool):
+    give = _by_owner if later else _flat
+
     def reduce(table: pa.Table) -> pa.Table:
         def joined(name, dtype):
             return np.frombuffer(b"".join(table.column(name).to_pylist()), dtype=dtype)
 
         keys, owners = joined("keys", U64), joined("owners", np.int64)
         if not len(keys):
-            return _by_owner(keys, owners)
+            return give(keys, owners)
         if table.column("bucket")[0].as_py() < 0:
-            return _by_owner(keys, owners)
+            return give(keys, owners)
         keys, owners, starts, run, order = _sorted_runs(keys, owners)
         if later:
             hit = owners != owners[starts][run]
@@ -105,7 +112,7 @@ def _reducer(later: bool):
             shared = joined("shared", np.uint8)[order]
             several = owners[starts] != owners[np.concatenate([starts[1:], [len(keys)]]) - 1]
             hit = (several | (np.add.reduceat(shared, starts) > 0))[run] & (shared == 0)
-        return _by_owner(keys[hit], owners[hit])
+        return give(keys[hit], owners[hit])
     return reduce
 
 
@@ -120,5 +127,6 @@ def flagged_keys(sets: DataFrame, n_keys: int, later: bool = False) -> DataFrame
     """
     buckets = max(12, n_keys // BUCKET_KEYS)
     blobs = sets.select("doc_id", "keys").mapInArrow(_packer(buckets, later), _BLOBS)
-    parts = blobs.groupBy("bucket").applyInArrow(_reducer(later), _OUT)
-    return parts.groupBy("doc_id").agg(F.flatten(F.collect_list("keys")).alias("keys"))
+    parts = blobs.groupBy("bucket").applyInArrow(_reducer(later), _OUT if later else _FLAT)
+    keys = F.flatten(F.collect_list("keys")) if later else F.collect_list("key")
+    return parts.groupBy("doc_id").agg(keys.alias("keys"))
