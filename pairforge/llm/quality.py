@@ -1,8 +1,8 @@
 """Quality by the log-likelihood ratio of hashed n-grams, with base rules.
 
 Words and word pairs are hashed into buckets.  A bucket's weight is the log
-ratio of its smoothed shares among the trusted documents and among all
-documents; a document's score is the mean weight of its n-grams.  Weights are
+ratio of its shares among the trusted documents (smoothed towards all
+documents) and among all documents; a document's score is the mean weight of its n-grams.  Weights are
 whole millionths, so sums don't depend on the order of rows and the threshold
 decides every document the same way each time.
 
@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import beside, documents
+from pairforge.llm.common import beside, documents, save
 
 BUCKETS = 16_384
 #: smallest mean log ratio of a kept document: labelled clean documents lie above, labelled junk below
@@ -95,12 +95,14 @@ def bucket_weights(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS)
     marked = documents(docs, "text").join(
         beside(trusted.where("doc_id is not null").select(F.col("doc_id").cast("bigint"), F.lit(1).alias("trusted"))
                .distinct()), "doc_id", "left")
-    counts = (_grams(marked.select("text", F.coalesce("trusted", F.lit(0)).alias("trusted")), buckets, "trusted")
-              .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")))
+    # one row per bucket: written, as the totals and the weights both read it
+    counts = save(_grams(marked.select("text", F.coalesce("trusted", F.lit(0)).alias("trusted")), buckets, "trusted")
+              .groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("trusted").alias("target")), "quality-counts")
     totals = counts.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     raw, target = totals["raw"] or 0, totals["target"] or 0
-    weight = (F.log((F.col("target") + 1) / F.lit(target + buckets))
-              - F.log((F.col("raw") + 1) / F.lit(raw + buckets))) if target else F.lit(0.0)
+    # the raw share is the prior of the target share: rare buckets lean to neither side
+    share = (F.col("raw") + 1) / F.lit(raw + buckets)
+    weight = F.log((F.col("target") + buckets * share) / (F.lit(target + buckets) * share)) if target else F.lit(0.0)
     return counts.select("bucket", F.round(weight * MILLION).cast("bigint").alias("weight"))
 
 
