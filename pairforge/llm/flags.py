@@ -19,7 +19,7 @@ from pairforge.llm.common import U64, id_array, list_column, list_values
 #: keys that one bucket holds on average
 BUCKET_KEYS = 400_000
 #: keys that are sorted and packed at once
-SLICE_KEYS = 2_000_000
+SLICE_KEYS = 1_000_000
 
 _BLOBS = "bucket bigint, keys binary, owners binary, shared binary"
 _OUT = "doc_id bigint, keys array<bigint>"

@@ -146,7 +146,8 @@ def _region(path: tuple) -> tuple[bool, bool]:
     return content, boiler
 
 
-def block_features(block: Block, place: int, total: int) -> list[str]:
+def block_features(block: Block, place: int, total: int, held: bool) -> list[str]:
+    """``held``: the page has a content container."""
     text, path = block.text, block.path
     content, boiler = _region(path)
     size = len(text)
@@ -163,10 +164,21 @@ def block_features(block: Block, place: int, total: int) -> list[str]:
     if "©" in text:
         found.append("sign=copyright")
     if not content and not boiler:
-        found.append("plain")
+        found.append("outside" if held else "plain")
     return found
 
 
+def page_features(blocks: list[Block]) -> list[list[str]]:
+    held = any(_region(b.path)[0] for b in blocks)
+    return [block_features(b, i, len(blocks), held) for i, b in enumerate(blocks)]
+
+
+def without_container(features: list[str]) -> list[str]:
+    """A block's features as if its page had no content container."""
+    kept = [f for f in features if f not in _CONTAINER]
+    return kept if "boiler" in kept else [*kept, "plain"]
+
+
 def page_labels(blocks: list[Block]) -> list[int] | None:
     """Labels of a page with a content container, else None."""
     regions = [_region(b.path) for b in blocks]
@@ -266,13 +278,13 @@ def _teach(batches):
             labels = page_labels(blocks)
             if labels:
                 rows.append({"page_id": page_id, "labels": labels,
-                             "features": [block_features(b, i, len(blocks)) for i, b in enumerate(blocks)]})
+                             "features": page_features(blocks)})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
             ("page_id", pa.int64()), ("labels", pa.list_(pa.int32())),
             ("features", pa.list_(pa.list_(pa.string())))]))
 
 
-_CONTAINER = {"content", "plain", *(f"above={t}" for t in _CONTENT)}
+_CONTAINER = {"content", "outside", *(f"above={t}" for t in _CONTENT)}
 
 
 def learn(pages: DataFrame, sample: int = SAMPLE) -> ChainModel:
@@ -281,7 +293,7 @@ def learn(pages: DataFrame, sample: int = SAMPLE) -> ChainModel:
     rows.sort(key=lambda r: (r["page_id"], r["labels"]))
     taught = []
     for k, r in enumerate(rows):
-        features = r["features"] if k % 2 else [[f for f in block if f not in _CONTAINER] for block in r["features"]]
+        features = r["features"] if k % 2 else [without_container(f) for f in r["features"]]
         taught.append((features, r["labels"]))
     return train_chain(taught) if taught else DEFAULT
 
@@ -292,7 +304,7 @@ def _extractor(model: ChainModel):
             texts = []
             for html in batch.column("html").to_pylist():
                 blocks = leaf_blocks(html or "")
-                labels = model.decode([block_features(b, i, len(blocks)) for i, b in enumerate(blocks)])
+                labels = model.decode(page_features(blocks))
                 texts.append("\n".join(b.text for b, keep in zip(blocks, labels, strict=True) if keep))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),

@@ -154,11 +154,13 @@ def _digester(batches):
 
 def _recorder(batches):
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "refers_to"))
-        records = [warc_record(p, u, t, d, r).decode()
-                   for p, u, d, r, t in zip(*columns, byte_texts(batch.column("html")), strict=True)]
-        for i in range(0, len(records), 1000):
-            yield pa.RecordBatch.from_arrays([pa.array(records[i:i + 1000], pa.string())], names=["value"])
+        for i in range(0, batch.num_rows, 500):
+            part = batch.slice(i, 500)
+            columns = (part.column(c).to_pylist() for c in ("page_id", "url", "digest", "refers_to"))
+            yield pa.RecordBatch.from_arrays([pa.array(
+                [warc_record(p, u, t, d, r).decode()
+                 for p, u, d, r, t in zip(*columns, byte_texts(part.column("html")), strict=True)], pa.string())],
+                names=["value"])
 
 
 _CAPTURE = [("urlkey", pa.string()), ("timestamp", pa.string()), ("page_id", pa.int64()), ("archive", pa.string()),
