@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import U64, documents, gram_hashes, save
+from pairforge.llm.common import U64, documents, mix, odd_multipliers, save
 
 #: edits per character of an item
 RATE = 0.1
@@ -32,34 +32,54 @@ BLOCK_CHARS = 2_000_000
 #: bits of the first look-up table
 _TABLE = 22
 #: characters of documents compared at once
-CHUNK_CHARS = 400_000
+CHUNK_CHARS = 200_000
 
 
 def normal(text: str | None) -> np.ndarray:
     return np.frombuffer(" ".join((text or "").lower().split()).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+def _grams(codes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of ``size`` characters, by doubling."""
+    if len(codes) < size:
+        return np.empty(0, dtype=U64)
+    with np.errstate(over="ignore"):
+        acc, done = mix(codes.astype(U64)) if size < 4 else codes.astype(U64) * _STEPS[0], 1
+        while done < size:
+            ahead = min(done, size - done)
+            acc = acc[:len(acc) - ahead] * _STEPS[done.bit_length()] + acc[ahead:]
+            done += ahead
+        acc ^= acc >> U64(32)
+        return acc * _STEPS[0]
+
+
+_STEPS = odd_multipliers(64, 606)
+
+
 class _GramTable:
     """Where each q-gram of the items stands."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], gram: int):
         self.gram = gram
-        hashes = [gram_hashes(codes.astype(U64), gram, seed=606) for _, codes in items]
+        hashes = [_grams(codes, gram) for _, codes in items]
         which = np.repeat([i for i, _ in items], [len(h) for h in hashes])
         place = np.concatenate([np.arange(len(h)) for h in hashes])
         flat = np.concatenate(hashes)
         order = np.argsort(flat, kind="stable")
-        self.hashes, self.item, self.place = flat[order], which[order].astype(np.int64), place[order]
+        self.item, self.place = which[order].astype(np.int64), place[order]
+        self.hashes, self.low, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.there = np.zeros(1 << _TABLE, dtype=bool)
         self.there[(self.hashes >> U64(64 - _TABLE)).astype(np.int64)] = True
 
     def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in the document, item, place in the item) of the shared q-grams."""
-        grams = gram_hashes(codes.astype(U64), self.gram, seed=606)
+        grams = _grams(codes, self.gram)
         at = np.flatnonzero(self.there[(grams >> U64(64 - _TABLE)).astype(np.int64)])
-        low = np.searchsorted(self.hashes, grams[at], "left")
-        counts = np.searchsorted(self.hashes, grams[at], "right") - low
-        picked = np.repeat(low - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        found = np.minimum(np.searchsorted(self.hashes, grams[at]), len(self.hashes) - 1)
+        real = self.hashes[found] == grams[at]
+        at, found = at[real], found[real]
+        low, counts = self.low[found], self.count[found]
+        picked = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
         return np.repeat(at, counts), self.item[picked], self.place[picked]
 
 
@@ -76,8 +96,9 @@ class ItemIndex:
             self.tables.append(_GramTable([(i, c) for i, c in enumerate(self.codes) if len(c) and grams[i] == q], q))
 
     def regions(self, codes: np.ndarray, bounds: np.ndarray):
-        """(document number, item, first and last diagonal) of the bands that reach the
-        q-gram bound; ``bounds``: the documents' ends in ``codes``."""
+        """(document number, item, first, last and busiest diagonal) of the bands that
+        reach the q-gram bound, neighbouring ones as one; ``bounds``: the documents'
+        ends in ``codes``."""
         for table in self.tables:
             at, item, place = table.hits(codes)
             doc = np.searchsorted(bounds, at, "right")
@@ -89,16 +110,31 @@ class ItemIndex:
             diagonal = at - place + self.sizes[item]
             band = diagonal // step
             # every diagonal lies in two bands of 2 * step diagonals that start a step apart
-            item, band, doc = np.tile(item, 2), np.concatenate([band, band - 1]), np.tile(doc, 2)
-            order = np.lexsort((band, item, doc))
-            item, band, doc = item[order], band[order], doc[order]
-            new = np.concatenate([[True], (item[1:] != item[:-1]) | (band[1:] != band[:-1]) | (doc[1:] != doc[:-1])])
-            starts = np.flatnonzero(new)
-            counts = np.diff(np.concatenate([starts, [len(item)]]))
-            for s in starts[counts >= self.bounds[item[starts]]]:
-                i, width = int(item[s]), int(self.budgets[item[s]]) + 1
-                low = int(band[s]) * width - int(self.sizes[i])
-                yield int(doc[s]), i, low, low + 2 * width - 1
+            wide, bands = int(2 * step.max()), int(band.max()) + 2
+            group = (doc * len(self.sizes) + item) * bands
+            within = diagonal - band * step
+            full = np.concatenate([(group + band + 1) * wide + within, (group + band) * wide + within + step])
+            full.sort()
+            key = full // wide
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            counts = np.diff(np.concatenate([starts, [len(key)]]))
+            group = key[starts] // bands
+            chosen = np.flatnonzero(counts >= self.bounds[group % len(self.sizes)])
+            k = 0
+            while k < len(chosen):
+                run = [chosen[k]]
+                while k + 1 < len(chosen) and len(run) < 3 and key[starts[chosen[k + 1]]] == key[starts[run[-1]]] + 1 \
+                        and group[chosen[k + 1]] == group[run[0]]:
+                    k += 1
+                    run.append(chosen[k])
+                k += 1
+                i, d = int(group[run[0]] % len(self.sizes)), int(group[run[0]] // len(self.sizes))
+                pace, first = int(self.budgets[i]) + 1, int(key[starts[run[0]]] % bands) - 1
+                busy = max(run, key=lambda r: counts[r])
+                places, often = np.unique(full[starts[busy]:starts[busy] + counts[busy]] % wide, return_counts=True)
+                shift = -int(self.sizes[i])
+                yield (d, i, first * pace + shift, (first + len(run) + 1) * pace - 1 + shift,
+                       (int(key[starts[busy]] % bands) - 1) * pace + int(places[np.argmax(often)]) + shift)
 
 
 def banded_edits(item: np.ndarray, text: np.ndarray, low: int, high: int, budget: int) -> tuple[int, int, int] | None:
@@ -137,9 +173,13 @@ def _matches(index: ItemIndex, ids: list, texts: list) -> list[dict]:
     bounds = np.cumsum([len(t) for t in texts])
     codes = np.concatenate(texts) if texts else np.empty(0, dtype=np.uint32)
     best: dict[tuple, tuple] = {}
-    for doc, i, low, high in index.regions(codes, bounds):
+    for doc, i, low, high, busy in index.regions(codes, bounds):
         origin = int(bounds[doc]) - len(texts[doc])
-        found = banded_edits(index.codes[i], texts[doc], low - origin, high - origin, int(index.budgets[i]))
+        item, text, at = index.codes[i], texts[doc], busy - origin
+        if 0 <= at and np.array_equal(text[at:at + len(item)], item):  # nothing aligns better
+            found = (0, at, at + len(item))
+        else:
+            found = banded_edits(item, text, low - origin, high - origin, int(index.budgets[i]))
         if found:
             key = (doc, i, found[1] // max(1, int(index.sizes[i])))
             best[key] = min(best.get(key, found), found)
