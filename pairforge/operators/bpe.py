@@ -89,7 +89,9 @@ def _choose(top: list[tuple[str, int]], min_frequency: int, budget: int,
                 break
         chosen.append((left, right))
         used.update((left, right))
-        bound = max([m for (l2, r2), m in split if (r2 == left or l2 == right) and (l2, r2) != (left, right)]
+        # a symbol merged with itself makes the new pair (aa, aa) as well
+        bound = max([m for (l2, r2), m in split
+                     if (r2 == left or l2 == right) and ((l2, r2) != (left, right) or left == right)]
                     + [bound])
     return chosen
 

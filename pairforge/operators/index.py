@@ -129,15 +129,8 @@ def sample_by_hash(df: DataFrame, seed, key_cols, k: int) -> DataFrame:
               .orderBy(F.col("_pf_h"), *keys).limit(k).drop("_pf_h"))
 
 
-# Above this many rows an offset slice is cut from a dense index instead of a
-# per-task top-(offset+n) heap.
-_TAKE_ORDERED_MAX = 100_000
-
-
 def offset_slice(df: DataFrame, order_cols, start: int, n: int, name: str | None = None) -> DataFrame:
     """Rows ``[start, start + n)`` of a total order."""
-    if start + n <= _TAKE_ORDERED_MAX and name is None:
-        return df.orderBy(*_cols(order_cols)).offset(start).limit(n)
     col = name or "_pf_slice"
     out = dense_index(df, order_cols, col).filter(
         (F.col(col) >= start) & (F.col(col) < start + n))

@@ -19,9 +19,9 @@ def batch_scores(spark, sf_dir):
     """V5 + F11 + K8: conversation pair features scored in Arrow batches by a
     model function; the prediction is the argmax of the logits, and each
     row's scored-instance line is built."""
-    f = pair_features(_pair_ids(spark, sf_dir), "a", "b", max_len=128)
+    f = pair_features(_pair_ids(spark, sf_dir), "a", "b", max_len=512)
     x = f.withColumn("x", F.transform("input_ids", lambda v: (v % 997).cast("float") / 997.0))
-    s = scoring.score(x, "x", scoring.linear_model(128, 2), 128)
+    s = scoring.score(x, "x", scoring.linear_model(512, 2), 512)
     s = s.withColumn("logits", F.transform("logits", lambda v: F.round(v, 4)))
     return s.select("codehash", "selector", scoring.argmax_prediction(F.col("logits")).alias("pred"), "logits",
                     writers.scored_lines(["codehash", "selector"], "logits").alias("scored_line"))

@@ -20,11 +20,14 @@ PAIR_FIELDS = ("label", "codehash1", "codehash2", "func1", "func2")
 def encode_records(df: DataFrame, fields=PAIR_FIELDS, delim: str = RECORD_DELIM,
                    out: str = "value") -> DataFrame:
     """K1: one text line per row plus an ``error`` column (NULL when clean)."""
-    cols = [F.col(f).cast("string") for f in fields]
+    # line breaks go first: what they split may be the delimiter
+    cols = [remove_line_breaks(F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in fields]
     clash = F.lit(False)
     for c in cols:
-        clash = clash | F.coalesce(c.contains(delim), F.lit(False))
-    line = remove_line_breaks(F.concat_ws(delim, *[F.coalesce(c, F.lit("")) for c in cols]))
+        clash = clash | c.contains(delim)
+    line = F.concat_ws(delim, *cols)
+    # a field's end and the next delimiter may spell another one
+    clash = clash | (F.size(split_keep_empty(line, delim)) != len(fields))
     return df.select("*", line.alias(out),
                      F.when(clash, F.lit("delimiter_in_field")).alias("error"))
 

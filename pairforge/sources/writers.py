@@ -41,9 +41,9 @@ def write_predictions(df: DataFrame, path: str, index_col: str = "index", pred_c
 
 
 def scored_lines(fields: list[str], logits: str = "logits", delim: str = "<CODESPLIT>") -> Column:
-    """K8: the original fields (non-ASCII dropped) plus the logits, joined."""
-    parts = [drop_non_ascii(F.col(f).cast("string")) for f in fields]
-    parts.append(F.array_join(F.transform(F.col(logits), lambda x: x.cast("string")), ","))
+    """K8: the original fields (non-ASCII dropped) and every logit, joined by the delimiter."""
+    parts = [drop_non_ascii(F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in fields]
+    parts.append(F.array_join(F.transform(F.col(logits), lambda x: x.cast("string")), delim))
     return F.concat_ws(delim, *parts)
 
 

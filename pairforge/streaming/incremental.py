@@ -5,16 +5,19 @@ A file-source stream reads new files in micro-batches
 the same stateless DataFrame transform as the batch job (R2) and appends
 each micro-batch to a parquet table (R3).  The streaming checkpoint
 replaces hand-kept resume offsets; each batch is written to its own
-``batch=<id>`` folder with overwrite, so a replayed batch replaces its
-earlier attempt (exactly-once output).  Ids continue across batches: every
+``batch=<run>-<id>`` folder with overwrite, so a replayed batch replaces its
+earlier attempt (exactly-once output).  The run's name is kept beside the
+checkpoint: another stream into the same table has its own folders.  Ids continue across batches: every
 batch starts after the largest id already in the table.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -25,8 +28,17 @@ from pairforge.operators.index import dense_index
 def _read_or_none(spark: SparkSession, path: str):
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 -- nothing written there yet
-        return None
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing written there yet
+            return None
+        raise
+
+
+def _run_name(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the stream that owns this checkpoint folder, made at its first start."""
+    path = checkpoint.rstrip("/") + "-run"
+    spark.createDataFrame([(uuid.uuid4().hex[:12],)], "name string").coalesce(1).write.mode("ignore").text(path)
+    return spark.read.text(path).first()[0]
 
 
 def incremental_append(spark: SparkSession, source_dir: str, schema: StructType, out_path: str,
@@ -47,9 +59,10 @@ def incremental_append(spark: SparkSession, source_dir: str, schema: StructType,
     m = existing.agg(F.max(id_col)).collect()[0][0] if existing is not None else None
     state = {"next": 0 if m is None else int(m) + 1}
     seen = []
+    run = _run_name(spark, checkpoint)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        path = os.path.join(out_path, f"batch={batch_id}")
+        path = os.path.join(out_path, f"batch={run}-{batch_id}")
         earlier = _read_or_none(spark, path)
         start = state["next"]
         if earlier is not None:  # replay: keep the ids this batch had

@@ -42,7 +42,7 @@ def test_loaders(spark):
 def test_writers(spark):
     df = spark.createDataFrame([(1, "zé", [0.5, -1.0], "train")], "label int, f string, logits array<double>, split string")
     line = df.select(writers.scored_lines(["label", "f"]).alias("x"))
-    assert line.first().x == "1<CODESPLIT>z<CODESPLIT>0.5,-1.0"
+    assert line.first().x == "1<CODESPLIT>z<CODESPLIT>0.5<CODESPLIT>-1.0"
     root = tempfile.mkdtemp(prefix="pf-w-")
     writers.write_split_text(df.withColumn("text", F.col("f")), os.path.join(root, "t"))
     assert os.path.isdir(os.path.join(root, "t", "split=train"))
