@@ -124,4 +124,5 @@ def keccak256_hex(data: bytes) -> str:
 @F.pandas_udf(T.StringType())
 def keccak_selector(sig: pd.Series) -> pd.Series:
     """First 8 hex digits of keccak-256 of each signature (4-byte selector)."""
-    return sig.map(lambda s: None if s is None else keccak256_hex(s.encode("utf-8"))[:8])
+    known = {s: keccak256_hex(s.encode("utf-8"))[:8] for s in sig.dropna().unique()}
+    return sig.map(lambda s: known.get(s))

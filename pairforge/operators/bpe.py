@@ -1,8 +1,9 @@
 """Byte-level BPE vocabulary: pre-token counts, merge training, encoding
 (A17, A18, Z1).
 
-* Pre-tokens come from one JVM regex (letters, digits, other runs, each
-  optionally led by one space; whitespace runs).
+* Pre-tokens come from one JVM regex: the byte-level split rule (English
+  contractions; letters, digits, other runs, each optionally led by one space;
+  whitespace runs, whose last character goes with a word that follows).
 * Symbols are the UTF-8 bytes of a pre-token written as two hex digits, so
   a word is a space-separated symbol string and a merge is a plain string
   rewrite that needs no escaping.
@@ -16,7 +17,7 @@
   checkpointed every few rounds to cut lineage.
 * Encoding applies the ranked merges to each pre-token inside an
   Arrow-batched pandas UDF (per-task cache of word encodings); the merge
-  table is bounded by the vocabulary size and checked before it is shipped.
+  table is bounded by the vocabulary size, which is the caller's.
 """
 
 from __future__ import annotations
@@ -31,11 +32,15 @@ from pyspark.sql import types as T
 
 from pairforge.session import ensure_checkpoint_dir
 
-PRETOKEN_RX = r" ?\p{L}+| ?\p{N}+| ?[^ \t\n\r\x0b\x0c\p{L}\p{N}]+|[ \t\n\r\x0b\x0c]+"
+# White space and the byte-level split rule.  A run of white space
+# before a word leaves its last character to the word's side.
+SPACE = r"\t-\r \x{85}\p{Z}"
+CONTRACTIONS = r"'s|'t|'re|'ve|'m|'ll|'d"
+PRETOKEN_RX = (CONTRACTIONS + r"| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+"
+               + "|[" + SPACE + "]+(?![^" + SPACE + "])|[" + SPACE + "]+")
 # Special tokens of the shipped vocabulary, in id order.
 SPECIAL_TOKENS = ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]"]
 N_BYTES = 256
-MAX_VOCAB = 1_000_000
 
 
 def pretokens(text: Column) -> Column:
@@ -108,8 +113,6 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, top_k:
     """Ordered merges ``[(left, right), ...]`` learnt from ``words``
     (``pretoken``, ``n``).  The vocabulary is the special tokens, the 256
     byte symbols and one token per merge, up to ``vocab_size``."""
-    if vocab_size > MAX_VOCAB:
-        raise ValueError(f"vocab_size {vocab_size} above {MAX_VOCAB}")
     spark = words.sparkSession
     ensure_checkpoint_dir(spark)
     budget = vocab_size - len(SPECIAL_TOKENS) - N_BYTES
@@ -189,12 +192,13 @@ def _encoder(merges: list[tuple[str, str]]):
 
 def encode_udf(merges: list[tuple[str, str]]):
     """Pandas UDF ``array<string> pre-tokens -> array<int> ids``."""
-    if len(merges) > MAX_VOCAB:
-        raise ValueError("merge table too large to ship to tasks")
     merges = list(merges)
+    encoders: list = []  # one per task: batches of a task share its word cache
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def encode(tokens: pd.Series) -> pd.Series:
-        enc = _encoder(merges)
+        if not encoders:
+            encoders.append(_encoder(merges))
+        enc = encoders[0]
         return tokens.map(lambda ws: [i for w in ws for i in enc(w)] if ws is not None else None)
     return encode

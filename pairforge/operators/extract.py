@@ -14,7 +14,7 @@
 4. Each token learns the function it belongs to from a running ``max`` of
    span starts, so no range join is needed; a function's text is its tokens
    joined in order.  Signature types are the type tokens between the name
-   and the first ``)``.  Keccak runs once per distinct signature.
+   and the first ``)``.  Keccak runs once per distinct signature and batch.
 
 The window partition is one text: the work per partition is bounded by the
 size of one contract, which must be scanned as a whole anyway.
@@ -82,13 +82,34 @@ def _next(cond: Column, value: Column, w) -> Column:
     return F.min(F.when(cond, value)).over(w)
 
 
+def _without_assembly(t: DataFrame, key: str) -> DataFrame:
+    """Tokens of ``assembly { ... }`` blocks, braces included, get the kind
+    ``other``: words in there are Yul, so its functions start nothing.
+
+    A ``{`` opens such a block if the last of ``assembly``, ``{``, ``}`` and ``;``
+    before it is ``assembly``; the block lasts while the depth stays at its own."""
+    in_order = Window.partitionBy(key).orderBy("pos")
+    upto = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    k = F.col("kind")
+    brace = k.isin("lbrace", "rbrace")
+    mark = F.last(F.when(brace | (k == "semi") | (F.col("tok") == "assembly"), F.col("tok")), ignorenulls=True)
+    t = t.withColumn("_mark", mark.over(in_order.rowsBetween(Window.unboundedPreceding, -1)))
+    t = t.withColumn("_depth", F.sum(F.when(k == "lbrace", 1).when(k == "rbrace", -1).otherwise(0)).over(upto))
+    t = t.withColumn("_blocks", F.sum(F.when((k == "lbrace") & (F.col("_mark") == "assembly"), 1).otherwise(0)).over(upto))
+    block = Window.partitionBy(key, "_blocks").orderBy("pos")
+    first = F.first("_depth").over(block.rowsBetween(Window.unboundedPreceding, 0))
+    lowest = F.min("_depth").over(block.rowsBetween(Window.unboundedPreceding, -1))
+    inside = (F.col("_blocks") > 0) & (F.coalesce(lowest, first) >= first)
+    return t.withColumn("kind", F.when(inside & (k != "ws"), F.lit("other")).otherwise(k)).drop("_mark", "_depth", "_blocks")
+
+
 def extract_functions(df: DataFrame, key: str = "codehash", text: str = "text", side: str = "contract",
                       compat: bool = True, min_tokens: int = MIN_TOKENS) -> DataFrame:
     """One row per function with a body of more than ``min_tokens``
     tokens: ``(key, side, pos, name, signature, selector, n_tokens, text, error)``.
     ``side='decompiled'`` takes the selector from the name (``Unresolved_<sel>``);
     a name without ``_`` gets ``error`` set instead of failing the job."""
-    t = tokens(df, key, text)
+    t = _without_assembly(tokens(df, key, text), key)
     # "over the rows after this one" as a running frame over the reversed
     # order: Spark evaluates an unbounded-following frame in O(n^2) per
     # partition, a running (unbounded-preceding) frame in O(n).
@@ -155,10 +176,9 @@ def extract_functions(df: DataFrame, key: str = "codehash", text: str = "text",
         parts = F.split(F.col("name"), "_")
         return funcs.select("*", F.get(parts, 1).alias("selector"),
                             F.when(F.size(parts) < 2, F.lit("name_without_selector")).alias("error"))
-    sigs = funcs.select("signature").distinct()
-    sels = sigs.select("signature", keccak_selector(F.col("signature")).alias("selector"))
-    return funcs.join(sels, "signature").select(
-        key, "side", "pos", "name", "signature", "selector", "n_tokens", "text", F.lit(None).cast("string").alias("error"))
+    # hashed where the function is: no join of texts on a signature that most contracts have
+    return funcs.select(key, "side", "pos", "name", "signature", keccak_selector(F.col("signature")).alias("selector"),
+                        "n_tokens", "text", F.lit(None).cast("string").alias("error"))
 
 
 _CONTRACT_WORDS = ("contract", "interface", "library")

@@ -30,7 +30,7 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def dense_index(df: DataFrame, order_cols, name: str = "idx", *, total: str | None = None,
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, kept: list | None = None) -> DataFrame:
     """Add ``name`` = 0-based rank of each row in ``order_cols`` order.
 
     ``order_cols`` must form a total order of non-NULL values (add a unique
@@ -41,13 +41,16 @@ def dense_index(df: DataFrame, order_cols, name: str = "idx", *, total: str | No
     count branch and the numbering branch then read the very same
     partitions (one shuffle, one set of range bounds).  A lost cached block
     is recomputed from the same shuffle and partitioner, so it comes back
-    identical.
+    identical.  A caller that passes ``kept`` finds the persisted frame in it
+    and unpersists it after use.
     """
     order = _cols(order_cols)
     n = _num_partitions(df, num_partitions)
     ranged = (df.repartitionByRange(n, *order)
                 .sortWithinPartitions(*order)
                 .persist(StorageLevel.MEMORY_AND_DISK))
+    if kept is not None:
+        kept.append(ranged)
     tagged = ranged.withColumn("_pf_mid", F.monotonically_increasing_id())
     tagged = (tagged.withColumn("_pf_pid", F.shiftright(F.col("_pf_mid"), _POS_BITS))
                     .withColumn("_pf_pos", F.col("_pf_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))

@@ -1,9 +1,8 @@
 """Label analysis and encoding.
 
-A label vocabulary is the class list of a classifier, so its size is
-bounded by the model's output layer.  ``collect_vocab`` still checks that
-bound before anything reaches the driver (the same thing
-``pyspark.ml.feature.StringIndexer`` does when it fits).
+A label vocabulary is a table that rows are joined with; no label list
+reaches the driver.  ``multi_hot`` and ``multi_hot_decode`` take a list that
+the caller has.
 """
 
 from __future__ import annotations
@@ -14,9 +13,6 @@ from pyspark.sql import types as T
 
 from pairforge.operators.index import dense_index
 
-# Label lists are inlined into plans as literal arrays, so keep them small.
-MAX_LABELS = 10_000
-
 
 def distinct_labels(df: DataFrame, col: str = "label") -> DataFrame:
     """A4: distinct labels as strings; list-valued labels are exploded."""
@@ -26,10 +22,11 @@ def distinct_labels(df: DataFrame, col: str = "label") -> DataFrame:
     return df.select(c.cast("string").alias("label")).distinct()
 
 
-def label_vocab(df: DataFrame, col: str = "label", drop=("-1",)) -> DataFrame:
-    """Union of labels over all splits, sorted, ``-1`` removed, with ids."""
+def label_vocab(df: DataFrame, col: str = "label", drop=("-1",), total: str | None = None) -> DataFrame:
+    """Union of labels over all splits, sorted, ``-1`` removed, with ids
+    (and, with ``total``, the number of labels)."""
     labels = distinct_labels(df, col).filter(~F.col("label").isin(list(drop)))
-    return dense_index(labels, ["label"], "label_id")
+    return dense_index(labels, ["label"], "label_id", total=total)
 
 
 def unseen_labels(df: DataFrame, col: str = "label", split_col: str = "split",
@@ -41,15 +38,26 @@ def unseen_labels(df: DataFrame, col: str = "label", split_col: str = "split",
     return other.join(seen, "label", "left_anti")
 
 
-def collect_vocab(df: DataFrame, col: str, order_col: str | None = None,
-                  max_size: int = MAX_LABELS) -> list:
-    """The (bounded) label list on the driver, in ``order_col`` order."""
-    d = df.select(col, *( [order_col] if order_col and order_col != col else [])).distinct()
-    n = d.count()
-    if n > max_size:
-        raise ValueError(f"label vocabulary has {n} entries, more than {max_size}")
-    rows = d.orderBy(order_col or col).collect()
-    return [r[0] for r in rows]
+def require_classes(vocab: DataFrame, at_least: int = 2) -> DataFrame:
+    """A classifier needs two labels or more; the check reads that many rows."""
+    n = len(vocab.limit(at_least).collect())
+    if n < at_least:
+        raise ValueError(f"{n} label(s), a classifier needs at least {at_least}")
+    return vocab
+
+
+def label_sets(df: DataFrame, key: str, col: str, vocab: DataFrame) -> DataFrame:
+    """F13 by a join with the vocabulary table: per key ``names`` (its labels in id
+    order), ``ids`` and ``n_labels``.  ``vocab``: label, label_id, n_labels."""
+    ids = df.select(key, F.col(col).cast("string").alias("label")).distinct().join(vocab, "label")
+    return (ids.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("label_id", "label"))).alias("_l"),
+                                 F.first("n_labels").alias("n_labels"))
+            .select(key, F.col("_l.label").alias("names"), F.col("_l.label_id").alias("ids"), "n_labels"))
+
+
+def dense_hot(ids: Column, n: Column) -> Column:
+    """The multi-hot vector of ``n`` places with 1 at ``ids``."""
+    return F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.array_contains(ids, i).cast("int"))
 
 
 def multi_hot(labels: Column, vocab: list) -> Column:

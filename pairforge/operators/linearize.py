@@ -372,7 +372,7 @@ def _rewrite_udf(tokens: pd.Series) -> pd.DataFrame:
             err.append(None)
         except (LinearizeError, IndexError, RecursionError) as e:
             lin.append(None)
-            err.append(f"{type(e).__name__}: {e}"[:200])
+            err.append(f"{type(e).__name__}: {e}")
     return pd.DataFrame({"linear": lin, "error": err})
 
 

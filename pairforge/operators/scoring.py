@@ -31,14 +31,15 @@ def score(df: DataFrame, features: str, make_predict_fn: Callable, n_in: int,
     return df.withColumn(out, udf(F.col(features)))
 
 
-def linear_model(n_in: int, n_out: int, seed: int = 42):
-    """A fixed random linear model, as a stand-in for a trained network."""
+def logistic_logits(coefficients: list[float], intercept: float):
+    """A model function for ``score``: the logits (-z, z) of a fitted logistic regression."""
     def make():
         import numpy as np
-        w = np.random.default_rng(seed).normal(size=(n_in, n_out)).astype("float32") / np.sqrt(n_in)
+        w = np.asarray(coefficients, dtype="float64")
 
         def predict(x):
-            return (x.reshape(len(x), n_in).astype("float32") @ w)
+            z = x.reshape(len(x), len(w)) @ w + intercept
+            return np.stack([-z, z], axis=1).astype("float32")
         return predict
     return make
 
@@ -55,15 +56,29 @@ def clone_features(df: DataFrame, a: str, b: str, num_features: int = 1024) -> D
     return x.withColumn("features", array_to_vector(F.concat(diff, prod))).drop("_wa", "_wb", "_va", "_vb")
 
 
+def fit_clone_model(pairs: DataFrame, a: str, b: str, label: str, split: str, num_features: int, max_iter: int):
+    """(fitted model, all rows with ``features``): learnt from ``split == 'train'``."""
+    feats = clone_features(pairs, a, b, num_features).withColumn(label, F.col(label).cast("double"))
+    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=0.01)
+    return lr.fit(feats.filter(F.col(split) == "train")), feats
+
+
 def train_clone_baseline(pairs: DataFrame, a: str = "func1", b: str = "func2", label: str = "label",
                          split: str = "split", num_features: int = 256, max_iter: int = 20) -> DataFrame:
     """Fit on ``split == 'train'``, return every row with ``prediction``."""
-    feats = clone_features(pairs, a, b, num_features).withColumn(label, F.col(label).cast("double"))
-    lr = LogisticRegression(featuresCol="features", labelCol=label, maxIter=max_iter, regParam=0.01)
-    model = lr.fit(feats.filter(F.col(split) == "train"))
+    model, feats = fit_clone_model(pairs, a, b, label, split, num_features, max_iter)
     return model.transform(feats).withColumn("prediction", F.col("prediction").cast("int"))
 
 
+def score_pairs(pairs: DataFrame, a: str = "func1", b: str = "func2", label: str = "label", split: str = "split",
+                num_features: int = 256, max_iter: int = 20) -> DataFrame:
+    """V5 with the V6 model: every row with ``logits``, computed in Arrow batches."""
+    model, feats = fit_clone_model(pairs, a, b, label, split, num_features, max_iter)
+    x = feats.withColumn(label, F.col(label).cast("int")).withColumn("_x", vector_to_array("features"))
+    fn = logistic_logits(model.coefficients.toArray().tolist(), float(model.intercept))
+    return score(x, "_x", fn, 2 * num_features).drop("_x", "features")
+
+
 def argmax_prediction(logits: Column) -> Column:
     """F11 over model output."""
     return (F.array_position(logits, F.array_max(logits)) - 1).cast("int")

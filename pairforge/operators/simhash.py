@@ -74,23 +74,24 @@ def review_candidates(df: DataFrame, group_cols, id_col: str, text: str, seed=42
     A draw t picks member i uniformly and a different member j uniformly --
     the same distribution as a uniform draw over all unordered pairs -- from
     seeded hashes, so only ``26 x keys`` draw rows exist; they find their
-    members through equi joins on (key, member index).  No pair list is built.
+    members through equi joins on (key, member index).  No pair list is built,
+    and only drawn members are fingerprinted.
     """
     gcols = list(group_cols)
-    fps = simhash(df.select(id_col, text), id_col, text)
     members = group_index(df.select(*gcols, id_col), gcols, [id_col], "m")
-    members = members.join(fps, id_col)
     keys = group_pair_counts(df.select(*gcols), gcols)
     gc = [F.col(c) for c in gcols]
     draws = keys.select(*gcols, "n_funcs", F.explode(F.sequence(F.lit(0), F.lit(max_rejects))).alias("t"))
     i = dhash(seed, *gc, F.col("t"), F.lit("a")) % F.col("n_funcs")
     j0 = dhash(seed, *gc, F.col("t"), F.lit("b")) % (F.col("n_funcs") - 1)
     draws = draws.withColumn("i", i).withColumn("j", F.when(j0 >= F.col("i"), j0 + 1).otherwise(j0))
-    a = members.select(*gcols, F.col("m").alias("i"), F.col(id_col).alias("id_i"),
-                       F.col("fp_hi").alias("hi_i"), F.col("fp_lo").alias("lo_i"))
-    b = members.select(*gcols, F.col("m").alias("j"), F.col(id_col).alias("id_j"),
-                       F.col("fp_hi").alias("hi_j"), F.col("fp_lo").alias("lo_j"))
-    scored = draws.join(a, gcols + ["i"]).join(b, gcols + ["j"])
+    a = members.select(*gcols, F.col("m").alias("i"), F.col(id_col).alias("id_i"))
+    b = members.select(*gcols, F.col("m").alias("j"), F.col(id_col).alias("id_j"))
+    drawn = draws.join(a, gcols + ["i"]).join(b, gcols + ["j"])
+    # only the drawn texts are fingerprinted
+    wanted = drawn.select(F.explode(F.array("id_i", "id_j")).alias(id_col)).distinct()
+    fps = simhash(df.select(id_col, text).join(wanted, id_col, "left_semi"), id_col, text)
+    scored = (drawn.join(fps.toDF("id_i", "hi_i", "lo_i"), "id_i").join(fps.toDF("id_j", "hi_j", "lo_j"), "id_j"))
     scored = scored.withColumn("distance", distance(F.col("hi_i"), F.col("lo_i"), F.col("hi_j"), F.col("lo_j")))
     ok = scored.filter(F.col("distance") > theta)
     first = ok.groupBy(*gcols).agg(F.min_by(F.struct("t", "id_i", "id_j", "distance"), F.col("t")).alias("c"))

@@ -51,12 +51,11 @@ FROM h""")
 def multi_hot(spark, sf_dir):
     """per user, the set of event types as a multi-hot row and back."""
     ev = load(spark, sf_dir, "events").select("user_id", "event_type")
-    vocab = L.collect_vocab(ev, "event_type")
-    u = ev.groupBy("user_id").agg(F.collect_set("event_type").alias("labels"))
-    hot = L.multi_hot(F.col("labels"), vocab)
-    out = u.select("user_id", hot.alias("h"))
-    return out.select("user_id", F.array_join(F.transform("h", lambda x: x.cast("string")), ",").alias("hot"),
-                      F.array_join(L.multi_hot_decode(F.col("h"), vocab), ",").alias("decoded"))
+    vocab = L.require_classes(L.label_vocab(ev, "event_type", drop=(), total="n_labels"))
+    u = L.label_sets(ev, "user_id", "event_type", vocab)
+    hot = L.dense_hot(F.col("ids"), F.col("n_labels"))
+    return u.select("user_id", F.array_join(F.transform(hot, lambda x: x.cast("string")), ",").alias("hot"),
+                    F.array_join("names", ",").alias("decoded"))
 
 
 @query("binary_metrics", sql="""
@@ -209,13 +208,15 @@ SELECT vec_id AS idx,
 FROM p""")
 def prediction_lines(spark, sf_dir):
     """K7 + F10-F12: prediction text for regression, single- and multi-label."""
-    names = L.collect_vocab(load(spark, sf_dir, "nation"), "n_name", "n_nationkey")
+    names = dense_index(load(spark, sf_dir, "nation").select("n_name", "n_nationkey"), ["n_nationkey"], "label_id")
     emb = load(spark, sf_dir, "embeddings")
-    k = len(names)
-    logits = F.transform(F.slice("embedding", 1, k), lambda x: x.cast("double"))
-    v = F.array(*[F.lit(x) for x in names])
-    hot = M.threshold_hot(F.col("l"))
-    return emb.select(F.col("vec_id").alias("idx"), logits.alias("l")).select(
-        "idx", fixed_point(F.col("l")[0]).alias("regression"),
-        F.element_at(v, M.argmax(F.col("l")) + 1).alias("single_label"),
-        F.array_join(F.filter(v, lambda x, i: hot[i] == 1), ",").alias("multi_label"))
+    # one logit per class: the values beyond the last class find no name
+    logits = (emb.select(F.col("vec_id").alias("idx"), F.posexplode("embedding").alias("at", "x"))
+              .select("idx", F.col("at").cast("bigint").alias("label_id"), F.col("x").cast("double").alias("x"))
+              .join(names, "label_id"))
+    named = F.struct("label_id", F.col("n_name").alias("name"))
+    per_row = logits.groupBy("idx").agg(
+        F.min_by("x", "label_id").alias("first"), F.max_by("n_name", F.struct("x", -F.col("label_id"))).alias("single_label"),
+        F.array_sort(F.collect_list(F.when(F.col("x") > 0, named))).alias("positive"))
+    return per_row.select("idx", fixed_point(F.col("first")).alias("regression"), "single_label",
+                          F.array_join(F.col("positive.name"), ",").alias("multi_label"))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from pairforge.operators import pairs, scoring, splits
 from pairforge.operators import registry as R
-from pairforge.operators.features import pair_features
-from pairforge.plans.featurize import _pair_ids
 from pairforge.plans.pairing import SEED, conversation_views
 from pairforge.plans.registry import query
 from pairforge.sources import writers
@@ -16,15 +14,15 @@ from pairforge.sources import writers
 
 @query("batch_scores")
 def batch_scores(spark, sf_dir):
-    """V5 + F11 + K8: conversation pair features scored in Arrow batches by a
-    model function; the prediction is the argmax of the logits, and each
-    row's scored-instance line is built."""
-    f = pair_features(_pair_ids(spark, sf_dir), "a", "b", max_len=512)
-    x = f.withColumn("x", F.transform("input_ids", lambda v: (v % 997).cast("float") / 997.0))
-    s = scoring.score(x, "x", scoring.linear_model(512, 2), 512)
-    s = s.withColumn("logits", F.transform("logits", lambda v: F.round(v, 4)))
-    return s.select("codehash", "selector", scoring.argmax_prediction(F.col("logits")).alias("pred"), "logits",
-                    writers.scored_lines(["codehash", "selector"], "logits").alias("scored_line"))
+    """V5 + F11 + K8: positive and negative conversation pairs scored in Arrow
+    batches by the fitted clone model (512 features); the prediction is the
+    argmax of the logits, and each row's scored-instance line is built."""
+    src, dec = conversation_views(spark, sf_dir)
+    pn = splits.ordered_split(pairs.pos_neg_pairs(src, dec, seed=SEED), ["codehash1"])
+    s = scoring.score_pairs(pn).withColumn("logits", F.transform("logits", lambda v: F.round(v, 4)))
+    return s.select("codehash1", "codehash2", "label", "split",
+                    scoring.argmax_prediction(F.col("logits")).alias("pred"), "logits",
+                    writers.scored_lines(["label", "codehash1", "codehash2", "func1", "func2"], "logits").alias("scored_line"))
 
 
 @query("clone_baseline")

@@ -47,27 +47,29 @@ def quarantine_counts(spark, sf_dir):
     return Q.counters(d, "documents").unionByName(Q.counters(p, "pages"))
 
 
-STREAM_FILES = 4
+#: files of one micro-batch at most
+STREAM_FILES = 64
 
 
 @query("stream_append", sql="""
 SELECT event_type, count(*) AS n_events, CAST(sum(json_extract(props, '$.k')::BIGINT) AS BIGINT) AS sum_k
 FROM events WHERE json_extract(props, '$.k') IS NOT NULL GROUP BY event_type""")
 def stream_append(spark, sf_dir):
-    """Events arrive as files; each micro-batch is parsed (F7), filtered
-    (P1), numbered and appended; the appended table is then aggregated.  It
-    equals the batch result."""
+    """Events arrive as files of two streams that append to one table; each
+    micro-batch is parsed (F7), filtered (P1), numbered and appended; the
+    appended table is then aggregated.  It equals the batch result."""
     events = load(spark, sf_dir, "events")
-    landing = scratch_path(spark, "events-landing")
-    events.repartitionByRange(STREAM_FILES, "event_id").write.parquet(landing)
     out = scratch_path(spark, "events-appended")
 
     def parse(df):
         k = F.get_json_object("props", "$.k").cast("bigint")
         return df.select("event_id", "event_type", k.alias("k")).filter(F.col("k").isNotNull())
 
-    incremental_append(spark, landing, events.schema, out, os.path.join(out + "-checkpoint"), parse,
-                       ["event_id"], glob="*.parquet")
+    for name, part in (("even", "pmod(event_id, 2) = 0"), ("odd", "pmod(event_id, 2) <> 0 or event_id is null")):
+        landing = scratch_path(spark, f"events-{name}")
+        events.where(part).write.parquet(landing)
+        incremental_append(spark, landing, events.schema, out, f"{out}-checkpoint-{name}", parse, ["event_id"],
+                           glob="*.parquet", files_per_batch=STREAM_FILES)
     appended = spark.read.parquet(out)
     return appended.groupBy("event_type").agg(F.count(F.lit(1)).alias("n_events"),
                                               F.sum("k").cast("bigint").alias("sum_k"))

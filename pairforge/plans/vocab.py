@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pairforge.operators import bpe
 from pairforge.operators import metrics as M
 from pairforge.plans.registry import query
-from pairforge.sources.cache import cached_table
+from pairforge.sources.cache import cached_table, content_stamp
 from pairforge.sources.tables import load, table_path
 
 # Size of the shipped vocabulary (5 specials + 256 bytes + 185 merges).
@@ -16,9 +16,17 @@ VOCAB_SIZE = 446
 MIN_FREQUENCY = 2
 
 
+# DuckDB has no look-ahead: a mark (U+E000, in no text) before the last white-space
+# character in front of a word ends the run there.
+_MARK = "chr(57344)"
+_RULE = "||".join([f"'{bpe.CONTRACTIONS.replace(chr(39), chr(39) * 2)}| ?\\p{{L}}+| ?\\p{{N}}+| ?[^{bpe.SPACE}\\p{{L}}\\p{{N}}'",
+                   _MARK, f"']+|[{bpe.SPACE}]+'"])
+
+
 @query("pretoken_counts", sql=f"""
 SELECT pretoken, count(*) AS n
-FROM (SELECT unnest(regexp_extract_all(text, '{bpe.PRETOKEN_RX}')) AS pretoken FROM documents)
+FROM (SELECT unnest(regexp_extract_all(regexp_replace(text, '([{bpe.SPACE}])([^{bpe.SPACE}])',
+                                                      {_MARK} || '\\1\\2', 'g'), {_RULE})) AS pretoken FROM documents)
 GROUP BY pretoken HAVING count(*) >= {MIN_FREQUENCY}""")
 def pretoken_counts(spark, sf_dir):
     """Pre-token frequencies with the minimum frequency applied."""
@@ -27,16 +35,15 @@ def pretoken_counts(spark, sf_dir):
 
 
 def trained_merges(spark, sf_dir, vocab_size: int = VOCAB_SIZE) -> list[tuple[str, str]]:
-    """Merges learnt from all documents, cached per (input, parameters)."""
+    """Merges learnt from all documents, cached per (files of the input, parameters)."""
     def build():
         docs = load(spark, sf_dir, "documents", spread=True)
         words = bpe.pretoken_counts(docs, "text", 1)
         return bpe.merges_frame(spark, bpe.train_bpe(words, vocab_size, MIN_FREQUENCY))
-    key = {"kind": "bpe", "input": table_path(sf_dir, "documents"), "vocab_size": vocab_size,
-           "min_frequency": MIN_FREQUENCY, "version": 1}
+    key = {"kind": "bpe", "input": table_path(sf_dir, "documents"),
+           "stamp": content_stamp(load(spark, sf_dir, "documents")), "vocab_size": vocab_size,
+           "min_frequency": MIN_FREQUENCY, "version": 2}
     table = cached_table(spark, key, build)
-    if table.count() > bpe.MAX_VOCAB:
-        raise ValueError("merge table larger than the vocabulary bound")
     return [(r.left, r.right) for r in table.orderBy("rank").collect()]
 
 

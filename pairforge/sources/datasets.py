@@ -43,7 +43,7 @@ def read_by_extension(spark: SparkSession, path: str, schema: T.StructType | Non
 
 
 def _starts_with_array(spark: SparkSession, path: str) -> bool:
-    head = spark.read.text(path).limit(1).collect()
+    head = spark.read.text(path).where(r"value rlike '\\S'").limit(1).collect()
     return bool(head) and head[0][0].lstrip().startswith("[")
 
 

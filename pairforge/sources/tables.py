@@ -23,13 +23,17 @@ def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> D
     return spread_partitions(df) if spread else df
 
 
+#: splits (of spark.sql.files.maxPartitionBytes at most) that ``spread_partitions`` deals anew
+SPREAD_SPLITS = 8
+
+
 def spread_partitions(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than task slots (one
-    small file, one row group) so CPU-bound text work uses every core.  A
-    large input already has at least that many splits and is left alone."""
+    """Round-robin a scan of at most SPREAD_SPLITS splits (one small file, one row
+    group) so CPU-bound text work uses every core.  What is shuffled is bounded
+    by that many splits on any cluster; every larger input is read as it lies."""
     try:
         slots = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 -- no RDD view (e.g. a remote session): leave the scan as it is
         return df
-    return df.repartition(slots) if parts < slots else df
+    return df.repartition(slots) if parts < slots and parts <= SPREAD_SPLITS else df

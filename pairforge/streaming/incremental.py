@@ -68,8 +68,11 @@ def incremental_append(spark: SparkSession, source_dir: str, schema: StructType,
         if earlier is not None:  # replay: keep the ids this batch had
             first = earlier.agg(F.min(id_col)).collect()[0][0]
             start = start if first is None else int(first)
-        numbered = dense_index(batch, order_cols, "_k").withColumn(id_col, F.col("_k") + F.lit(start)).drop("_k")
+        kept: list[DataFrame] = []
+        numbered = dense_index(batch, order_cols, "_k", kept=kept).withColumn(id_col, F.col("_k") + F.lit(start)).drop("_k")
         numbered.write.mode("overwrite").parquet(path)
+        for frame in kept:
+            frame.unpersist()
         written = spark.read.parquet(path).count()
         state["next"] = max(state["next"], start + written)
         seen.append(batch_id)

@@ -18,6 +18,22 @@ def test_batched_rounds_equal_one_merge_per_round(spark):
     assert batched == single and len(batched) > 0
 
 
+def test_split_rule_is_the_byte_level_one(spark):
+    from tokenizers.pre_tokenizers import ByteLevel
+    texts = ["  foo don't", "if x:\n\n    return 'tis\t\ty  ", "\u00a0a\u2003 b", "we'll  12ab!? \u00e9t\u00e9", "   ", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    rule = ByteLevel(add_prefix_space=False)
+    for r in df.select("text", bpe.pretokens(F.col("text")).alias("got")).collect():
+        assert "".join(r.got) == r.text
+        assert r.got == [r.text[a:b] for _, (a, b) in rule.pre_tokenize_str(r.text)]
+
+
+def test_batched_rounds_on_runs_of_one_symbol(spark):
+    words = spark.createDataFrame([(" " * 8, 100), ("xy", 150), ("aaaa", 90), ("aab", 70), ("\t\t\t", 65)], "pretoken string, n bigint")
+    batched = bpe.train_bpe(words, 261 + 9, 2, top_k=3)
+    assert batched == bpe.train_bpe(words, 261 + 9, 2, max_per_round=1) and len(batched) > 4
+
+
 def test_encode_round_trips_bytes(spark):
     words = _words(spark)
     merges = bpe.train_bpe(words, 261 + 20, 2)
