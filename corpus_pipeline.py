@@ -44,20 +44,25 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     is left goes.  Other texts stay as they are."""
     found = repeated_words(docs, window=50).where("n_removed > 0").groupBy("doc_id").agg(
         F.first("spans").alias("_spans"), (F.first("n_removed") < F.first("n_words")).alias("_some"))
-    rows = docs.where("doc_id is not null").join(beside(found.withColumnRenamed("doc_id", "_id")),
-                                                 F.col("doc_id") == F.col("_id"), "left")
+    # the document's columns stay in one struct: their names can't clash with those made here
+    rows = docs.where("doc_id is not null").select(F.struct(*(f"`{c}`" for c in docs.columns)).alias("_row"))
+    rows = rows.join(beside(found.withColumnRenamed("doc_id", "_id")), F.col("_row.doc_id") == F.col("_id"), "left")
     ranges = F.transform(F.sequence(F.lit(0), F.size("_spans") - 2, F.lit(2)),
                          lambda k: F.struct(F.get("_spans", k).alias("a"), F.get("_spans", k + 1).alias("b")))
-    rows = rows.withColumn("_words", F.when(F.col("_spans").isNotNull(), words(F.col("text"))))
+    rows = rows.withColumn("_words", F.when(F.col("_spans").isNotNull(), words(F.col("_row.text"))))
     rows = rows.withColumn("_ranges", F.when(F.col("_spans").isNotNull(), ranges))
     kept = F.array_join(F.filter("_words", lambda w, i: ~F.exists(
         "_ranges", lambda r: (i >= r["a"]) & (i < r["b"]))), " ")
-    changed = rows.withColumn("text", F.when(F.col("_spans").isNotNull(), kept).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.when(
-            F.col("_spans").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
-            .otherwise(F.col("n_chars")))
-    return changed.where("_spans is null or _some").select(*docs.columns)
+    rows = rows.withColumn("_text", F.when(F.col("_spans").isNotNull(), kept).otherwise(F.col("_row.text")))
+
+    def column(name):
+        own = F.col(f"_row.`{name}`")
+        if name == "text":
+            own = F.col("_text")
+        elif name == "n_chars":
+            own = F.when(F.col("_spans").isNotNull(), F.length("_text").cast(docs.schema[name].dataType)).otherwise(own)
+        return own.alias(name)
+    return rows.where("_spans is null or _some").select(*(column(c) for c in docs.columns))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
