@@ -28,6 +28,9 @@ HEADLINE = [
     "min_token_filter",    # P4
     "length_stats",        # A3
     "pretoken_counts",     # A17
+    "bpe_encode",          # A18 (training included) + Z1
+    "extract_source_functions",  # X1-X3, X6
+    "stream_append",       # R1-R3
 ]
 
 

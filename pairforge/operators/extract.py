@@ -4,13 +4,14 @@
    whitespace runs, operators, any other character), ``posexplode``d.  A
    whitespace run or a comment is one token and is written as one space.
 2. Per token, window frames over the tokens of the same text give: running
-   brace depth, the next identifier (and its text), the next ``)``, the next
-   ``{``/``;``, and the next ``[`` right after a type.
+   brace depth, the matching ``}`` of a ``{`` (braces of one nesting level, in
+   order), the next identifier, the next ``{``/``;``, the next ``)`` with what
+   follows it, and the kind of the next token.  All are windows over one
+   partitioning by text: the tokens are made once and never joined.
 3. Starts are ``function``/``modifier`` tokens whose next identifier comes
    before their next ``)`` (else the declaration is abandoned: fallback,
    receive, function types).  The body opener is the first ``{``/``;`` after
-   that ``)``; a ``;`` means a stub, which is dropped.  The matching ``}`` is
-   found by partitioning braces by nesting level.
+   that ``)``; a ``;`` means a stub, which is dropped.
 4. Each token learns the function it belongs to from a running ``max`` of
    span starts, so no range join is needed; a function's text is its tokens
    joined in order.  Signature types are the type tokens between the name
@@ -115,41 +116,35 @@ def extract_functions(df: DataFrame, key: str = "codehash", text: str = "text",
     # partition, a running (unbounded-preceding) frame in O(n).
     w_after = Window.partitionBy(key).orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
     w_upto = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    k = F.col("kind")
-    t = (t.withColumn("depth", F.sum(F.when(k == "lbrace", 1).when(k == "rbrace", -1).otherwise(0)).over(w_upto))
-          .withColumn("next_ident", _next(k == "ident", F.col("pos"), w_after))
-          .withColumn("next_name", F.last(F.when(k == "ident", F.col("tok")), ignorenulls=True).over(w_after))
-          .withColumn("next_rparen", _next(k == "rparen", F.col("pos"), w_after))
-          .withColumn("next_body", _next(k.isin("lbrace", "semi"), F.col("pos"), w_after))
-          .withColumn("next_kind", F.lead("kind").over(Window.partitionBy(key).orderBy("pos"))))
+    k, pos = F.col("kind"), F.col("pos")
 
+    def following(cond: Column, *fields: str) -> Column:
+        """The fields of the nearest later token that meets the condition."""
+        return F.last(F.when(cond, F.struct(*fields)), ignorenulls=True).over(w_after)
+
+    t = t.withColumn("depth", F.sum(F.when(k == "lbrace", 1).when(k == "rbrace", -1).otherwise(0)).over(w_upto))
     # matching close brace: braces of one nesting level, in order
-    level = F.when(k == "lbrace", F.col("depth")).otherwise(F.col("depth") + 1)
-    braces = t.filter(k.isin("lbrace", "rbrace")).withColumn("level", level)
+    level = F.when(k == "lbrace", F.col("depth")).when(k == "rbrace", F.col("depth") + 1)
     wl = Window.partitionBy(key, "level").orderBy(F.col("pos").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    closes = (braces.withColumn("close", _next(F.col("kind") == "rbrace", F.col("pos"), wl))
-                    .filter(F.col("kind") == "lbrace").select(key, F.col("pos").alias("body"), "close"))
-
-    starts = t.filter((k == "fn") & F.col("next_ident").isNotNull() & F.col("next_rparen").isNotNull()
-                      & (F.col("next_ident") < F.col("next_rparen")))
-    starts = starts.select(key, F.col("pos").alias("start"), F.col("next_ident").alias("name_pos"),
-                           F.col("next_name").alias("name"), F.col("next_rparen").alias("rparen"))
-    after_rparen = t.select(key, F.col("pos").alias("rparen"), F.col("next_body").alias("body"))
-    body_kind = t.select(key, F.col("pos").alias("body"), F.col("kind").alias("body_kind"))
-    spans = (starts.join(after_rparen, [key, "rparen"]).join(body_kind, [key, "body"])
-                   .filter(F.col("body_kind") == "lbrace").join(closes, [key, "body"]))
+    t = t.withColumn("level", level).withColumn("close", _next(k == "rbrace", pos, wl))
+    t = (t.withColumn("ident", following(k == "ident", "pos", "tok"))
+          .withColumn("opener", following(k.isin("lbrace", "semi"), "pos", "kind", "close"))
+          .withColumn("paren", following(k == "rparen", "pos", "opener"))
+          .withColumn("next_kind", F.lead("kind").over(Window.partitionBy(key).orderBy("pos"))))
+    begins = ((k == "fn") & (F.col("ident.pos") < F.col("paren.pos")) & (F.col("paren.opener.kind") == "lbrace")
+              & F.col("paren.opener.close").isNotNull())
+    t = t.withColumn("begins", F.coalesce(begins, F.lit(False)))
     if compat:
         # a start inside another span restarts extraction there: drop the outer span
-        ws = Window.partitionBy(key).orderBy(F.col("start").desc()).rowsBetween(Window.unboundedPreceding, -1)
-        spans = spans.withColumn("_next_start", F.min("start").over(ws)).filter(
-            F.col("_next_start").isNull() | (F.col("_next_start") > F.col("close"))).drop("_next_start")
+        later = _next(F.col("begins"), pos, w_after)
+        t = t.withColumn("_later", later).withColumn(
+            "begins", F.col("begins") & F.coalesce(F.col("_later") > F.col("paren.opener.close"), F.lit(True)))
 
     # every token learns the span it belongs to (spans do not overlap now)
-    marks = spans.select(key, F.col("start").alias("pos"), "start", "name_pos", "rparen", "close")
-    tt = t.select(key, "pos", "tok", "kind", "next_kind").join(marks, [key, "pos"], "left")
-    for c in ("start", "name_pos", "rparen", "close"):
-        tt = tt.withColumn(c, F.last(c, ignorenulls=True).over(w_upto))
-    tt = tt.filter(F.col("start").isNotNull() & (F.col("pos") <= F.col("close")))
+    span = F.struct(pos.alias("start"), F.col("ident.pos").alias("name_pos"), F.col("paren.pos").alias("rparen"),
+                    F.col("paren.opener.close").alias("close"))
+    tt = t.withColumn("span", F.last(F.when(F.col("begins"), span), ignorenulls=True).over(w_upto))
+    tt = tt.select(key, "pos", "tok", "kind", "next_kind", "span.*").filter(F.col("pos") <= F.col("close"))
 
     piece = F.when(F.col("kind") == "ws", F.lit(" ")).otherwise(F.col("tok"))
     tname = F.when(F.col("tok") == "uint", F.lit("uint256")).otherwise(F.col("tok"))

@@ -47,7 +47,7 @@ def unpivot_pairs(matched: DataFrame, start_id: int = 0) -> DataFrame:
         F.col("r.text").alias("text"), F.col("r.type").alias("type"), KEY, SEL)
 
 
-def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text") -> DataFrame:
+def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text", errors: bool = False) -> DataFrame:
     """One pair per contract that has matched functions.
 
     * pick: a matched selector chosen by ``min_by`` over a seeded hash;
@@ -56,35 +56,45 @@ def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text") -
       rank ``(r + 1 + h % (n - 1)) % n`` -- never itself, found by an equi
       join on rank (no cross join); candidates are contracts with functions
       on both sides -- and inside it the function with index
-      ``h % count``.  With a single decompiled contract no negative exists and
-      the row is dropped (the original aborts there).
+      ``h % count``.  With a single decompiled contract no negative exists
+      (the original aborts there): such a row has no partner, and is returned
+      only with ``errors``, which adds the column ``error``.
+
+    Everything is chosen on keys, unique by (codehash, selector) on each side;
+    the texts of the chosen functions are fetched at the end.
     """
-    matched = match_pairs(src, dec, text)
-    picks = matched.groupBy(KEY).agg(
-        F.min_by(F.struct(SEL, "src_text", "dec_text"), dhash(seed, F.lit("pick"), F.col(KEY), F.col(SEL))).alias("p"))
-    picks = picks.select(KEY, F.col("p.selector").alias("selector1"), F.col("p.src_text").alias("func1"),
-                         F.col("p.dec_text").alias("twin"),
-                         (dhash(seed, F.lit("coin"), F.col(KEY)) % 2 == 1).alias("positive"))
-
-    dec_idx = group_index(dec.select(KEY, SEL, F.col(text).alias("dec_text")), [KEY], [SEL], "fidx", size="fcnt")
+    keys = src.select(KEY, SEL).join(dec.select(KEY, SEL), [KEY, SEL])
+    picks = keys.groupBy(KEY).agg(
+        F.min_by(SEL, dhash(seed, F.lit("pick"), F.col(KEY), F.col(SEL))).alias("selector1"))
+    picks = picks.withColumn("positive", dhash(seed, F.lit("coin"), F.col(KEY)) % 2 == 1)
+
+    dec_idx = group_index(dec.select(KEY, SEL), [KEY], [SEL], "fidx", size="fcnt")
     # partner candidates: contracts with functions on both sides
     owners = both_sides(dec_idx.filter(F.col("fidx") == 0).select(KEY, "fcnt"), src)
     ranks = dense_index(owners, [KEY], "rank", total="n_owners")
 
     pos = picks.filter("positive").select(
         F.lit(1).alias("label"), F.col(KEY).alias("codehash1"), F.col(KEY).alias("codehash2"),
-        "selector1", F.col("selector1").alias("selector2"), "func1", F.col("twin").alias("func2"))
+        "selector1", F.col("selector1").alias("selector2"))
 
-    neg = (picks.filter(~F.col("positive")).join(ranks.select(KEY, "rank", "n_owners"), KEY)
-           .filter(F.col("n_owners") > 1)
+    drawn = picks.filter(~F.col("positive")).join(ranks.select(KEY, "rank", "n_owners"), KEY)
+    neg = (drawn.filter(F.col("n_owners") > 1)
            .withColumn("prank", (F.col("rank") + 1 + dhash(seed, F.lit("partner"), F.col(KEY)) % (F.col("n_owners") - 1))
                        % F.col("n_owners")))
     partners = ranks.select(F.col("rank").alias("prank"), F.col(KEY).alias("codehash2"), "fcnt")
     neg = (neg.join(partners, "prank")
               .withColumn("fidx", dhash(seed, F.lit("func"), F.col(KEY)) % F.col("fcnt")))
-    funcs = dec_idx.select(F.col(KEY).alias("codehash2"), "fidx", F.col(SEL).alias("selector2"),
-                           F.col("dec_text").alias("func2"))
-    neg = neg.join(funcs, ["codehash2", "fidx"]).select(
-        F.lit(0).alias("label"), F.col(KEY).alias("codehash1"), "codehash2", "selector1", "selector2",
-        "func1", "func2")
-    return pos.unionByName(neg)
+    chosen = dec_idx.select(F.col(KEY).alias("codehash2"), "fidx", F.col(SEL).alias("selector2"))
+    neg = neg.join(chosen, ["codehash2", "fidx"]).select(
+        F.lit(0).alias("label"), F.col(KEY).alias("codehash1"), "codehash2", "selector1", "selector2")
+    first = src.select(F.col(KEY).alias("codehash1"), F.col(SEL).alias("selector1"), F.col(text).alias("func1"))
+    second = dec.select(F.col(KEY).alias("codehash2"), F.col(SEL).alias("selector2"), F.col(text).alias("func2"))
+    columns = ["label", "codehash1", "codehash2", "selector1", "selector2", "func1", "func2"]
+    pairs = (pos.unionByName(neg).join(first, ["codehash1", "selector1"]).join(second, ["codehash2", "selector2"])
+             .select(*columns))
+    if not errors:
+        return pairs
+    alone = drawn.filter(F.col("n_owners") < 2).select(
+        F.lit(0).alias("label"), F.col(KEY).alias("codehash1"), "selector1", F.lit("no_negative_partner").alias("error"))
+    return pairs.withColumn("error", F.lit(None).cast("string")).unionByName(
+        alone.join(first, ["codehash1", "selector1"]), allowMissingColumns=True)

@@ -10,6 +10,7 @@ from pairforge.operators.bpe import _choose
 from pairforge.operators.extract import extract_functions
 from pairforge.operators.index import offset_slice
 from pairforge.operators.labels import label_vocab, require_classes
+from pairforge.operators.pairs import pos_neg_pairs
 from pairforge.sources.cache import cached_table, content_stamp
 from pairforge.sources.datasets import read_by_extension
 from pairforge.sources.records import PAIR_FIELDS, decode_lenient, encode_records
@@ -99,3 +100,18 @@ def test_streams_leave_no_cached_frame(spark):
     incremental_append(spark, _write(spark, root, "c", 0, 10), spark.range(1).select(F.col("id").alias("key")).schema,
                        os.path.join(root, "out"), os.path.join(root, "ck"), lambda df: df, ["key"])
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == cached
+
+
+def test_a_single_owner_is_quarantined(spark):
+    for name in ("a", "b", "c", "d", "e", "f"):  # the coin sends some of them to the negatives
+        one = spark.createDataFrame([(name, 1, "x"), (name, 2, "y")], "codehash string, selector int, text string")
+        rows = pos_neg_pairs(one, one, errors=True).collect()
+        assert len(rows) == 1 and (rows[0].error is None) == (rows[0].label == 1)
+        assert rows[0].func1 in ("x", "y") and pos_neg_pairs(one, one).count() == rows[0].label
+
+
+def test_tokens_are_made_once(spark):
+    from tests.test_extract import CONTRACT
+    df = extract_functions(spark.createDataFrame([("0xabc", CONTRACT)], "codehash string, text string"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode") == 1 and "Join" not in plan
