@@ -88,10 +88,14 @@ def review_candidates(df: DataFrame, group_cols, id_col: str, text: str, seed=42
     a = members.select(*gcols, F.col("m").alias("i"), F.col(id_col).alias("id_i"))
     b = members.select(*gcols, F.col("m").alias("j"), F.col(id_col).alias("id_j"))
     drawn = draws.join(a, gcols + ["i"]).join(b, gcols + ["j"])
-    # only the drawn texts are fingerprinted
-    wanted = drawn.select(F.explode(F.array("id_i", "id_j")).alias(id_col)).distinct()
-    fps = simhash(df.select(id_col, text).join(wanted, id_col, "left_semi"), id_col, text)
-    scored = (drawn.join(fps.toDF("id_i", "hi_i", "lo_i"), "id_i").join(fps.toDF("id_j", "hi_j", "lo_j"), "id_j"))
+    # only the drawn texts are fingerprinted, and each of them once
+    sides = drawn.select(*gcols, "t", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("id_i").alias("id")),
+        F.struct(F.lit(1).alias("side"), F.col("id_j").alias("id")))).alias("m")).select(*gcols, "t", "m.side", F.col("m.id").alias(id_col))
+    fps = simhash(df.select(id_col, text).join(sides.select(id_col).distinct(), id_col, "left_semi"), id_col, text)
+    parts = {f"{c}_{n}": F.max(F.when(F.col("side") == i, F.col(col)))
+             for i, n in enumerate("ij") for c, col in (("id", id_col), ("hi", "fp_hi"), ("lo", "fp_lo"))}
+    scored = sides.join(fps, id_col).groupBy(*gcols, "t").agg(*(agg.alias(name) for name, agg in parts.items()))
     scored = scored.withColumn("distance", distance(F.col("hi_i"), F.col("lo_i"), F.col("hi_j"), F.col("lo_j")))
     ok = scored.filter(F.col("distance") > theta)
     first = ok.groupBy(*gcols).agg(F.min_by(F.struct("t", "id_i", "id_j", "distance"), F.col("t")).alias("c"))
