@@ -96,3 +96,18 @@ def test_stages_keep_the_columns(spark, tmp_path):
         assert out.schema.simpleString() == docs.schema.simpleString()
         docs = corpus_pipeline.save(out, "stage")
     assert sorted(r.doc_id for r in docs.collect()) == [3, 3]
+
+
+def test_near_copies_from_80_percent_go(spark):
+    rnd = random.Random(12)
+    rows = []
+    for k, (size, edits) in enumerate([(120, 1), (120, 2), (120, 3), (49, 1), (48, 1), (400, 8)]):
+        base = [f"w{rnd.randrange(10**6)}" for _ in range(size)]
+        copy = list(base)
+        for e in range(edits):  # 0.92, 0.84, 0.77, exactly 0.8, 0.796, 0.816
+            copy[(2 * e + 1) * size // (2 * edits)] = f"other{e}"
+        rows += [(2 * k, " ".join(base)), (2 * k + 1, " ".join(copy))]
+    docs = spark.createDataFrame([(i, t, "xx", "s", 1, "k", "s", i) for i, t in rows], DOCS)
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()}
+    assert kept == {i for i, (_, root) in brute.near_duplicates(rows, threshold=80).items() if root == i}
+    assert kept != {i for i, (_, root) in brute.near_duplicates(rows).items() if root == i}
