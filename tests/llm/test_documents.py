@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pairforge.llm import common, decontamination, language_id, licences, near_dedup, packing, phrase_dedup, quality
@@ -91,6 +92,33 @@ def test_repeated_bytes(docs, rows):
     assert got == brute.repeated_bytes(rows)
 
 
+def test_repeated_bytes_of_a_hot_seed(spark):
+    rnd = random.Random(21)
+    noise = lambda n: "".join(rnd.choice("abcdefghij") for _ in range(n))
+    phrase, passages = noise(24), [noise(40) for _ in range(4)]
+    rows = [(k, noise(60) + phrase + noise(60)) for k in range(150)]
+    rows += [(k, noise(30) + passages[k % 4] + phrase + passages[k // 4 % 4][:rnd.randint(5, 40)] + noise(30))
+             for k in range(150, 260)]
+    rows += [(k, "-" * rnd.randint(40, 900) + noise(5)) for k in range(260, 300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)
+           for r in suffix_dedup.repeated_bytes(docs, shard_bytes=1500).collect()}
+    assert got == brute.repeated_bytes(rows)
+    segments = next(suffix_dedup._segmenter(50, 20)([pa.RecordBatch.from_pydict(
+        {"doc_id": [i for i, _ in rows], "text": [x for _, x in rows],
+         "keys": [np.unique(suffix_dedup._window_seeds(x.encode(), 50, 20)).view(np.int64).tolist()
+                  for _, x in rows]})]))
+    segments = spark.createDataFrame(pa.Table.from_batches([segments])).where("size IS NOT NULL").drop("start")
+    held = lambda t: t.selectExpr("seed", "length(segment) as n").groupBy("seed").sum("n").agg({"sum(n)": "max"}).first()[0]
+    parts, cuts = suffix_dedup.bounded_parts(segments, 50, 20, 1500)
+    assert held(segments) > 10_000 and held(parts) <= 1500 and cuts
+
+
+def test_suffix_blocks_hold_whole_seeds():
+    seeds, sizes = np.array([1, 1, 2, 3, 3, 3, 4]), np.array([60, 60, 50, 90, 90, 90, 50])
+    assert suffix_dedup.blocks(seeds, sizes, 200) == [(0, 3), (3, 6), (6, 7)]
+
+
 def test_window_groups_match_prefixes():
     rnd = random.Random(2)
     data = "".join(rnd.choice("ab") for _ in range(300)).encode() * 3
