@@ -1,22 +1,21 @@
 """Dense row numbering, ordering, limits and sampling.
 
 ``dense_index`` gives every row its 0-based position in a total order
-without a single-partition window: the rows are range-partitioned on the
-order keys (so a hot key is spread over several tasks), sorted inside each
-partition, and each partition's offset comes from a per-partition count
-table whose size is bounded by the number of partitions (so broadcasting it
-is safe at any data size).
+without a single-partition window: the rows are dealt to ranges of the order
+keys by fixed cuts (so a hot leading key is spread over several tasks), numbered
+inside each range, and each range's offset comes from a table of counts whose
+size is bounded by the number of ranges (so broadcasting it is safe at any data
+size).  Slices need no numbering: the keys at their ends are selected exactly
+(``selection``) and rows compare with them.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairforge.functions.hashing import dhash
-
-_POS_BITS = 33  # monotonically_increasing_id = partition_id << 33 | row_in_partition
+from pairforge.operators import selection
 
 
 def _cols(cols) -> list[Column]:
@@ -30,42 +29,40 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def dense_index(df: DataFrame, order_cols, name: str = "idx", *, total: str | None = None,
-                num_partitions: int | None = None, kept: list | None = None) -> DataFrame:
+                num_partitions: int | None = None, first: int | None = None) -> DataFrame:
     """Add ``name`` = 0-based rank of each row in ``order_cols`` order.
 
-    ``order_cols`` must form a total order of non-NULL values (add a unique
-    tie-breaker), so the numbering is deterministic whatever the
-    partitioning.  With ``total`` set, the row count is attached as well.
+    ``order_cols`` must form a total order (add a unique tie-breaker), so the
+    numbering is deterministic whatever the partitioning; null sorts first.
+    With ``total`` set, the row count is attached as well.  With ``first`` set,
+    only ranges that reach below that rank are numbered; rows of the others get null.
 
-    The range-partitioned, sorted frame is persisted: the per-partition
-    count branch and the numbering branch then read the very same
-    partitions (one shuffle, one set of range bounds).  A lost cached block
-    is recomputed from the same shuffle and partitioner, so it comes back
-    identical.  A caller that passes ``kept`` finds the persisted frame in it
-    and unpersists it after use.
+    Cut keys from a bounded sample deal the rows to ranges by a plain
+    expression.  Rows are counted per range from the key columns alone, and one
+    shuffle by range numbers them.  Nothing is persisted: the range of a row
+    depends on its key only, so whatever is recomputed comes back the same.
     """
     order = _cols(order_cols)
-    n = _num_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
-                .persist(StorageLevel.MEMORY_AND_DISK))
-    if kept is not None:
-        kept.append(ranged)
-    tagged = ranged.withColumn("_pf_mid", F.monotonically_increasing_id())
-    tagged = (tagged.withColumn("_pf_pid", F.shiftright(F.col("_pf_mid"), _POS_BITS))
-                    .withColumn("_pf_pos", F.col("_pf_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1))))
-    # One row per non-empty partition: bounded by n, so the broadcast is safe.
-    counts = tagged.groupBy("_pf_pid").agg(F.count(F.lit(1)).alias("_pf_cnt"))
-    w = Window.orderBy("_pf_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_pf_pid",
+    cuts = selection.range_cuts(df, order, _num_partitions(df, num_partitions))
+    kind = selection._key_type(df, order)
+    tagged = df.withColumn("_pf_range", selection.range_of(selection.key_struct(order), cuts, kind))
+    # One row per non-empty range: bounded by the number of cuts, so the broadcast is safe.
+    counts = tagged.groupBy("_pf_range").agg(F.count(F.lit(1)).alias("_pf_cnt"))
+    w = Window.orderBy("_pf_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = F.broadcast(counts.select(
+        "_pf_range",
         F.coalesce(F.sum("_pf_cnt").over(w), F.lit(0)).alias("_pf_off"),
-        F.sum("_pf_cnt").over(Window.partitionBy(F.lit(0))).alias("_pf_total"))
-    out = tagged.join(F.broadcast(offsets), "_pf_pid")
-    out = out.withColumn(name, (F.col("_pf_off") + F.col("_pf_pos")).cast("bigint"))
+        F.sum("_pf_cnt").over(Window.partitionBy(F.lit(0))).alias("_pf_total")))
+    out = tagged.join(offsets, "_pf_range")
+    inside = F.row_number().over(Window.partitionBy("_pf_range").orderBy(*order))
+    if first is None:
+        out = out.withColumn(name, (F.col("_pf_off") + inside - 1).cast("bigint"))
+    else:
+        out = (out.where(F.col("_pf_off") < first).withColumn(name, (F.col("_pf_off") + inside - 1).cast("bigint"))
+               .unionByName(out.where(F.col("_pf_off") >= first).withColumn(name, F.lit(None).cast("bigint"))))
     if total:
         out = out.withColumn(total, F.col("_pf_total").cast("bigint"))
-    return out.drop("_pf_mid", "_pf_pid", "_pf_pos", "_pf_cnt", "_pf_off", "_pf_total")
+    return out.drop("_pf_range", "_pf_off", "_pf_total")
 
 
 def group_index(df: DataFrame, group_cols, order_cols, name: str = "gidx",
@@ -133,11 +130,16 @@ def sample_by_hash(df: DataFrame, seed, key_cols, k: int) -> DataFrame:
 
 
 def offset_slice(df: DataFrame, order_cols, start: int, n: int, name: str | None = None) -> DataFrame:
-    """Rows ``[start, start + n)`` of a total order."""
-    col = name or "_pf_slice"
-    out = dense_index(df, order_cols, col).filter(
-        (F.col(col) >= start) & (F.col(col) < start + n))
-    return out if name else out.drop(col)
+    """Rows ``[start, start + n)`` of a total order, between the keys at the two ranks."""
+    order = _cols(order_cols)
+    kind, key = selection._key_type(df, order), selection.key_struct(order)
+    found = selection.rank_keys(df, order, [start, start + n])
+    if found[start] is None or n <= 0:
+        return (df.withColumn(name, F.lit(None).cast("bigint")) if name else df).where(F.lit(False))
+    rows = df.where(key >= selection.key_literal(found[start].key, kind))
+    if found[start + n] is not None:
+        rows = rows.where(key < selection.key_literal(found[start + n].key, kind))
+    return dense_index(rows, order, name).withColumn(name, F.col(name) + start) if name else rows
 
 
 def pick_per_group(df: DataFrame, seed, group_cols, key_cols, value_col: str, name: str) -> DataFrame:

@@ -1,34 +1,28 @@
-"""Dataset splits (T1-T5).  All are exact and reproducible: ranks come from
-``dense_index`` (no single-partition window) and random orders from
-``dhash``."""
+"""Dataset splits (T1-T5).  All are exact and reproducible: the keys at the
+boundary ranks are selected by counting (``selection``), every row is labelled by
+comparing its key with them (no sort, no shuffle, nothing persisted), and random
+orders come from ``dhash``."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.functions.hashing import dhash
-from pairforge.operators.index import dense_index
+from pairforge.operators.selection import label_by_rank
 
 SPLIT = "split"
 
 
-def _assign(rank: Column, first: Column, second: Column, names) -> Column:
-    a, b, c = names
-    return (F.when(rank < first, F.lit(a))
-             .when(rank < first + second, F.lit(b))
-             .otherwise(F.lit(c)))
-
-
 def ordered_split(df: DataFrame, order_cols, fractions=(0.7, 0.2),
                   names=("train", "valid", "test")) -> DataFrame:
     """First ``int(0.7 n)`` rows train, next ``int(0.2 n)`` valid, rest test
     (DOUBLE arithmetic, equal to Python's ``int(0.7 * n)``)."""
-    out = dense_index(df, order_cols, "_rk", total="_n")
-    n = F.col("_n").cast("double")
-    first = F.floor(n * F.lit(float(fractions[0])))
-    second = F.floor(n * F.lit(float(fractions[1])))
-    return out.withColumn(SPLIT, _assign(F.col("_rk"), first, second, names)).drop("_rk", "_n")
+    n = df.count()
+    first, second, _ = split_sizes(n, fractions)
+    return label_by_rank(df, order_cols, [first, first + second], names, SPLIT, n)
 
 
 def random_split(df: DataFrame, key_cols, seed=42, test_size=0.3, second_test_size=0.33333,
@@ -37,23 +31,18 @@ def random_split(df: DataFrame, key_cols, seed=42, test_size=0.3, second_test_si
     is ``ceil(0.3 n)`` rows, of which ``ceil(0.33333 * held)`` are test.  Row
     order is a seeded hash order instead of a process RNG."""
     keys = [F.col(k) if isinstance(k, str) else k for k in key_cols]
-    out = dense_index(df.withColumn("_h", dhash(seed, *keys)), [F.col("_h")] + keys, "_rk", total="_n")
-    n = F.col("_n").cast("double")
-    held = F.ceil(n * F.lit(float(test_size)))
-    test = F.ceil(held * F.lit(float(second_test_size)))
-    first = F.col("_n") - held
-    return (out.withColumn(SPLIT, _assign(F.col("_rk"), first, held - test, names))
-               .drop("_h", "_rk", "_n"))
+    n = df.count()
+    held = math.ceil(float(n) * float(test_size))
+    test = math.ceil(float(held) * float(second_test_size))
+    return label_by_rank(df, [dhash(seed, *keys)] + keys, [n - held, n - test], names, SPLIT, n)
 
 
 def percent_split(df: DataFrame, order_cols, percent: int = 5,
                   names=("validation", "train")) -> DataFrame:
     """The first ``p`` % of rows (boundary rounded half-to-even, like
     percent slicing of datasets) become validation, the rest train."""
-    out = dense_index(df, order_cols, "_rk", total="_n")
-    bound = F.bround(F.col("_n").cast("double") * F.lit(float(percent)) / F.lit(100.0), 0)
-    return (out.withColumn(SPLIT, F.when(F.col("_rk") < bound, F.lit(names[0])).otherwise(F.lit(names[1])))
-               .drop("_rk", "_n"))
+    n = df.count()
+    return label_by_rank(df, order_cols, [round(float(n) * float(percent) / 100.0)], names, SPLIT, n)
 
 
 def group_split(df: DataFrame, group_cols, seed=42, fractions=(0.7, 0.2),
