@@ -12,9 +12,13 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def _query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+def _query(fn=None, *, sql: str | None = None):
+    def register(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLE[fn.__name__] = sql
+        return fn
+    return register(fn) if fn else register
 
 
 @_query
@@ -84,3 +88,47 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.when(F.pmod(number, F.lit(10)) == 0, F.lit("LICENSE"))
                        .otherwise(F.concat(number.cast("string"), F.lit(".txt"))))
     return scan_licences(load(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
+
+
+# CRC-32 in SQL: the 256-entry table by eight steps of the polynomial, then one
+# look-up per byte of each distinct word.
+_STEP = "CASE WHEN {x} & 1 = 1 THEN xor({x} >> 1, 3988292384) ELSE {x} >> 1 END"
+_OP13_SQL = rf"""
+WITH RECURSIVE steps AS (
+  SELECT i, i AS x, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, {_STEP.format(x="x")}, k + 1 FROM steps WHERE k < 8),
+crc_table AS (SELECT list(x ORDER BY i) AS crcs FROM steps WHERE k = 8),
+words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents WHERE doc_id IS NOT NULL),
+target AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+raw AS (SELECT doc_id, unnest(ws) AS w FROM words),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(w)), lambda i:
+           ('0x' || substr(hex(encode(w)), 2 * i::INT + 1, 2))::BIGINT)),
+           lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) % 10000 AS bucket
+  FROM (SELECT w FROM raw UNION SELECT w FROM target), crc_table),
+s AS (SELECT bucket, count(*) AS n FROM raw JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM target JOIN hashed USING (w) GROUP BY bucket),
+totals AS (SELECT (SELECT coalesce(sum(n), 0) FROM s)::DOUBLE AS s_all, (SELECT coalesce(sum(n), 0) FROM t)::DOUBLE AS t_all),
+gains AS (
+  SELECT s.bucket, floor(1000 * ln((coalesce(t.n, 0)::DOUBLE + 1) * (s_all + 10000) / ((s.n::DOUBLE + 1) * (t_all + 10000))))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket), totals),
+weights AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM raw JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                    / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM words LEFT JOIN weights USING (doc_id)),
+ranked AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rk, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rk <= 10 * n // 100 THEN rk END AS rank
+FROM scored LEFT JOIN ranked USING (doc_id)"""
+
+
+@_query(sql=_OP13_SQL)
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.importance import importance
+    return importance(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), buckets=10000, max_n=1,
+                      seed=2024, min_words=20, percent=10).select("doc_id", "n_features", "weight", "score", "rank")
