@@ -132,3 +132,39 @@ def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pairforge.llm.importance import importance
     return importance(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), buckets=10000, max_n=1,
                       seed=2024, min_words=20, percent=10).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+_OP11_K, _OP11_ROUNDS = 40, 5
+_DISTANCE = "list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+
+
+def _op11_sql() -> str:
+    """The rounds unrolled: assignment a<i> to centroids c<i>, then centroids c<i + 1>."""
+    parts = [f"""kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             f"""c0 AS MATERIALIZED (
+  SELECT (row_number() OVER (ORDER BY h) - 1)::INT AS cluster, v AS c
+  FROM (SELECT v, sha256('2:' || vec_id) AS h FROM kept ORDER BY h LIMIT {_OP11_K}))"""]
+    for i in range(_OP11_ROUNDS + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT vec_id, any_value(v) AS v, arg_min(cluster, (d, cluster)) AS cluster, min(d) AS distance
+  FROM (SELECT vec_id, v, cluster, {_DISTANCE} AS d FROM kept, c{i}) GROUP BY vec_id)""")
+        if i < _OP11_ROUNDS:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(m, c) AS c FROM c{i} LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY k) AS m FROM (
+      SELECT cluster, k, sum(x)::BIGINT AS s, count(*) AS n
+      FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS k FROM a{i}) GROUP BY cluster, k)
+    GROUP BY cluster) USING (cluster))""")
+    return f"""WITH {", ".join(parts)}
+SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{_OP11_ROUNDS} JOIN c{_OP11_ROUNDS} USING (cluster)"""
+
+
+@_query(sql=_op11_sql())
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.centroids import cluster
+    return cluster(load(spark, sf_dir, "embeddings"), k=_OP11_K, rounds=_OP11_ROUNDS, dims=64, scale=256, seed=2)
