@@ -58,6 +58,16 @@ def byte_texts(column) -> list[bytes]:
     return [x or b"" for x in column.cast(kind).to_pylist()]
 
 
+# The word characters 0-9, a-z (A-Z lowered) and all bytes above 127; other bytes part words.
+_WORD_BYTES = b"0123456789abcdefghijklmnopqrstuvwxyz"
+_FOLD = bytes(b if b >= 128 or b in _WORD_BYTES else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
+
+
+def fold_words(text: bytes) -> list[bytes]:
+    """Words of ASCII letters and digits and all non-ASCII characters, A-Z lower-cased."""
+    return text.translate(_FOLD).split()
+
+
 def id_array(column) -> np.ndarray:
     return np.asarray(column.to_numpy(zero_copy_only=False), dtype=np.int64)
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import byte_texts, documents, id_array, save
+from pairforge.llm.common import byte_texts, documents, fold_words, id_array, save
 from pairforge.operators.index import dense_index
 
 #: texts are tokenised in slices of about so many bytes
@@ -44,10 +44,8 @@ KNOWN_BYTES = 48 << 20
 #: features longer than this are cut into rows of this length, whose CRCs are then joined
 PIECE = 256
 
-# The reflected CRC-32 polynomial, and the word characters 0-9, a-z (A-Z lowered) and all bytes above 127.
+# Fixed value: the reflected CRC-32 polynomial.
 POLYNOMIAL = 0xEDB88320
-_WORD = b"0123456789abcdefghijklmnopqrstuvwxyz"
-_SPLIT = bytes(b if b >= 128 or b in _WORD else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 
 
 def _crc_table() -> np.ndarray:
@@ -129,7 +127,7 @@ class FeatureBuckets:
 
 def text_features(text: bytes, max_n: int) -> tuple[int, list[bytes]]:
     """(number of words, features with repeats) of a text."""
-    words = text.translate(_SPLIT).split()
+    words = fold_words(text)
     features = list(words)
     for n in range(2, max_n + 1):
         features += [b" ".join(words[k:k + n]) for k in range(len(words) - n + 1)]

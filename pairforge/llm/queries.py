@@ -90,6 +90,12 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licences(load(spark, sf_dir, "documents").select("doc_id", path.alias("path"), "text"))
 
 
+@_query
+def op12_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pairforge.llm.spot_signatures import fingerprints
+    return fingerprints(load(spark, sf_dir, "documents"))
+
+
 # CRC-32 in SQL: the 256-entry table by eight steps of the polynomial, then one
 # look-up per byte of each distinct word.
 _STEP = "CASE WHEN {x} & 1 = 1 THEN xor({x} >> 1, 3988292384) ELSE {x} >> 1 END"
