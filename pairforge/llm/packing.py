@@ -34,8 +34,8 @@ TOKENIZER = "byte_bpe_50k.json"
 END_ID = 0
 #: pieces ranked by one task at most, on average
 RANK_ROWS = 50_000
-#: chunk encodings that a worker keeps
-CHUNK_CACHE = 1_000_000
+#: a worker forgets its encodings when they pass so many bytes; longer chunks aren't kept
+CACHE_BYTES, KEPT_CHARS, ENTRY_BYTES = 256 << 20, 64, 200
 #: characters of text encoded together
 BATCH_CHARS = 2_000_000
 
@@ -65,59 +65,81 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+class _Chunks(dict):
+    """chunk -> token ids as bytes; a chunk not met yet is encoded by the short way or,
+    where that doesn't hold, by the tokenizer."""
+
+    def __init__(self, encoder: "ChunkEncoder", prefix: str):
+        super().__init__({"": b""} if not prefix else {})
+        self.encoder, self.prefix, self.size = encoder, prefix, 0
+
+    def __missing__(self, chunk: str) -> bytes:
+        encoder = self.encoder
+        if encoder.plain and chunk.isalpha() and chunk.isascii():
+            ids = encoder.piece(self.prefix + chunk)
+        elif encoder.plain and _PLAIN.fullmatch(chunk):
+            pieces = _PIECE.findall(chunk)
+            pieces[0] = self.prefix + pieces[0]
+            ids = b"".join(map(encoder.piece, pieces))
+        else:
+            ids = array("I", encoder.tokenizer.encode(self.prefix + chunk, add_special_tokens=False).ids).tobytes()
+        if len(chunk) <= KEPT_CHARS:
+            self[chunk] = ids
+            self.size += ENTRY_BYTES + len(chunk) + len(ids)
+        return ids
+
+
+class _Pieces(dict):
+    """piece -> token ids as bytes, by the model alone."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.size = model, 0
+
+    def __missing__(self, piece: str) -> bytes:
+        if not piece.isascii():
+            mapped = piece.encode().decode("latin-1").translate(_LETTERS)
+        else:
+            mapped = piece.replace(" ", "Ġ").replace("\n", "Ċ")
+        ids = array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
+        if len(piece) <= KEPT_CHARS:
+            self[piece] = ids
+            self.size += ENTRY_BYTES + len(piece) + len(ids)
+        return ids
+
+
 class ChunkEncoder:
     """Token ids of whole texts as little-endian 32-bit bytes.
 
     The tokenizer's split rule never joins over a space that stands before a
     visible character, so a text's ids are those of its chunks between such
-    spaces; frequent chunks are encoded once per worker."""
+    spaces: one look-up per chunk, and a chunk is encoded when it is first met."""
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self._tokenizer = Tokenizer.from_file(tokenizer_path(tokenizer))
-        self._model = self._tokenizer.model
-        self._first: dict[str, bytes] = {"": b""}
-        self._rest: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
+        self.tokenizer = Tokenizer.from_file(tokenizer_path(tokenizer))
+        self._forget()
         # the short way holds for a plain byte-level tokenizer; others take whole chunks through the pipeline
         probe = "Ab, cé.\nD"
-        self._plain = (self._tokenizer.normalizer is None and b"".join(map(self._piece, ("Ab", ",", " cé", ".", "\n", "D")))
-                       == array("I", self._tokenizer.encode(probe, add_special_tokens=False).ids).tobytes())
-
-    def _piece(self, piece: str) -> bytes:
-        found = self._pieces.get(piece)
-        if found is None:
-            if not piece.isascii():
-                mapped = piece.encode().decode("latin-1").translate(_LETTERS)
-            else:
-                mapped = piece.replace(" ", "Ġ").replace("\n", "Ċ")
-            found = self._pieces[piece] = array("I", [t.id for t in self._model.tokenize(mapped)]).tobytes()
-        return found
-
-    def _learn(self, known: dict, chunks: set, prefix: str) -> None:
-        other = []
-        for chunk in chunks - known.keys():
-            if self._plain and chunk.isalpha() and chunk.isascii():
-                known[chunk] = self._piece(prefix + chunk)
-            elif self._plain and _PLAIN.fullmatch(chunk):
-                pieces = _PIECE.findall(chunk)
-                pieces[0] = prefix + pieces[0]
-                known[chunk] = b"".join(map(self._piece, pieces))
-            else:
-                other.append(chunk)
-        for chunk, enc in zip(other, self._tokenizer.encode_batch([prefix + c for c in other],
-                                                                  add_special_tokens=False), strict=True):
-            known[chunk] = array("I", enc.ids).tobytes()
+        self.plain = (self.tokenizer.normalizer is None and b"".join(map(self.piece, ("Ab", ",", " cé", ".", "\n", "D")))
+                      == array("I", self.tokenizer.encode(probe, add_special_tokens=False).ids).tobytes())
+
+    def _forget(self) -> None:
+        self._first, self._rest, self._pieces = _Chunks(self, ""), _Chunks(self, " "), _Pieces(self.tokenizer.model)
+        self.piece = self._pieces.__getitem__
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") if not _ODD_SPACE.search(t) else _SPLIT.split(t) for t in texts]
-        if len(self._rest) > CHUNK_CACHE:
-            self._rest, self._first, self._pieces = {}, {"": b""}, {}
-        self._learn(self._first, {s[0] for s in split}, "")
-        self._learn(self._rest, set().union(*(s[1:] for s in split)) if split else set(), " ")
-        first, rest = self._first, self._rest.__getitem__
-        return [first[s[0]] + b"".join(map(rest, s[1:])) for s in split]
+        if self._first.size + self._rest.size + self._pieces.size > CACHE_BYTES:
+            self._forget()
+        first, rest, join = self._first, self._rest.__getitem__, b"".join
+        out = []
+        for text in texts:
+            chunks = text.split(" ") if not _ODD_SPACE.search(text) else _SPLIT.split(text)
+            head = first[chunks[0]]
+            del chunks[0]
+            out.append(head + join(map(rest, chunks)))
+        return out
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}

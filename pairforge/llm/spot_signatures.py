@@ -47,8 +47,8 @@ CHAIN = 3
 GAP = 16
 #: a worker's table of words is begun anew past so many
 KNOWN_WORDS = 400_000
-#: ranges of doc_id at most, and sample ids that place the cut of one
-MAX_RANGES, PER_RANGE = 16384, 32
+#: ranges of doc_id at most, and sample documents that place the cut of one
+MAX_RANGES, PER_RANGE = 16384, 64
 
 _SEED = 12
 _NO_ANCHOR = U64(0x5107)
@@ -71,12 +71,9 @@ def common_words(docs: DataFrame, limit: int = ANCHORS) -> list[bytes]:
         if seen:
             yield rows()
     counts = docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    # one row per distinct word is reduced to the top and the number of words in one pass
-    top = counts.orderBy(F.desc("n"), "word").limit(limit)
-    found = [bytes(r.word) for r in top.collect()]
-    if len(found) < limit or counts.limit(8 * limit).count() < 8 * limit:
-        found = found[:min(limit, counts.count() // 8)]
-    return found
+    # fewer than eight times the limit are all words there are
+    top = [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(8 * limit).select("word").collect()]
+    return top[:len(top) // 8]
 
 
 class Spots:
@@ -170,7 +167,7 @@ def edited(text: str, following: str) -> str:
 
 
 def _ranges(docs: DataFrame) -> list[int]:
-    """First ids of the ranges but the first, from a bounded sample of ids."""
+    """First ids of the ranges but the first, from a bounded sample of ids and text lengths."""
     spark = docs.sparkSession
     n = docs.count()
     wanted = min(MAX_RANGES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), docs.rdd.getNumPartitions()),
@@ -178,8 +175,14 @@ def _ranges(docs: DataFrame) -> list[int]:
     if wanted < 2:
         return []
     share = min(1.0, wanted * PER_RANGE / n)
-    ids = sorted(r.doc_id for r in docs.select("doc_id").where(F.rand(_SEED) < share).collect())
-    return sorted({ids[len(ids) * k // wanted] for k in range(1, wanted)}) if ids else []
+    drawn = sorted((r.doc_id, r.n) for r in docs.where(F.rand(_SEED) < share).select(
+        "doc_id", (F.coalesce(F.length("text"), F.lit(0)) + 100).alias("n")).collect())
+    if not drawn:
+        return []
+    ids, sizes = zip(*drawn)
+    sums = np.cumsum(sizes)  # ranges of similar text, not of similar numbers of documents
+    at = np.searchsorted(sums, sums[-1] * np.arange(1, wanted) / wanted)
+    return sorted({ids[k] for k in at})
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
