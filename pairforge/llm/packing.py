@@ -82,7 +82,7 @@ class _Chunks(dict):
             pieces[0] = self.prefix + pieces[0]
             ids = b"".join(map(encoder.piece, pieces))
         else:
-            ids = array("I", encoder.tokenizer.encode(self.prefix + chunk, add_special_tokens=False).ids).tobytes()
+            ids = array("I", encoder._tokenizer.encode(self.prefix + chunk, add_special_tokens=False).ids).tobytes()
         if len(chunk) <= KEPT_CHARS:
             self[chunk] = ids
             self.size += ENTRY_BYTES + len(chunk) + len(ids)
@@ -118,15 +118,15 @@ class ChunkEncoder:
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(tokenizer_path(tokenizer))
+        self._tokenizer = Tokenizer.from_file(tokenizer_path(tokenizer))
         self._forget()
         # the short way holds for a plain byte-level tokenizer; others take whole chunks through the pipeline
         probe = "Ab, cé.\nD"
-        self.plain = (self.tokenizer.normalizer is None and b"".join(map(self.piece, ("Ab", ",", " cé", ".", "\n", "D")))
-                      == array("I", self.tokenizer.encode(probe, add_special_tokens=False).ids).tobytes())
+        self.plain = (self._tokenizer.normalizer is None and b"".join(map(self.piece, ("Ab", ",", " cé", ".", "\n", "D")))
+                      == array("I", self._tokenizer.encode(probe, add_special_tokens=False).ids).tobytes())
 
     def _forget(self) -> None:
-        self._first, self._rest, self._pieces = _Chunks(self, ""), _Chunks(self, " "), _Pieces(self.tokenizer.model)
+        self._first, self._rest, self._pieces = _Chunks(self, ""), _Chunks(self, " "), _Pieces(self._tokenizer.model)
         self.piece = self._pieces.__getitem__
 
     def encode(self, texts: list[str]) -> list[bytes]:

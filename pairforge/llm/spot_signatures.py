@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import U64, byte_texts, documents, fold_words, id_array, mix, odd_multipliers, save
@@ -54,13 +54,13 @@ _SEED = 12
 _NO_ANCHOR = U64(0x5107)
 
 
-def common_words(docs: DataFrame, limit: int = ANCHORS) -> list[bytes]:
-    """The words that most documents hold (ties: smaller first), at most ``limit`` and at
-    most an eighth of all distinct words.  Tasks send their counts."""
+def common_words(docs: DataFrame, limit: int = ANCHORS) -> list[int]:
+    """64-bit hashes of the words that most documents hold (ties: smaller hash first), at most
+    ``limit`` and at most an eighth of all distinct words.  Tasks send counts by hash."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-                                              names=["word", "n"])
+            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, seen), dtype=U64, count=len(seen)).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
         seen: Counter = Counter()
         for batch in batches:
             for text in byte_texts(batch.column(0)):
@@ -70,10 +70,10 @@ def common_words(docs: DataFrame, limit: int = ANCHORS) -> list[bytes]:
                     seen.clear()
         if seen:
             yield rows()
-    counts = docs.select("text").mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    # fewer than eight times the limit are all words there are
-    top = [bytes(r.word) for r in counts.orderBy(F.desc("n"), "word").limit(8 * limit).select("word").collect()]
-    return top[:len(top) // 8]
+    distinct = Observation()
+    counts = docs.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    top = counts.observe(distinct, F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(limit).collect()
+    return [r.word % (1 << 64) for r in top][:distinct.get["n"] // 8]
 
 
 class Spots:
@@ -82,19 +82,20 @@ class Spots:
     class _Words(dict):
         """word -> hash, whose lowest bit tells an anchor."""
 
-        def __init__(self, anchors: list[bytes]):
+        def __init__(self, anchors: list[int]):
             super().__init__()
             self.anchors = set(anchors)
 
         def __missing__(self, word: bytes) -> int:
-            value = xxhash.xxh3_64_intdigest(word) & ~1 | (word in self.anchors)
+            value = xxhash.xxh3_64_intdigest(word)
+            value = value & ~1 | (value in self.anchors)
             if len(word) <= 64:
                 if len(self) >= KNOWN_WORDS:
                     self.clear()
                 self[word] = value
             return value
 
-    def __init__(self, anchors: list[bytes]):
+    def __init__(self, anchors: list[int]):
         self.words = Spots._Words(anchors)
         self.multipliers = odd_multipliers(CHAIN + 1, _SEED)
 
@@ -245,7 +246,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                                       "edited_fingerprint string, near_edited double, near_next double, n_spots bigint")
 
 
-def signature_sets(docs: DataFrame, anchors: list[bytes], threshold: float) -> DataFrame:
+def signature_sets(docs: DataFrame, anchors: list[int], threshold: float) -> DataFrame:
     """(doc_id, length_class, spots array<bigint>, prefix array<bigint>): of two sets that are
     like each other, the prefixes (smallest signatures) share one."""
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

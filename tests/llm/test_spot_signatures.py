@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from pairforge.llm import spot_signatures as S
 
@@ -19,7 +20,10 @@ def words(text):
 
 def anchors_of(texts, limit=S.ANCHORS):
     seen = Counter(w for t in texts for w in set(words(t)))
-    top = sorted(seen, key=lambda w: (-seen[w], w.encode()))[:min(limit, len(seen) // 8)]
+    def order(w):
+        h = xxhash.xxh3_64_intdigest(w.encode())
+        return -seen[w], h - (1 << 64) * (h >> 63)
+    top = sorted(seen, key=order)[:min(limit, len(seen) // 8)]
     return set(top)
 
 
