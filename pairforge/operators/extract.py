@@ -40,7 +40,14 @@ TOKEN_PATTERNS = [
     r">>>=|<<=|>>=|>>>|\*\*|=>|->|:=|==|!=|<=|>=|&&|\|\||\+\+|--|\+=|-=|\*=|/=|%=|\|=|&=|\^=|<<|>>",
     r"[\s\S]",                              # any other character
 ]
+#: for engines whose regexes don't backtrack
 TOKEN_RX = "|".join(TOKEN_PATTERNS)
+# Java's engine recurses on a repeated choice, once per character, and overflows the stack in
+# a long literal.  The possessive form matches the same text in a loop: what a round of it
+# takes never needs to be given back, as neither choice matches a closing quote alone.
+JAVA_TOKEN_RX = TOKEN_RX
+for _quote in "\"'":
+    JAVA_TOKEN_RX = JAVA_TOKEN_RX.replace(rf"(?:[^{_quote}\r\n\\]|\\.)*", rf"(?:[^{_quote}\r\n\\]++|\\.)*+")
 
 # Solidity words that the lexer does not return as Identifier.
 KEYWORDS = """abstract address anonymous as assembly bool break bytes calldata catch constant constructor
@@ -58,7 +65,8 @@ SIZED_TYPES = ([f"bytes{n}" for n in range(1, 33)] + [f"int{n}" for n in range(8
                + [f"uint{n}" for n in range(8, 257, 8)])
 # Types that enter a signature -- address, bool, bytes, string,
 # int, uint and the sized bytesN / intN / uintN names built above.
-SIGNATURE_TYPE_RX = "^(" + "|".join(["address", "bool", "bytes", "string", "int", "uint"] + SIZED_TYPES) + ")$"
+SIGNATURE_TYPES = ["address", "bool", "bytes", "string", "int", "uint"] + SIZED_TYPES
+SIGNATURE_TYPE_RX = "^(" + "|".join(SIGNATURE_TYPES) + ")$"
 FIXED_RX = r"^u?fixed([1-9][0-9]*x[1-9][0-9]*)?$"
 MIN_TOKENS = 20
 
@@ -66,13 +74,15 @@ MIN_TOKENS = 20
 def tokens(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, pos, tok, kind)``; kind in ws, fn, ident, rparen, lbrace,
     rbrace, semi, lbrack, sigtype, other."""
-    t = df.select(F.col(key), F.posexplode(F.regexp_extract_all(F.col(text), F.lit(TOKEN_RX), 0)).alias("pos", "tok"))
-    words = F.array(*[F.lit(w) for w in KEYWORDS + SIZED_TYPES])
-    tok = F.col("tok")
-    kind = (F.when(tok.rlike(r"^([ \t\r\n\x0c]|/\*|//)"), "ws")
+    t = df.select(F.col(key), F.posexplode(F.regexp_extract_all(F.col(text), F.lit(JAVA_TOKEN_RX), 0)).alias("pos", "tok"))
+    tok, first = F.col("tok"), F.substring("tok", 1, 1)
+    letter = first.between("a", "z") | first.between("A", "Z") | first.isin("_", "$")
+    # look-ups in hash sets; a pattern is tried on the few words that could match it
+    kind = (F.when(first.isin(" ", "\t", "\r", "\n", "\x0c") | F.substring("tok", 1, 2).isin("/*", "//"), "ws")
              .when(tok.isin("function", "modifier"), "fn")
-             .when(tok.rlike(SIGNATURE_TYPE_RX), "sigtype")
-             .when(tok.rlike(r"^[A-Za-z_$]") & ~F.array_contains(words, tok) & ~tok.rlike(FIXED_RX), "ident")
+             .when(tok.isin(*SIGNATURE_TYPES), "sigtype")
+             .when(letter & ~tok.isin(*KEYWORDS, *SIZED_TYPES)
+                   & ~((tok.startswith("fixed") | tok.startswith("ufixed")) & tok.rlike(FIXED_RX)), "ident")
              .when(tok == ")", "rparen").when(tok == "{", "lbrace").when(tok == "}", "rbrace")
              .when(tok == ";", "semi").when(tok == "[", "lbrack")
              .otherwise("other"))

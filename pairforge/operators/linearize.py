@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pairforge.operators.extract import KEYWORDS, SIZED_TYPES, TOKEN_RX
+from pairforge.operators.extract import JAVA_TOKEN_RX, KEYWORDS, SIZED_TYPES
 
 _TYPES = {"address", "bool", "string", "bytes", "int", "uint", "byte", "fixed", "ufixed", "var"} | set(SIZED_TYPES)
 _LOCATIONS = {"memory", "storage", "calldata", "payable", "indexed", "constant", "immutable"}
@@ -378,7 +378,7 @@ def _rewrite_udf(tokens: pd.Series) -> pd.DataFrame:
 
 def code_tokens(text: Column) -> Column:
     """Tokens without whitespace and comments (the linearisation lexer)."""
-    toks = F.regexp_extract_all(text, F.lit(TOKEN_RX), 0)
+    toks = F.regexp_extract_all(text, F.lit(JAVA_TOKEN_RX), 0)
     return F.filter(toks, lambda t: ~t.rlike(r"^([ \t\r\n\x0c]|/\*|//)"))
 
 

@@ -63,3 +63,36 @@ def test_brace_spans(spark):
     df = spark.createDataFrame([(1, "a{b{c}d}e}f{g"), (2, "}{x}{")], "k int, t string")
     got = sorted((r.k, r.span_start, r.span_text) for r in X.brace_spans(df, "k", "t").collect())
     assert got == [(1, 2, "{b{c}d}"), (2, 2, "{x}")]
+
+
+def _function(body):
+    return "function big(uint a) public returns (bytes memory) { total = total + a; x = a; " + body + " return data; }"
+
+
+def test_long_literals_do_not_overflow_the_stack(spark):
+    literals = ['"' + "x" * 200_000 + '"', "'" + "y{" * 100_000 + "'", '"' + r"\"" * 50_000 + '"',
+                '"' + r"\\a}" * 50_000 + '"', "/*" + "{" * 200_000 + "*/", "//" + "}" * 200_000 + "\n"]
+    df = spark.createDataFrame([(f"0x{i}", _function(f"data = {s};")) for i, s in enumerate(literals)],
+                               "codehash string, text string")
+    got = {r.codehash: r for r in X.extract_functions(df).collect()}
+    assert len(got) == len(literals)
+    for i, s in enumerate(literals):
+        assert got[f"0x{i}"].signature == "big(uint256)"
+        text = {"/*": " ", "//": "  "}.get(s[:2], s)  # a comment is one space, and so is the line break after it
+        assert got[f"0x{i}"].text == _function(f"data = {text};")
+
+
+def test_patterns_of_both_engines_agree(spark):
+    import random
+
+    import duckdb
+    rnd = random.Random(3)
+    texts = ["".join(rnd.choice(["'", '"', "\\", "\n", "a", "_$", "0x1F", "1.5e-3", "/*", "*/", "//", " ", ">>=", "é", "{"])
+                     for _ in range(rnd.randint(0, 40))) for _ in range(500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    got = {}
+    for r in sorted(X.tokens(df, "k", "t").collect(), key=lambda r: (r.k, r.pos)):
+        got.setdefault(r.k, []).append(r.tok)
+    for k, t in enumerate(texts):
+        want = duckdb.execute("select regexp_extract_all(?, ?)", [t, X.TOKEN_RX]).fetchone()[0]
+        assert got.get(k, []) == want and "".join(want) == t
