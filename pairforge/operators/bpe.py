@@ -1,5 +1,5 @@
-"""Byte-level BPE vocabulary: pre-token counts, merge training, encoding
-(A17, A18, Z1).
+"""Byte-level BPE vocabulary: pre-token counts and merge training (A17, A18);
+``vocabulary`` encodes with the result.
 
 * Pre-tokens come from one JVM regex: the byte-level split rule (English
   contractions; letters, digits, other runs, each optionally led by one space;
@@ -15,20 +15,13 @@
   taken in the round and its count is strictly greater than every count
   that those merges could create or change.  The word table is
   checkpointed every few rounds to cut lineage.
-* Encoding applies the ranked merges to each pre-token inside an
-  Arrow-batched pandas UDF (per-task cache of word encodings); the merge
-  table is bounded by the vocabulary size, which is the caller's.
 """
 
 from __future__ import annotations
 
-import functools
-
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pairforge.session import ensure_checkpoint_dir
 
@@ -161,44 +154,3 @@ def symbol_text(hex_col: Column) -> Column:
     """Readable form of a (merged) symbol: its bytes as UTF-8; a partial
     character shows as U+FFFD."""
     return F.make_valid_utf8(F.unhex(hex_col).cast("string"))
-
-
-def _encoder(merges: list[tuple[str, str]]):
-    ranks = {(l, r): i for i, (l, r) in enumerate(merges)}
-    ids = {tok: i for i, tok in enumerate(vocabulary(merges))}
-    unk = SPECIAL_TOKENS.index("[UNK]")
-
-    @functools.lru_cache(maxsize=200_000)
-    def encode_word(word: str) -> tuple[int, ...]:
-        syms = [f"{b:02X}" for b in word.encode("utf-8")]
-        while len(syms) > 1:
-            best = min(((ranks.get((a, b), None), i) for i, (a, b) in enumerate(zip(syms, syms[1:]))
-                        if (a, b) in ranks), default=None)
-            if best is None:
-                break
-            a, b = syms[best[1]], syms[best[1] + 1]
-            out, i = [], 0
-            while i < len(syms):
-                if i + 1 < len(syms) and syms[i] == a and syms[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(syms[i])
-                    i += 1
-            syms = out
-        return tuple(ids.get(s, unk) for s in syms)
-    return encode_word
-
-
-def encode_udf(merges: list[tuple[str, str]]):
-    """Pandas UDF ``array<string> pre-tokens -> array<int> ids``."""
-    merges = list(merges)
-    encoders: list = []  # one per task: batches of a task share its word cache
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def encode(tokens: pd.Series) -> pd.Series:
-        if not encoders:
-            encoders.append(_encoder(merges))
-        enc = encoders[0]
-        return tokens.map(lambda ws: [i for w in ws for i in enc(w)] if ws is not None else None)
-    return encode

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from pairforge.operators import bpe
+from pairforge.operators import vocabulary as V
 
 TEXTS = ["the theme of the thesis is there", "then they thought that these were the same",
          "ein kleines Beispiel für die Übung", "números 123 y 4567, otra vez 123"] * 3
@@ -38,9 +39,10 @@ def test_encode_round_trips_bytes(spark):
     words = _words(spark)
     merges = bpe.train_bpe(words, 261 + 20, 2)
     vocab = bpe.vocabulary(merges)
-    enc = bpe.encode_udf(merges)
+    given = V.Vocabulary(spark.createDataFrame([(t, i) for i, t in enumerate(vocab)], "token string, id int"),
+                         bpe.merges_frame(spark, merges))
     df = spark.createDataFrame([(t,) for t in TEXTS[:4]], "text string")
-    for r in df.select("text", enc(bpe.pretokens(F.col("text"))).alias("ids")).collect():
+    for r in V.encode(df, "text", bpe.pretokens(F.col("text")), given).collect():
         hexed = "".join(vocab[i] for i in r.ids)
         assert bytes.fromhex(hexed).decode("utf-8") == r.text
         assert len(r.ids) < len(r.text.encode("utf-8"))
