@@ -8,22 +8,26 @@
   a word is a space-separated symbol string and a merge is a plain string
   rewrite that needs no escaping.
 * Training runs on the distinct pre-token table (pre-aggregated map-side).
-  Each round is one distributed aggregation of adjacent-pair counts; the
-  driver receives only the top pairs.  Several merges are applied in one
+  Pair counts are made once and then kept up by differences: a round tests each
+  word for the merged pairs by a plain substring search, and only words that hold
+  one are taken apart, before (minus) and after (plus) the merge.  A round is one
+  job; the driver receives only the top pairs.  Several merges are applied in one
   round when that provably gives the same result as merging one at a time:
-  a candidate is taken only if it shares no symbol with the merges already
-  taken in the round and its count is strictly greater than every count
-  that those merges could create or change.  The word table is
-  checkpointed every few rounds to cut lineage.
+  a candidate is taken only if the merges already taken in the round leave
+  its count as it is, and that is strictly greater than every count that
+  those merges could create.  Words and counts are written every
+  few rounds to cut lineage; between, they are kept (and released) by round.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairforge.session import ensure_checkpoint_dir
+from pairforge.session import written
 
 # White space and the byte-level split rule.  A run of white space
 # before a word leaves its last character to the word's side.
@@ -57,9 +61,25 @@ def byte_symbols(tok: Column) -> Column:
 _PAIR_RX = r"(?<![0-9A-F])(?=([0-9A-F]+ [0-9A-F]+))"
 
 
+def _signed_pairs(seq: Column, cnt: Column) -> Column:
+    return F.transform(F.regexp_extract_all(seq, F.lit(_PAIR_RX), 1), lambda p: F.struct(p.alias("pair"), cnt.alias("n")))
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("pair").agg(F.sum("n").alias("n")).where("n > 0")
+
+
 def _pairs(words: DataFrame) -> DataFrame:
-    p = words.select(F.explode(F.regexp_extract_all(F.col("seq"), F.lit(_PAIR_RX), 1)).alias("pair"), "cnt")
-    return p.groupBy("pair").agg(F.sum("cnt").alias("n"))
+    p = words.select(F.explode(_signed_pairs(F.col("seq"), F.col("cnt"))).alias("p")).select("p.*")
+    return _summed(p)
+
+
+def _changes(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """(pair, n) of the words that hold a merged pair: lost pairs count minus, new ones plus."""
+    seq, cnt = F.col("seq"), F.col("cnt")
+    touched = words.where(_holds(seq, merges)).select("cnt", "seq", _apply(seq, merges).alias("merged"))
+    rows = F.concat(_signed_pairs(seq, -cnt), _signed_pairs(F.col("merged"), cnt))
+    return touched.select(F.explode(rows).alias("p")).select("p.*")
 
 
 def _choose(top: list[tuple[str, int]], min_frequency: int, budget: int,
@@ -69,24 +89,27 @@ def _choose(top: list[tuple[str, int]], min_frequency: int, budget: int,
     last listed one, so later picks must beat that too.
 
     Merging (a, b) can only raise the count of new pairs (x, ab) and
-    (ab, y), bounded by the counts of (x, a) and (b, y); every other pair
-    keeps or loses count.  A later candidate must share no symbol with the
-    merges taken and beat that bound strictly."""
+    (ab, y), bounded by the counts of (x, a) and (b, y).  It takes
+    occurrences only from pairs that end with a or begin with b: an
+    occurrence of (a, y) or (x, b) beside it keeps its symbols.  Every other
+    pair keeps its count.  A later candidate must not end with the left or
+    begin with the right of a merge taken, and must beat that bound strictly."""
     if not top or top[0][1] < min_frequency:
         return []
     floor = top[-1][1]
     split = [(p.split(" "), n) for p, n in top]
-    chosen, used, bound = [], set(), 0
+    chosen, lefts, rights, bound = [], set(), set(), 0
     for (left, right), n in split:
         if len(chosen) >= budget or n < min_frequency:
             break
         if chosen:
-            if left in used or right in used:
+            if left in rights or right in lefts:
                 break
             if n <= bound or (truncated and n <= floor):
                 break
         chosen.append((left, right))
-        used.update((left, right))
+        lefts.add(left)
+        rights.add(right)
         # a symbol merged with itself makes the new pair (aa, aa) as well
         bound = max([m for (l2, r2), m in split
                      if (r2 == left or l2 == right) and ((l2, r2) != (left, right) or left == right)]
@@ -94,9 +117,18 @@ def _choose(top: list[tuple[str, int]], min_frequency: int, budget: int,
     return chosen
 
 
+def _holds(seq: Column, merges: list[tuple[str, str]]) -> Column:
+    """Words are kept with a space at both ends, so a pair is a plain substring."""
+    return functools.reduce(Column.__or__, (seq.contains(f" {left} {right} ") for left, right in merges))
+
+
 def _apply(seq: Column, merges: list[tuple[str, str]]) -> Column:
     for left, right in merges:
-        seq = F.regexp_replace(seq, f"(?<=^| ){left} {right}(?= |$)", left + right)
+        if left == right:  # from left to right
+            seq = F.regexp_replace(seq, f"(?<=^| ){left} {right}(?= |$)", left + right)
+        else:  # neighbouring occurrences share a space: the second pass finds those between
+            for _ in range(2):
+                seq = F.replace(seq, F.lit(f" {left} {right} "), F.lit(f" {left}{right} "))
     return seq
 
 
@@ -107,35 +139,40 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, top_k:
     (``pretoken``, ``n``).  The vocabulary is the special tokens, the 256
     byte symbols and one token per merge, up to ``vocab_size``."""
     spark = words.sparkSession
-    ensure_checkpoint_dir(spark)
     budget = vocab_size - len(SPECIAL_TOKENS) - N_BYTES
-    state = words.select(byte_symbols(F.col("pretoken")).alias("seq"), F.col("n").alias("cnt"))
-    slots = spark.sparkContext.defaultParallelism
-    state = state.groupBy("seq").agg(F.sum("cnt").alias("cnt"))
-    state = state.repartition(max(slots, state.rdd.getNumPartitions())).checkpoint()
+    padded = F.concat(F.lit(" "), byte_symbols(F.col("pretoken")), F.lit(" "))
+    state = words.select(padded.alias("seq"), F.col("n").alias("cnt")).groupBy("seq").agg(F.sum("cnt").alias("cnt"))
+    state = state.repartition(max(spark.sparkContext.defaultParallelism, state.rdd.getNumPartitions()))
+    state = written(state, "bpe-words")
+    counts = _pairs(state).persist(StorageLevel.MEMORY_AND_DISK)
     merges: list[tuple[str, str]] = []
     rounds = 0
-    release: list[DataFrame] = []
+    behind: list[DataFrame] = []  # tables that nothing still to be computed reads
+    words_before: DataFrame | None = None
     while len(merges) < budget and (max_rounds is None or rounds < max_rounds):
-        top = [(r.pair, r.n) for r in _pairs(state).orderBy(F.desc("n"), F.asc("pair")).limit(top_k).collect()]
-        # this round's word table is now materialised: earlier ones can go
-        for old in release:
+        # makes this round's counts, and with them the words of the round before
+        top = [(r.pair, r.n) for r in counts.orderBy(F.desc("n"), F.asc("pair")).limit(top_k).collect()]
+        for old in behind:
             old.unpersist()
-        release = [state] if state.is_cached else []
         room = budget - len(merges) if max_per_round is None else min(max_per_round, budget - len(merges))
         step = _choose(top, min_frequency, room, len(top) >= top_k)
         if not step:
             break
         merges.extend(step)
         rounds += 1
-        state = state.select(_apply(F.col("seq"), step).alias("seq"), "cnt")
+        # the next counts read these counts and words; the next words read these words
+        behind = [counts] + ([words_before] if words_before is not None else [])
+        words_before = state
+        counts = _summed(counts.unionByName(_changes(state, step)))
+        seq = F.col("seq")
+        state = state.select(F.when(_holds(seq, step), _apply(seq, step)).otherwise(seq).alias("seq"), "cnt")
         if rounds % checkpoint_every == 0:
-            state = state.checkpoint()
+            state, counts = written(state, "bpe-words"), written(counts, "bpe-pairs")
         else:
-            # keep this round's words so the next count does not replay the
+            # keep this round's tables so the next one does not replay the
             # merges since the last checkpoint (recomputable from lineage)
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-    for old in release + ([state] if state.is_cached else []):
+            state, counts = (f.persist(StorageLevel.MEMORY_AND_DISK) for f in (state, counts))
+    for old in behind + [f for f in (words_before, state, counts) if f is not None]:
         old.unpersist()
     return merges
 

@@ -28,6 +28,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pairforge.session import written
+
 #: entries of a vocabulary that are sent to every executor (about 100 bytes each)
 BROADCAST_TOKENS = 500_000
 #: longer pre-tokens are keyed by a digest, so that rows stay small
@@ -169,7 +171,7 @@ def encode(df: DataFrame, key: str, pretokens: Column, vocab: Vocabulary) -> Dat
     written once; places are joined with it."""
     places = df.select(F.col(key), F.posexplode_outer(pretokens).alias("pos", "pretoken"))
     words = places.where("pretoken <> ''").select("pretoken").distinct()
-    coded = encode_words(words, vocab).checkpoint()
+    coded = written(encode_words(words, vocab), "word-ids")
     keyed = places.select(key, "pos", word_key(F.col("pretoken")).alias("word"))
     joined = keyed.join(coded, "word", "left")
     parts = F.array_sort(F.collect_list(F.when(F.col("ids").isNotNull(), F.struct("pos", "ids"))))
@@ -191,7 +193,7 @@ def frequent_words(df: DataFrame, words: Column, min_frequency: int = 2, first_i
     occurrences, numbered from ``first_id`` by falling frequency (ties: smaller word first)."""
     from pairforge.operators.index import dense_index
     counts = df.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    kept = counts.where(F.col("n") >= min_frequency).checkpoint()
+    kept = written(counts.where(F.col("n") >= min_frequency), "word-counts")
     return dense_index(kept, [-F.col("n"), "word"], "k").select("word", (F.col("k") + first_id).cast("int").alias("id"))
 
 

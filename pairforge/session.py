@@ -13,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every pairforge job relies on.  AQE gives runtime broadcast of
 # small shuffle stages (a *checked* size, with the shuffle join beyond it),
@@ -76,6 +76,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "pairforge", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The table written below the shared scratch folder and read back: it is computed once
+    (an eager ``checkpoint()`` computes it twice) and its lineage is cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
