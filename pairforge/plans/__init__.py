@@ -14,4 +14,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     extraction,
     ops,
     models,
+    store,
 )
