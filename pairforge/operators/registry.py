@@ -1,18 +1,20 @@
 """Task and metric registries.
 
-A task names how its rows are read and labelled and which metrics score it;
-a metric name maps to aggregate columns over ``pred``/``label``.
+A task names how the files of its splits are read and labelled and which metrics
+score it; a metric name maps to aggregate columns over ``pred``/``label``.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairforge.operators import metrics as M
+from pairforge.sources.datasets import read_pair_examples
 
 
 @dataclass(frozen=True)
@@ -21,6 +23,18 @@ class Task:
     labels: tuple[str, ...]
     output_mode: str          # classification | regression
     metric: str
+    reader: Callable[[SparkSession, str, str], DataFrame] = read_pair_examples
+
+    def read(self, spark: SparkSession, files: dict[str, str]) -> DataFrame:
+        """All splits: the reader's columns, ``split`` and ``label_id`` (F16: the label's place
+        among the task's labels, null for another; F17: a float for regression)."""
+        frames = [self.reader(spark, path, split).withColumn("split", F.lit(split)) for split, path in files.items()]
+        rows = functools.reduce(DataFrame.unionByName, frames)
+        if self.output_mode == "regression":
+            return rows.withColumn("label_id", F.col("label").try_cast("double"))
+        names = F.array(*(F.lit(name) for name in self.labels))
+        place = F.array_position(names, F.col("label").cast("string"))
+        return rows.withColumn("label_id", F.when(place > 0, place - 1))
 
 
 # The clone-detection task of the original scripts.

@@ -15,4 +15,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     ops,
     models,
     store,
+    files,
 )

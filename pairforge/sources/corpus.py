@@ -1,4 +1,4 @@
-"""Contract corpus and decompiled-source readers.
+"""Contract corpus and decompiled-source readers.
 
 S1 reads a folder tree of one-JSON-document-per-file contracts with an
 explicit schema; a malformed file becomes a row with ``_bad`` set instead of
@@ -59,13 +59,8 @@ def read_decompiled(spark: SparkSession, path: str) -> DataFrame:
     return df.select(name.alias("codehash"), F.col("value").alias("text"))
 
 
-def lookup(functions: DataFrame, signature: str) -> DataFrame:
-    """All stored functions of one signature (pushed down to the scan)."""
-    return functions.filter(F.col("signature") == signature)
-
-
 def to_parquet(df: DataFrame, path: str, shard_col: str | None = None) -> None:
-    """Append a table, optionally sharded by ``codehash[2:6]``."""
+    """Append a table, optionally sharded by ``codehash[2:6]``."""
     w = df
     if shard_col:
         w = df.withColumn("shard", F.substring(F.col(shard_col), 3, 4))

@@ -9,12 +9,15 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pairforge.operators import rows
 
+#: a quoted field may hold line breaks and doubled quotes, and keeps its outer spaces
+CSV = {"header": True, "multiLine": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 PRETRAIN_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("text", T.StringType()),
     T.StructField("type", T.StringType()), T.StructField("codehash", T.StringType()),
@@ -28,7 +31,7 @@ def _ext(path: str) -> str:
 def read_by_extension(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     ext = _ext(path)
     if ext == "csv":
-        r = spark.read.option("header", True)
+        r = spark.read.options(**CSV)
         return (r.schema(schema) if schema else r.option("inferSchema", True)).csv(path)
     if ext in ("json", "jsonl"):
         r = spark.read.schema(schema) if schema else spark.read
@@ -81,11 +84,30 @@ def read_pretrain_jsonl(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PRETRAIN_SCHEMA).json(path)
 
 
+def in_file_order(df: DataFrame) -> list[Column]:
+    """Columns that order the rows of a frame just read as they lie in its files, by file name."""
+    return [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+
+
 def first_texts(spark: SparkSession, path: str, count: int) -> DataFrame:
     """The first ``count`` records' ``text`` in file order."""
-    df = spark.read.json(path).select("text", F.col("_metadata.file_path").alias("_f"),
-                                     F.monotonically_increasing_id().alias("_o"))
-    return df.orderBy("_f", "_o").limit(count).select("text")
+    df = spark.read.json(path)
+    placed = df.select("text", *(c.alias(f"_o{k}") for k, c in enumerate(in_file_order(df))))
+    return placed.orderBy("_o0", "_o1", "_o2").limit(count).select("text")
+
+
+def read_pair_examples(spark: SparkSession, path: str, split: str) -> DataFrame:
+    """The reader of the pair tasks: ``(guid, text_a, text_b, label)`` of a file of pair records;
+    ``guid`` (P14) counts the file's well-formed records in order.  Test labels are kept."""
+    from pairforge.operators.index import dense_index
+    from pairforge.sources.records import decode_lenient
+    lines = spark.read.text(path)
+    lines = lines.select("value", *(c.alias(f"_o{k}") for k, c in enumerate(in_file_order(lines))))
+    order = [f"_o{k}" for k in range(3)]
+    parts = decode_lenient(lines, keep=order)
+    numbered = dense_index(parts, order, "_k")
+    return numbered.select(rows.example_id(F.lit(split), F.col("_k")).alias("guid"), F.col("func1").alias("text_a"),
+                           F.col("func2").alias("text_b"), "label")
 
 
 def pair_records(spark: SparkSession, path: str) -> DataFrame:

@@ -33,11 +33,12 @@ def encode_records(df: DataFrame, fields=PAIR_FIELDS, delim: str = RECORD_DELIM,
 
 
 def decode_lenient(lines: DataFrame, value: str = "value", delim: str = RECORD_DELIM,
-                   n_fields: int = 5, names=PAIR_FIELDS) -> DataFrame:
-    """Strip, split, keep rows with exactly ``n_fields`` fields (all strings)."""
+                   n_fields: int = 5, names=PAIR_FIELDS, keep=()) -> DataFrame:
+    """Strip, split, keep rows with exactly ``n_fields`` fields (all strings), and
+    the columns ``keep`` beside them."""
     parts = split_keep_empty(py_strip(F.col(value)), delim)
     tmp = lines.select("*", parts.alias("_parts")).filter(F.size("_parts") == n_fields)
-    return tmp.select(*[F.col("_parts")[i].alias(names[i]) for i in range(n_fields)])
+    return tmp.select(*keep, *[F.col("_parts")[i].alias(names[i]) for i in range(n_fields)])
 
 
 def decode_strict(lines: DataFrame, value: str = "value", delim: str = RECORD_DELIM,
