@@ -47,8 +47,12 @@ def unpivot_pairs(matched: DataFrame, start_id: int = 0) -> DataFrame:
         F.col("r.text").alias("text"), F.col("r.type").alias("type"), KEY, SEL)
 
 
-def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text", errors: bool = False) -> DataFrame:
-    """One pair per contract that has matched functions.
+PAIR_KEYS = ["label", "codehash1", "codehash2", "selector1", "selector2"]
+
+
+def choose_pairs(src: DataFrame, dec: DataFrame, seed=42, errors: bool = False) -> DataFrame:
+    """J4/J5/O7 on keys: one pair per contract that has matched functions, as
+    ``label, codehash1, codehash2, selector1, selector2``.
 
     * pick: a matched selector chosen by ``min_by`` over a seeded hash;
     * coin: ``dhash % 2 == 1`` -> positive (its own decompiled twin, label 1);
@@ -60,8 +64,7 @@ def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text", e
       (the original aborts there): such a row has no partner, and is returned
       only with ``errors``, which adds the column ``error``.
 
-    Everything is chosen on keys, unique by (codehash, selector) on each side;
-    the texts of the chosen functions are fetched at the end.
+    Keys are unique by (codehash, selector) on each side; no text is read.
     """
     keys = src.select(KEY, SEL).join(dec.select(KEY, SEL), [KEY, SEL])
     picks = keys.groupBy(KEY).agg(
@@ -87,14 +90,25 @@ def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text", e
     chosen = dec_idx.select(F.col(KEY).alias("codehash2"), "fidx", F.col(SEL).alias("selector2"))
     neg = neg.join(chosen, ["codehash2", "fidx"]).select(
         F.lit(0).alias("label"), F.col(KEY).alias("codehash1"), "codehash2", "selector1", "selector2")
-    first = src.select(F.col(KEY).alias("codehash1"), F.col(SEL).alias("selector1"), F.col(text).alias("func1"))
-    second = dec.select(F.col(KEY).alias("codehash2"), F.col(SEL).alias("selector2"), F.col(text).alias("func2"))
-    columns = ["label", "codehash1", "codehash2", "selector1", "selector2", "func1", "func2"]
-    pairs = (pos.unionByName(neg).join(first, ["codehash1", "selector1"]).join(second, ["codehash2", "selector2"])
-             .select(*columns))
+    pairs = pos.unionByName(neg).select(*PAIR_KEYS)
     if not errors:
         return pairs
     alone = drawn.filter(F.col("n_owners") < 2).select(
         F.lit(0).alias("label"), F.col(KEY).alias("codehash1"), "selector1", F.lit("no_negative_partner").alias("error"))
-    return pairs.withColumn("error", F.lit(None).cast("string")).unionByName(
-        alone.join(first, ["codehash1", "selector1"]), allowMissingColumns=True)
+    return pairs.withColumn("error", F.lit(None).cast("string")).unionByName(alone, allowMissingColumns=True)
+
+
+def with_texts(chosen: DataFrame, src: DataFrame, dec: DataFrame, text: str = "text") -> DataFrame:
+    """The chosen pairs with both functions' texts (``func1``, ``func2``); a pair without a
+    partner keeps a null there.  Other columns of ``chosen`` stay."""
+    first = src.select(F.col(KEY).alias("codehash1"), F.col(SEL).alias("selector1"), F.col(text).alias("func1"))
+    second = dec.select(F.col(KEY).alias("codehash2"), F.col(SEL).alias("selector2"), F.col(text).alias("func2"))
+    how = "left" if "error" in chosen.columns else "inner"
+    joined = chosen.join(first, ["codehash1", "selector1"]).join(second, ["codehash2", "selector2"], how)
+    rest = [c for c in chosen.columns if c not in PAIR_KEYS]
+    return joined.select(*PAIR_KEYS, "func1", "func2", *rest)
+
+
+def pos_neg_pairs(src: DataFrame, dec: DataFrame, seed=42, text: str = "text", errors: bool = False) -> DataFrame:
+    """The pairs of ``choose_pairs`` with their texts, which are fetched at the end."""
+    return with_texts(choose_pairs(src, dec, seed, errors), src, dec, text)

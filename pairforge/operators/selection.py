@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: keys that a round fetches (about so many: a random sample of them, or all of a small range)
-SAMPLE = 4096
+SAMPLE = 16384
 #: ranges of one numbering at most; each is sorted by one task, spilling if it must
 RANGES = 128
 
@@ -138,7 +138,7 @@ def range_cuts(df: DataFrame, order_cols, ranges: int) -> list[tuple]:
     sample; the number and place of the cuts change no result)."""
     keys = df.select(key_struct(order_cols).alias("k"))
     sample = _sample(keys, keys.count())
-    ranges = min(ranges, RANGES, max(len(sample) // 32, 1))
+    ranges = min(ranges, RANGES, max(len(sample) // 128, 1))
     return sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}, key=_sort_key)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pairforge.functions.hashing import dhash_sql
 from pairforge.operators import pairs, splits
 from pairforge.plans.registry import query
+from pairforge.session import written
 from pairforge.sources.tables import load
 
 SEED = 42
@@ -67,10 +68,10 @@ SELECT CASE WHEN rk < floor(n * 0.7::DOUBLE) THEN 'train'
        label, count(*) AS n_pairs
 FROM ranked GROUP BY 1, 2""")
 def pair_split_counts(spark, sf_dir):
-    """Flagship: J1 -> J4 -> T1 -> A1 (pairs per split and label)."""
+    """Flagship: J1 -> J4 -> T1 -> A1 (pairs per split and label), on keys alone."""
     src, dec = conversation_views(spark, sf_dir)
-    pn = pairs.pos_neg_pairs(src, dec, seed=SEED)
-    sp = splits.ordered_split(pn, ["codehash1"])
+    chosen = written(pairs.choose_pairs(src, dec, seed=SEED), "chosen-pairs")
+    sp = splits.ordered_split(chosen, ["codehash1"])
     return sp.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n_pairs"))
 
 
