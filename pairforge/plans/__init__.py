@@ -16,4 +16,5 @@ from pairforge.plans import (  # noqa: F401  (imports register the queries)
     models,
     store,
     files,
+    corpus,
 )

@@ -134,14 +134,19 @@ def _q(s: str) -> str:
 
 _WORDS_SQL = "[" + ", ".join(f"'{w}'" for w in X.KEYWORDS + X.SIZED_TYPES) + "]"
 
-_EXTRACT_SQL = f"""
-WITH body AS (SELECT conv_id, turn, '0x' || md5(CAST(conv_id AS VARCHAR)) AS codehash, replace(text, '*/', '* /') AS b
+_SRC_SQL = f"""body AS (SELECT conv_id, turn, '0x' || md5(CAST(conv_id AS VARCHAR)) AS codehash, replace(text, '*/', '* /') AS b
               FROM conversations WHERE turn % 2 = 0),
 src AS (SELECT codehash, 'contract C {{' || chr(10) || '  uint total;' || chr(10)
                || string_agg('function f' || CAST(turn // 2 AS VARCHAR) || '(uint amount, address to) public returns (bool) {{ /* '
                              || b || ' */ total = total + amount; return true; }}' || chr(10), '' ORDER BY turn)
                || '}}' || chr(10) AS text
-        FROM body GROUP BY codehash),
+        FROM body GROUP BY codehash)"""
+
+
+def extract_sql(src: str) -> str:
+    """DuckDB form of extraction (X1-X3, X6): ``src`` defines the table src(codehash, text)."""
+    return f"""
+WITH {src},
 raw AS (SELECT codehash, unnest(l) AS tok, unnest(range(len(l))) AS pos
         FROM (SELECT codehash, regexp_extract_all(text, '{_q(X.TOKEN_RX)}') AS l FROM src)),
 tk AS (SELECT *, CASE WHEN regexp_matches(tok, '^([ \\t\\r\\n\\x0c]|/\\*|//)') THEN 'ws'
@@ -194,7 +199,7 @@ g AS (SELECT *, name || '(' || coalesce(types, '') || ')' AS signature,
 SELECT codehash, CAST(start AS BIGINT) AS pos, name, signature, n_tokens, md5(text) AS text_md5 FROM g WHERE rn = 1"""
 
 
-@query("extract_source_functions", sql=_EXTRACT_SQL)
+@query("extract_source_functions", sql=extract_sql(_SRC_SQL))
 def extract_source_functions(spark, sf_dir):
     """X1-X3 + X6 on the source side of the derived corpus (name, signature,
     token count and text; the selector is checked by unit tests)."""

@@ -8,7 +8,10 @@ failing the job.  Small files should be converted once to parquet (see
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import os
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,34 +25,90 @@ CONTRACT_SCHEMA = T.StructType([
 ])
 
 
-def read_contracts(spark: SparkSession, path: str) -> DataFrame:
-    """``(codehash, bytecode, source, _bad, file_path)`` for every ``*.json`` below ``path``."""
-    df = (spark.read.schema(CONTRACT_SCHEMA)
-          .option("multiLine", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", "*.json").option("columnNameOfCorruptRecord", "_bad")
-          .json(path))
+READ_OPTIONS = {"multiLine": True, "recursiveFileLookup": True, "columnNameOfCorruptRecord": "_bad"}
+
+
+def read_contracts(spark: SparkSession, path: str | list[str], glob: str = "*.json") -> DataFrame:
+    """``(codehash, bytecode, source, _bad, file_path)`` for every ``*.json`` below ``path``
+    (a folder, or a list of files)."""
+    df = spark.read.schema(CONTRACT_SCHEMA).options(**READ_OPTIONS).option("pathGlobFilter", glob).json(path)
     return df.select("*", F.col("_metadata.file_path").alias("file_path"))
 
 
+def file_status() -> Column:
+    """unreadable / no_source / ok of a contract file.  (Spark refuses a query that reads
+    only the corrupt-record column, so the status always looks at ``source`` too.)"""
+    return (F.when(F.col("_bad").isNotNull(), "unreadable")
+             .when(F.col("source").isNull() | F.col("codehash").isNull(), "no_source").otherwise("ok"))
+
+
 def corpus_status(contracts: DataFrame) -> DataFrame:
-    """A1 counters for S1: unreadable / no_source / ok per file.  (Spark
-    refuses a query that reads only the corrupt-record column, so the
-    status always looks at ``source`` too.)"""
-    status = (F.when(F.col("_bad").isNotNull(), "unreadable")
-               .when(F.col("source").isNull(), "no_source").otherwise("ok"))
-    return contracts.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n"))
+    """A1 counters for S1 per status of the files."""
+    return contracts.groupBy(file_status().alias("status")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def contract_sources(contracts: DataFrame) -> DataFrame:
     """P1 + P2 + X7: drop unreadable rows and rows without source, keep the
     last file per codehash, explode the source files in order and join them
     into one text per contract: ``(codehash, text)``.  ``bytecode`` is never read."""
-    ok = contracts.filter(F.col("_bad").isNull() & F.col("source").isNotNull() & F.col("codehash").isNotNull())
-    w = Window.partitionBy("codehash").orderBy(F.col("file_path").desc())
-    last = ok.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    return last_file(joined_sources(contracts)).drop("file_path")
+
+
+def joined_sources(contracts: DataFrame) -> DataFrame:
+    """P1 + P2: ``(codehash, text, file_path)`` of every good file."""
     files = F.coalesce(F.col("source.SourceCodes"), F.array())
-    return last.select("codehash", F.array_join(F.transform(files, lambda f: F.coalesce(f["Code"], F.lit(""))), "\n")
-                       .alias("text"))
+    text = F.array_join(F.transform(files, lambda f: F.coalesce(f["Code"], F.lit(""))), "\n")
+    return contracts.filter(file_status() == "ok").select("codehash", text.alias("text"), "file_path")
+
+
+def last_file(sources: DataFrame) -> DataFrame:
+    """The last file of each contract, in order of path."""
+    w = Window.partitionBy("codehash").orderBy(F.col("file_path").desc())
+    return sources.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
+def file_manifest(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """``(file, size, modified)`` of the files below ``path``; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    return files.select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
+
+
+DONE = "file string, size bigint, modified timestamp, status string"
+
+
+def read_new_files(spark: SparkSession, path: str, out: str, glob: str = "*.json", batch_files: int = 1000) -> int:
+    """Take in the files below ``path`` that ``out`` hasn't got yet, in batches of at most
+    ``batch_files`` paths: a manifest of the folder without the files already done.  Spark packs
+    a batch's small files into tasks by size.  A batch writes the good files' sources to
+    ``out/sources`` and then every file with its status (malformed ones too) to ``out/done``, so
+    a batch that was broken off is read again, and its sources come from the same paths.
+    Returns the number of batches."""
+    batches = 0
+    while True:
+        done = read_or_empty(spark, os.path.join(out, "done"), DONE)
+        todo = file_manifest(spark, path, glob).join(done.select("file", "modified"), ["file", "modified"], "left_anti")
+        batch = todo.select("file", "size", "modified").orderBy("file").limit(batch_files).collect()
+        if not batch:
+            return batches
+        contracts = read_contracts(spark, [r.file for r in batch], glob)
+        joined_sources(contracts).write.mode("append").parquet(os.path.join(out, "sources"))
+        listed = spark.createDataFrame(batch, "file string, size bigint, modified timestamp")
+        # the statuses of one batch's paths: small enough to broadcast
+        status = contracts.groupBy("file_path").agg(F.max(file_status()).alias("status"))
+        (listed.join(F.broadcast(status), F.col("file") == F.col("file_path"), "left")
+         .select("file", "size", "modified", F.coalesce("status", F.lit("unreadable")).alias("status"))
+         .write.mode("append").parquet(os.path.join(out, "done")))
+        batches += 1
+
+
+def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A written table, or one without rows where nothing has been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], schema)
+        raise
 
 
 def read_decompiled(spark: SparkSession, path: str) -> DataFrame:
