@@ -152,6 +152,27 @@ def pack_blocks(df: DataFrame, idx: str, ids: str, block: int = 512, batch_rows:
     return out
 
 
+def token_places(df: DataFrame, order_cols, ids: str, start: int = 0) -> DataFrame:
+    """``(p, id)``: the tokens of all rows with their places when the rows are joined in
+    ``order_cols`` order, counted from ``start``."""
+    from pairforge.operators.index import running_offset
+    rows = df.select(*order_cols, F.col(ids).alias("_ids")).withColumn("_len", F.size("_ids"))
+    placed = running_offset(rows, order_cols, "_len", "_off")
+    tokens = placed.select((F.lit(start) + F.col("_off")).alias("_off"), F.posexplode("_ids").alias("_pos", "id"))
+    return tokens.select((F.col("_off") + F.col("_pos")).alias("p"), "id")
+
+
+def ids_in_order() -> Column:
+    """The ids of grouped ``(p, id)`` rows, by place."""
+    return F.transform(F.array_sort(F.collect_list(F.struct("p", "id"))), lambda t: t["id"])
+
+
+def place_blocks(tokens: DataFrame, block: int = 512) -> DataFrame:
+    """Z10 over a whole sequence: ``(block, input_ids)``, cut at multiples of ``block``."""
+    number = F.floor(F.col("p") / block).cast("bigint").alias("block")
+    return tokens.groupBy(number).agg(ids_in_order().alias("input_ids"))
+
+
 def mlm_mask(ids: Column, key: Column, seed=42, prob: float = 0.15, vocab_size: int = HASH_VOCAB + N_SPECIAL,
              specials=(PAD, UNK, CLS, SEP, MASK), draws: Column | None = None) -> tuple[Column, Column]:
     """Masked-LM inputs and labels from a seeded hash per (key, position).

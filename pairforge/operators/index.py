@@ -65,6 +65,23 @@ def dense_index(df: DataFrame, order_cols, name: str = "idx", *, total: str | No
     return out.drop("_pf_range", "_pf_off", "_pf_total")
 
 
+def running_offset(df: DataFrame, order_cols, value: str, name: str = "offset", *,
+                   num_partitions: int | None = None) -> DataFrame:
+    """Add ``name`` = sum of ``value`` over the rows before this one in ``order_cols`` order: as
+    ``dense_index``, with sums per range for the counts."""
+    order = _cols(order_cols)
+    cuts = selection.range_cuts(df, order, _num_partitions(df, num_partitions))
+    kind = selection._key_type(df, order)
+    tagged = df.withColumn("_pf_range", selection.range_of(selection.key_struct(order), cuts, kind))
+    sums = tagged.groupBy("_pf_range").agg(F.sum(value).alias("_pf_sum"))  # one row per range
+    before = Window.orderBy("_pf_range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = F.broadcast(sums.select("_pf_range", F.coalesce(F.sum("_pf_sum").over(before), F.lit(0)).alias("_pf_off")))
+    inside = Window.partitionBy("_pf_range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = tagged.join(sums, "_pf_range").withColumn(
+        name, (F.col("_pf_off") + F.coalesce(F.sum(value).over(inside), F.lit(0))).cast("bigint"))
+    return out.drop("_pf_range", "_pf_off")
+
+
 def group_index(df: DataFrame, group_cols, order_cols, name: str = "gidx",
                 size: str | None = None, num_partitions: int | None = None) -> DataFrame:
     """0-based rank inside each group (``row_number() - 1`` partitioned by

@@ -67,7 +67,8 @@ def group_pair_counts(df: DataFrame, group_cols) -> DataFrame:
 
 
 def review_candidates(df: DataFrame, group_cols, id_col: str, text: str, seed=42,
-                      max_rejects: int = MAX_REJECTS, theta: int = NEAR_DUPLICATE_MAX) -> DataFrame:
+                      max_rejects: int = MAX_REJECTS, theta: int = NEAR_DUPLICATE_MAX,
+                      reviewed: DataFrame | None = None) -> DataFrame:
     """Per key, the first of up to ``max_rejects + 1`` random pairs
     whose fingerprints are more than ``theta`` bits apart.
 
@@ -75,7 +76,8 @@ def review_candidates(df: DataFrame, group_cols, id_col: str, text: str, seed=42
     the same distribution as a uniform draw over all unordered pairs -- from
     seeded hashes, so only ``26 x keys`` draw rows exist; they find their
     members through equi joins on (key, member index).  No pair list is built,
-    and only drawn members are fingerprinted.
+    and only drawn members are fingerprinted.  Pairs in ``reviewed`` (id_a < id_b)
+    are drawn but not proposed again.
     """
     gcols = list(group_cols)
     members = group_index(df.select(*gcols, id_col), gcols, [id_col], "m")
@@ -88,6 +90,10 @@ def review_candidates(df: DataFrame, group_cols, id_col: str, text: str, seed=42
     a = members.select(*gcols, F.col("m").alias("i"), F.col(id_col).alias("id_i"))
     b = members.select(*gcols, F.col("m").alias("j"), F.col(id_col).alias("id_j"))
     drawn = draws.join(a, gcols + ["i"]).join(b, gcols + ["j"])
+    if reviewed is not None:
+        again = reviewed.select(F.col("id_a").alias("_a"), F.col("id_b").alias("_b")).distinct()
+        drawn = drawn.join(again, (F.least("id_i", "id_j") == F.col("_a")) & (F.greatest("id_i", "id_j") == F.col("_b")),
+                           "left_anti")
     # only the drawn texts are fingerprinted, and each of them once
     sides = drawn.select(*gcols, "t", F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("id_i").alias("id")),

@@ -8,12 +8,14 @@ from pairforge.functions import text as T
 from pairforge.functions.hashing import dhash_sql
 from pairforge.operators import features as Z
 from pairforge.operators import metrics as M
-from pairforge.operators import rows
+from pairforge.operators import rows, splits
 from pairforge.operators.index import batch_number, dense_index
 from pairforge.operators.pairs import match_pairs
 from pairforge.plans.pairing import _VIEWS_SQL, conversation_views
 from pairforge.plans.registry import query
+from pairforge.session import scratch_path
 from pairforge.sources.tables import load
+from pairforge.streaming import packing
 
 SEED = 42
 MAX_LEN = 512
@@ -187,3 +189,29 @@ def masked_accuracy(spark, sf_dir):
     m = _masked(spark, sf_dir)
     c = m.agg(*M.masked_accuracy_counts(F.col("inputs"), F.col("labels")))
     return c.select("n_correct", "n_counted", F.round(F.col("n_correct") / F.col("n_counted"), 6).alias("accuracy"))
+
+
+@query("stream_pack_blocks", sql=f"""
+WITH d AS (SELECT doc_id, [2] || {ids_sql('text')} || [3] AS ids FROM documents),
+o AS (SELECT *, coalesce(sum(len(ids)) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off,
+             sum(len(ids)) OVER () AS total FROM d),
+t AS (SELECT total, off + unnest(range(len(ids))) AS p, unnest(ids) AS id FROM o)
+SELECT CAST(p // {MAX_LEN} AS BIGINT) AS block, p >= total // {MAX_LEN} * {MAX_LEN} AS is_rest, count(*) AS n_tokens,
+       md5(string_agg(CAST(id AS VARCHAR), ' ' ORDER BY p)) AS block_md5 FROM t GROUP BY 1, 2""")
+def stream_pack_blocks(spark, sf_dir):
+    """R2 + Z10 without batch borders: documents arrive in three parts (in order of doc_id) and are
+    packed into 512-token blocks; what fills no block is carried on, and is left at the end."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    parts = splits.ordered_split(docs, ["doc_id"], (0.5, 0.3), ("0", "1", "2"))
+    landing, out = scratch_path(spark, "packing-landing"), scratch_path(spark, "packed")
+
+    def encode(rows):
+        return rows.select("doc_id", F.concat(F.array(F.lit(Z.CLS)), ids_of(F.col("text")), F.array(F.lit(Z.SEP))).alias("ids"))
+    for part in "012":
+        parts.where(F.col("split") == part).drop("split").write.mode("append").parquet(landing)
+        packing.pack_stream(spark, landing, docs.schema, out, f"{out}-checkpoint", encode, ["doc_id"], MAX_LEN)
+    blocks = packing.packed_blocks(spark, out).select("block", F.lit(False).alias("is_rest"), F.col("input_ids").alias("ids"))
+    left = packing.rest(spark, out).where(F.size("ids") > 0).select(
+        F.floor(F.col("start") / MAX_LEN).cast("bigint").alias("block"), F.lit(True).alias("is_rest"), "ids")
+    return blocks.unionByName(left).select("block", "is_rest", F.size("ids").cast("bigint").alias("n_tokens"),
+                                           F.md5(_joined(F.col("ids"))).alias("block_md5"))

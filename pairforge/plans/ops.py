@@ -17,12 +17,20 @@ from pairforge.streaming.incremental import incremental_append
 _SP = T.PY_SPACE
 
 
-@query("quarantine_counts", sql=f"""
-SELECT 'documents' AS stage, status, count(*) AS n FROM (
-  SELECT CASE WHEN regexp_replace(text, '\\A{_SP}+|{_SP}+\\z', '', 'g') = '' THEN 'empty'
+_TEXT_STATUS_SQL = f"""CASE WHEN regexp_replace(text, '\\A{_SP}+|{_SP}+\\z', '', 'g') = '' THEN 'empty'
               WHEN contains(text, '<CODESPLIT>') THEN 'delimiter_in_field'
               WHEN len(regexp_extract_all(text, '{T.TOKEN_RX}')) <= 20 THEN 'too_short'
-              ELSE 'ok' END AS status FROM documents) GROUP BY status
+              ELSE 'ok' END"""
+
+
+def _text_checks():
+    return [("empty", T.py_strip(F.col("text")) == ""),
+            ("delimiter_in_field", F.col("text").contains(T.RECORD_DELIM)),
+            ("too_short", T.token_count(F.col("text")) <= 20)]
+
+
+@query("quarantine_counts", sql=f"""
+SELECT 'documents' AS stage, status, count(*) AS n FROM (SELECT {_TEXT_STATUS_SQL} AS status FROM documents) GROUP BY status
 UNION ALL
 SELECT 'pages', status, count(*) FROM (
   SELECT CASE WHEN NOT contains(html, '</html>') THEN 'no_close_tag'
@@ -32,11 +40,7 @@ SELECT 'pages', status, count(*) FROM (
 def quarantine_counts(spark, sf_dir):
     """K10 + A1: one pass classifies each row; counters per stage and status."""
     docs = load(spark, sf_dir, "documents")
-    d = Q.classify(docs, [
-        ("empty", T.py_strip(F.col("text")) == ""),
-        ("delimiter_in_field", F.col("text").contains(T.RECORD_DELIM)),
-        ("too_short", T.token_count(F.col("text")) <= 20),
-    ])
+    d = Q.classify(docs, _text_checks())
     pages = load(spark, sf_dir, "pages")
     n_open = F.length("html") - F.length(F.replace(F.col("html"), F.lit("{"), F.lit("")))
     n_close = F.length("html") - F.length(F.replace(F.col("html"), F.lit("}"), F.lit("")))
@@ -47,6 +51,30 @@ def quarantine_counts(spark, sf_dir):
     return Q.counters(d, "documents").unionByName(Q.counters(p, "pages"))
 
 
+@query("quarantine_tables", sql=f"""
+WITH s AS (SELECT doc_id, text, {_TEXT_STATUS_SQL} AS status FROM documents),
+names AS (SELECT unnest(['ok', 'empty', 'delimiter_in_field', 'too_short']) AS status)
+SELECT status, count(doc_id) AS n_observed, count(doc_id) AS n_written, CAST(coalesce(sum(doc_id), 0) AS BIGINT) AS id_sum,
+       CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars
+FROM names LEFT JOIN s USING (status) GROUP BY status""")
+def quarantine_tables(spark, sf_dir):
+    """K10 + A1 in one scan: documents written to a folder per status while they are counted; the
+    counts that came with the write beside what the folders hold."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_path(spark, "by-status")
+    checks = _text_checks()
+    counts = Q.write_by_status(docs, checks, path)
+    out = None
+    for name in Q.statuses(checks):
+        one = Q.read_status(docs, path, name).agg(
+            F.lit(counts[name]).cast("bigint").alias("n_observed"), F.count(F.lit(1)).alias("n_written"),
+            F.coalesce(F.sum("doc_id"), F.lit(0)).cast("bigint").alias("id_sum"),
+            F.coalesce(F.sum(F.length("text")), F.lit(0)).cast("bigint").alias("n_chars"))
+        one = one.select(F.lit(name).alias("status"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 #: files of one micro-batch at most
 STREAM_FILES = 64
 
