@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 #: labelled pages that training takes at most
 SAMPLE = 400
-#: blocks of a page that training looks at
-TRAIN_BLOCKS = 200
+#: blocks that training takes from a page, beginning so many before its container
+TRAIN_BLOCKS, TRAIN_LEAD = 200, 40
 STEPS = 80
 RATE = 0.2
 RIDGE = 1e-3
@@ -274,11 +274,13 @@ def _teach(batches):
     for batch in batches:
         rows = []
         for page_id, html in zip(batch.column("page_id").to_pylist(), batch.column("html").to_pylist(), strict=True):
-            blocks = leaf_blocks(html or "")[:TRAIN_BLOCKS]
+            blocks = leaf_blocks(html or "")  # the whole page; a long one teaches by a window
             labels = page_labels(blocks)
             if labels:
-                rows.append({"page_id": page_id, "labels": labels,
-                             "features": page_features(blocks)})
+                start = max(0, labels.index(1) - TRAIN_LEAD) if 1 in labels else 0
+                window = slice(start, start + TRAIN_BLOCKS)
+                rows.append({"page_id": page_id, "labels": labels[window],
+                             "features": page_features(blocks)[window]})
         yield pa.RecordBatch.from_pylist(rows, schema=pa.schema([
             ("page_id", pa.int64()), ("labels", pa.list_(pa.int32())),
             ("features", pa.list_(pa.list_(pa.string())))]))
@@ -287,9 +289,21 @@ def _teach(batches):
 _CONTAINER = {"content", "outside", *(f"above={t}" for t in _CONTENT)}
 
 
+def _with_container(batches):
+    for batch in batches:
+        yield batch.filter(pa.array([page_labels(leaf_blocks(html or "")) is not None
+                                     for html in batch.column("html").to_pylist()], pa.bool_()))
+
+
 def learn(pages: DataFrame, sample: int = SAMPLE) -> ChainModel:
-    rows = (pages.orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-            .mapInArrow(_teach, "page_id bigint, labels array<int>, features array<array<string>>").collect())
+    """A chain taught by the ``sample`` pages with a content container whose ids have the smallest
+    hashes (all of them, if there are fewer); without any, the fixed one."""
+    def taught_by(some: DataFrame) -> list:
+        drawn = some.orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
+        return drawn.mapInArrow(_teach, "page_id bigint, labels array<int>, features array<array<string>>").collect()
+    rows = taught_by(pages)
+    if len(rows) < sample:  # some of the pages drawn have no container: draw among those that have one
+        rows = taught_by(pages.mapInArrow(_with_container, pages.schema))
     rows.sort(key=lambda r: (r["page_id"], r["labels"]))
     taught = []
     for k, r in enumerate(rows):

@@ -17,10 +17,11 @@ and payload are records of the same type; no rows: an empty result.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
+import io
 import re
 import uuid
-import zlib
 from bisect import bisect_right
 from datetime import datetime, timedelta, timezone
 
@@ -185,12 +186,17 @@ def _captures(archive: str, data: bytes) -> list[tuple]:
     return sorted(rows, key=lambda r: r[:5])
 
 
+def _inflated(content: bytes) -> bytes:
+    """All members of a gzip file, one after the other (an archive may have one per record)."""
+    return gzip.GzipFile(fileobj=io.BytesIO(content)).read() if content else b""
+
+
 def _run_cutter(splitters: list[tuple]):
     def cut(batches):
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(),
                                      strict=True):
-                run = _captures(path.rsplit("/", 1)[-1], zlib.decompress(content, 31) if content else b"")
+                run = _captures(path.rsplit("/", 1)[-1], _inflated(content))
                 parts: dict[int, list] = {}
                 for row in run:
                     parts.setdefault(bisect_right(splitters, row[:3]), []).append(dict(zip(_NAMES, row, strict=True)))

@@ -120,3 +120,27 @@ def test_url_key():
     assert warc.url_key("HTTP://user@www.Example.org:80/A?b=2&a=1#x") == "org,example)/a?a=1&b=2"
     assert warc.url_key("https://e.org:8443") == "org,e:8443)/"
     assert warc.url_key(None) == ""
+
+
+def test_archives_with_one_member_per_record(spark, tmp_path):
+    rows = [(k, f"http://m.org/{k}", f"<p>{k}</p>") for k in range(20)]
+    frame = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    records = [warc.warc_record(p, u, h.encode(), warc.payload_digest(h.encode()), None) for p, u, h in rows]
+    with open(tmp_path / "members.warc.gz", "wb") as out:
+        for record in records:
+            out.write(gzip.compress(record + warc._END.encode()))
+    got = warc.capture_index(spark, str(tmp_path), frame.select("page_id", "url")).collect()
+    assert sorted(r.page_id for r in got) == list(range(20)) and {r.payload_bytes for r in got} == {8, 9}
+
+
+def test_training_draws_among_pages_with_a_container(spark):
+    plain = [(k, "u", "<div><p>a plain page without any container, number %d</p></div>" % k) for k in range(60)]
+    held = [(1000 + k, "u", "<p>lead</p>" * 500 + "<article><p>The article's text, sentence %d.</p></article>" % k) for k in range(3)]
+    frame = spark.createDataFrame(plain + held, "page_id bigint, url string, html string")
+    taught = []
+    original, html_text.train_chain = html_text.train_chain, lambda pages: taught.extend(pages) or html_text.DEFAULT
+    try:
+        html_text.learn(frame, sample=5)
+    finally:
+        html_text.train_chain = original
+    assert len(taught) == 3 and all(1 in labels and len(labels) <= html_text.TRAIN_BLOCKS for _, labels in taught)
