@@ -81,3 +81,39 @@ def sample_keys(spark, sf_dir):
     docs = load(spark, sf_dir, "documents").select("doc_id", "lang", "source")
     sample = index.sample_by_hash(docs, SEED, ["doc_id"], 1000)
     return sample.groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n_sampled"))
+
+
+@query("sample_functions", sql=f"""
+SELECT l_returnflag, l_shipmode, count(*) AS n_sampled FROM (
+  SELECT l_returnflag, l_shipmode FROM lineitem
+  ORDER BY {dhash_sql(SEED, 'l_orderkey', 'l_linenumber')}, l_orderkey, l_linenumber LIMIT 1000)
+GROUP BY l_returnflag, l_shipmode""")
+def sample_functions(spark, sf_dir):
+    """1,000 rows sampled from a table that holds many times as many, and the keys they have."""
+    items = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipmode")
+    sample = index.sample_by_hash(items, SEED, ["l_orderkey", "l_linenumber"], 1000)
+    return sample.groupBy("l_returnflag", "l_shipmode").agg(F.count(F.lit(1)).alias("n_sampled"))
+
+
+@query("seeded_shuffle", sql=f"""
+SELECT o_orderkey, row_number() OVER (ORDER BY {dhash_sql(SEED, 'o_orderkey')}, o_orderkey) - 1 AS shuffle_idx FROM orders""")
+def seeded_shuffle(spark, sf_dir):
+    """O2 + O3: a full permutation of the orders, every row with its place."""
+    return index.seeded_shuffle(load(spark, sf_dir, "orders").select("o_orderkey"), SEED, ["o_orderkey"])
+
+
+@query("first_per_split", sql="""
+SELECT o_orderstatus, o_orderkey FROM (
+  SELECT o_orderstatus, o_orderkey, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS k FROM orders) WHERE k <= 100""")
+def first_per_split(spark, sf_dir):
+    """O4 per split: the first 100 rows of every split (an order's status stands for its split)."""
+    orders = load(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey")
+    return index.take_first_per_split(orders, "o_orderstatus", ["o_orderkey"], 100)
+
+
+@query("pick_per_group", sql=f"""
+SELECT o_custkey, arg_min(o_orderkey, {dhash_sql(SEED, 'o_orderkey')}) AS picked FROM orders GROUP BY o_custkey""")
+def pick_per_group(spark, sf_dir):
+    """One random order of every customer."""
+    orders = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
+    return index.pick_per_group(orders, SEED, ["o_custkey"], ["o_orderkey"], "o_orderkey", "picked")
