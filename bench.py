@@ -28,7 +28,8 @@ HEADLINE = [
     "min_token_filter",    # P4
     "length_stats",        # A3
     "pretoken_counts",     # A17
-    "bpe_encode",          # A18 (training included) + Z1
+    "bpe_train",           # A18 alone (the merges are kept in the table cache)
+    "bpe_encode",          # Z1 with the merges of bpe_train
     "extract_source_functions",  # X1-X3, X6
     "stream_append",       # R1-R3
 ]

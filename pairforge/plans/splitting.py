@@ -84,15 +84,15 @@ def sample_keys(spark, sf_dir):
 
 
 @query("sample_functions", sql=f"""
-SELECT l_returnflag, l_shipmode, count(*) AS n_sampled FROM (
-  SELECT l_returnflag, l_shipmode FROM lineitem
-  ORDER BY {dhash_sql(SEED, 'l_orderkey', 'l_linenumber')}, l_orderkey, l_linenumber LIMIT 1000)
-GROUP BY l_returnflag, l_shipmode""")
+SELECT o_orderstatus, o_custkey % 10 AS customer_group, count(*) AS n_sampled FROM (
+  SELECT o_orderstatus, o_custkey FROM orders ORDER BY {dhash_sql(SEED, 'o_orderkey')}, o_orderkey LIMIT 1000)
+GROUP BY 1, 2""")
 def sample_functions(spark, sf_dir):
     """1,000 rows sampled from a table that holds many times as many, and the keys they have."""
-    items = load(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipmode")
-    sample = index.sample_by_hash(items, SEED, ["l_orderkey", "l_linenumber"], 1000)
-    return sample.groupBy("l_returnflag", "l_shipmode").agg(F.count(F.lit(1)).alias("n_sampled"))
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    sample = index.sample_by_hash(orders, SEED, ["o_orderkey"], 1000)
+    return sample.groupBy("o_orderstatus", (F.col("o_custkey") % 10).alias("customer_group")).agg(
+        F.count(F.lit(1)).alias("n_sampled"))
 
 
 @query("seeded_shuffle", sql=f"""
