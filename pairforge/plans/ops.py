@@ -58,8 +58,8 @@ SELECT status, count(doc_id) AS n_observed, count(doc_id) AS n_written, CAST(coa
        CAST(coalesce(sum(length(text)), 0) AS BIGINT) AS n_chars
 FROM names LEFT JOIN s USING (status) GROUP BY status""")
 def quarantine_tables(spark, sf_dir):
-    """K10 + A1 in one scan: documents written to a folder per status while they are counted; the
-    counts that came with the write beside what the folders hold."""
+    """K10 + A1 in one scan: documents written to a folder per status; the counts from the
+    files' footers beside what the folders hold."""
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_path(spark, "by-status")
     checks = _text_checks()
