@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.llm.common import U64, byte_texts, documents, fold_words, id_array, mix, odd_multipliers, save
@@ -70,10 +70,10 @@ def common_words(docs: DataFrame, limit: int = ANCHORS) -> list[int]:
                     seen.clear()
         if seen:
             yield rows()
-    distinct = Observation()
     counts = docs.select("text").mapInArrow(count, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.observe(distinct, F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "word").limit(limit).collect()
-    return [r.word % (1 << 64) for r in top][:distinct.get["n"] // 8]
+    # fewer than eight times the limit are all words there are
+    top = counts.orderBy(F.desc("n"), "word").limit(8 * limit).collect()
+    return [r.word % (1 << 64) for r in top[:len(top) // 8]]
 
 
 class Spots:
