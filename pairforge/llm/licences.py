@@ -1,15 +1,28 @@
-"""Licences of files: TF-IDF cosine of their lines to templates, then inheritance.
-
-Every line of every text is compared with the templates by the cosine of
-sparse TF-IDF vectors (word weights from all documents).  A line can only
-reach the threshold if it shares one of a few heavy words with a template;
-this test is exact and skips the other lines.  A file's own licence is that of
-its best line.  A file without one takes that of the licence file in the
-nearest directory above it, by a join of directories with their ancestors.
-
-Defined cases (see also ``common``): null text has no lines; a null path has
-no directory and inherits nothing; equal scores go to the earlier line, then
-to the first template in order; no rows: an empty result.
+"""Licences of files: TF-IDF cosine of headers, windows and licence files to templates, then inheritance.
+
+A licence has several templates: its notices, its text (or the opening of a
+long one), statements that name it, its SPDX line.  Of every text these units
+are compared with the templates by the cosine of sparse TF-IDF vectors: the
+header (the lines before the first blank one), the whole text of a file that
+is named as a licence file, and every run of as many words as a template has,
+across line breaks.  Lines, comment marks and wrapping don't matter, as only
+ASCII letters and digits make words.
+
+Words are weighted by their document frequency in all texts: that of template
+words is counted exactly, that of any other word is that of its hash bucket
+(``BUCKETS``), so that the weights have a fixed size.  A unit at the threshold
+holds one of a template's few heavy words, and a run's cosine is at most its
+dot product over the root of its words' squared weights; both bounds are
+exact and only skip what can't reach the threshold.
+
+A file's own licence is that of its best unit.  A file without one takes that
+of the licence file in the nearest directory above it, by a join of
+directories with their ancestors.
+
+Defined cases (see also ``common``): null text has no units; a null path has
+no directory and inherits nothing; of equal scores the earlier line counts,
+then the longer template, then the first name; a reservation of rights counts
+only where no licence is found; no rows: an empty result.
 """
 
 from __future__ import annotations
@@ -18,116 +31,214 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.llm.common import save
-
-THRESHOLD = 0.8
-
-# fixed values: licence statements
-TEMPLATES = {
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "BSD-3-Clause": "Licensed under the BSD 3-Clause License.",
-    "CC-BY-4.0": "Licensed under CC BY 4.0.",
-    "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0.",
-    "CC0-1.0": "Dedicated to the public domain under CC0 1.0.",
-    "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
-    "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
-    "MIT": "Released under the MIT License.",
-    "MPL-2.0": "This work is subject to the terms of the Mozilla Public License, version 2.0.",
-    "Proprietary": "All rights reserved.",
-}
-_TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+from pairforge.llm.common import U64, byte_texts, save, word_hashes
+from pairforge.llm.licence_texts import RESERVED, templates as all_templates
+
+THRESHOLD = 0.9
+#: counters of words outside the templates
+BUCKETS = 1 << 18
+
+# The word characters 0-9 and a-z (A-Z lowered); all other bytes part words.
+_FOLD = bytes(b if 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _LICENCE_FILE = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.-][a-z0-9.-]*)?$"
+_LICENCE_NAME = re.compile(_LICENCE_FILE)
+
+
+def terms(text: bytes | str) -> list[bytes]:
+    return (text.encode() if isinstance(text, str) else text).translate(_FOLD).split()
+
+
+def _bucket(words: list[bytes]) -> np.ndarray:
+    return (word_hashes(words) & U64(BUCKETS - 1)).astype(np.int64)
+
+
+class Weights:
+    """Inverse document frequencies: exact for the templates' words, by bucket for others."""
+
+    def __init__(self, total: int, known: dict[bytes, int], buckets: np.ndarray):
+        self.total, self.buckets = total, buckets
+        self.known = {t: float(self._idf(n)) for t, n in known.items()}
+
+    def _idf(self, count):
+        return np.log((self.total + 1) / (np.asarray(count, dtype=np.float64) + 1)) + 1
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        exact = np.array([self.known.get(w, -1.0) for w in words])
+        other = np.flatnonzero(exact < 0)
+        if len(other):
+            exact[other] = self._idf(self.buckets[_bucket([words[i] for i in other])])
+        return exact
 
 
-def terms(line: str) -> Counter:
-    return Counter(_TERM.findall(line.lower()))
-
-
-class TemplateVectors:
-    """Unit TF-IDF vectors of the templates, and the words one of which a line at
-    the threshold must hold."""
-
-    def __init__(self, templates: dict[str, str], idf: dict[str, float], unseen: float, threshold: float):
-        self.idf, self.unseen, self.threshold = idf, unseen, threshold
-        self.names = sorted(templates)
-        self.vectors = [self._unit(terms(templates[n])) for n in self.names]
-        anchors: set[str] = set()
-        for vector in self.vectors:
-            rest = 1.0
-            for term, weight in sorted(vector.items(), key=lambda x: (-x[1], x[0])):
-                # without the anchors a line's cosine is at most the norm of the other weights
-                if rest < threshold * threshold - 1e-9:
-                    break
-                anchors.add(term)
-                rest -= weight * weight
-        self.anchors = re.compile("|".join(sorted(map(re.escape, anchors))))
-
-    def _unit(self, counts: Counter) -> dict[str, float]:
-        weights = {t: n * self.idf.get(t, self.unseen) for t, n in counts.items()}
-        length = math.sqrt(sum(w * w for w in weights.values()))
-        return {t: w / length for t, w in weights.items()} if length else {}
-
-    def best(self, text: str) -> tuple[str | None, float, int | None]:
-        """(licence, cosine, line number from 0) of the text's best line at the threshold."""
-        found: tuple[str | None, float, int | None] = (None, 0.0, None)
-        lowered = text.lower()
-        if not self.anchors.search(lowered):
-            return found
-        for number, line in enumerate(lowered.split("\n")):
-            if self.anchors.search(line):
-                unit = self._unit(terms(line))
-                for name, vector in zip(self.names, self.vectors, strict=True):
-                    cosine = sum(w * unit.get(t, 0.0) for t, w in vector.items())
-                    if cosine >= self.threshold and cosine > found[1] + 1e-12:
-                        found = (name, min(1.0, cosine), number)
+class _Template:
+    def __init__(self, name: str, text: str, weights: Weights, threshold: float):
+        counts = Counter(terms(text))
+        words = sorted(counts)
+        raw = np.array([counts[w] for w in words]) * weights.of(words)
+        self.name, self.size, self.reserved = name, sum(counts.values()), name in RESERVED
+        self.vector = dict(zip(words, (raw / math.sqrt(float(raw @ raw))).tolist(), strict=True))
+        self.anchors: set[bytes] = set()
+        rest = 1.0
+        for word, weight in sorted(self.vector.items(), key=lambda x: (-x[1], x[0])):
+            # without the anchors a unit's cosine is at most the norm of the other weights
+            if rest < threshold * threshold - 1e-9:
+                break
+            self.anchors.add(word)
+            rest -= weight * weight
+
+
+class _Text:
+    """A text's words as numbers, with their weights and lines."""
+
+    def __init__(self, text: bytes, weights: Weights):
+        lines = [terms(line) for line in text.split(b"\n")]
+        self.ends = np.cumsum([len(line) for line in lines])
+        words = [word for line in lines for word in line]
+        self.numbers: dict[bytes, int] = {}
+        self.words = np.array([self.numbers.setdefault(w, len(self.numbers)) for w in words], dtype=np.int64)
+        self.idf = weights.of(list(self.numbers))
+        squares = self.idf[self.words] ** 2
+        self.squares = np.concatenate([[0.0], np.cumsum(squares)])
+        leading = next((i for i, line in enumerate(lines) if not line and i and self.ends[i]), len(lines))
+        self.header = int(self.ends[leading - 1])
+
+    def line(self, start: int) -> int:
+        return int(np.searchsorted(self.ends, start, "right"))
+
+    def gains(self, template: _Template) -> np.ndarray:
+        """What each distinct word adds to the dot product with the template."""
+        out = np.zeros(len(self.idf))
+        for word, weight in template.vector.items():
+            number = self.numbers.get(word)
+            if number is not None:
+                out[number] = weight * self.idf[number]
+        return out
+
+    def cosine(self, gains: np.ndarray, start: int, end: int) -> float:
+        numbers, counts = np.unique(self.words[start:end], return_counts=True)
+        weights = counts * self.idf[numbers]
+        norm = math.sqrt(float(weights @ weights))
+        return min(1.0, float(counts @ gains[numbers]) / norm) if norm else 0.0
+
+    def best_run(self, template: _Template, gains: np.ndarray, floor: float) -> tuple[float, int] | None:
+        """(cosine, start) of the best run of the template's length from ``floor`` on, the earliest of equal ones."""
+        size = min(template.size, len(self.words))
+        dots = np.concatenate([[0.0], np.cumsum(gains[self.words])])
+        dots, squares = dots[size:] - dots[:len(dots) - size], self.squares[size:] - self.squares[:len(dots) - size]
+        bounds = dots / np.sqrt(np.maximum(squares, 1e-12))
+        near = np.flatnonzero(bounds >= floor - 1e-9)
+        found: tuple[float, int] | None = None
+        for start in near[np.argsort(-bounds[near], kind="stable")].tolist():
+            if found and bounds[start] < found[0] - 1e-9:
+                break
+            score = self.cosine(gains, start, start + size)
+            if score >= floor - 1e-12 and (found is None or score > found[0] + 1e-12
+                                           or (score > found[0] - 1e-12 and start < found[1])):
+                found = score, start
         return found
 
 
-def _matcher(vectors: TemplateVectors):
+class LicenceMatcher:
+    """The templates as unit vectors; ``best`` finds a text's best unit."""
+
+    def __init__(self, texts: dict[str, list[str]], weights: Weights, threshold: float):
+        self.weights, self.threshold = weights, threshold
+        self.templates = [_Template(n, t, weights, threshold) for n in sorted(texts) for t in texts[n]]
+        self.anchors = frozenset().union(*(t.anchors for t in self.templates))
+
+    def best(self, text: bytes, licence_file: bool = False) -> tuple[str | None, float, int | None, str | None]:
+        """(licence, cosine, line from 0, unit) of the best unit at the threshold, or (None, 0, None, None)."""
+        if self.anchors.isdisjoint(terms(text)):
+            return None, 0.0, None, None
+        held = _Text(text, self.weights)
+        found: list[tuple] = []
+        for template in self.templates:
+            if template.anchors.isdisjoint(held.numbers):
+                continue
+            gains = held.gains(template)
+            run = held.best_run(template, gains, self.threshold)
+            units = [(run[0], run[1], "window")] if run else []
+            units.append((held.cosine(gains, 0, held.header), 0, "header"))
+            if licence_file:
+                units.append((held.cosine(gains, 0, len(held.words)), 0, "file"))
+            found += [(template.reserved, -round(score, 9), held.line(start), -template.size, template.name, kind)
+                      for score, start, kind in units if score >= self.threshold - 1e-12]
+        if not found:
+            return None, 0.0, None, None
+        _, score, line, _, name, kind = min(found)
+        return name, -score, line, kind
+
+
+def _matcher(texts: dict[str, list[str]], weights: Weights, threshold: float):
     def match(batches):
+        matcher = LicenceMatcher(texts, weights, threshold)
         for batch in batches:
-            best = [vectors.best(t or "") for t in batch.column("text").to_pylist()]
+            paths = batch.column("path").to_pylist()
+            best = [matcher.best(t, bool(p and _LICENCE_NAME.match(p.rsplit("/", 1)[-1])))
+                    for t, p in zip(byte_texts(batch.column("text")), paths, strict=True)]
+            name, score, line, unit = zip(*best, strict=True) if best else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("path"), pa.array([b[0] for b in best], pa.string()),
-                 pa.array([b[1] for b in best], pa.float64()), pa.array([b[2] for b in best], pa.int64())],
-                names=["doc_id", "path", "own_licence", "score", "line"])
+                [batch.column("doc_id"), pa.array(paths, pa.string()), pa.array(name, pa.string()),
+                 pa.array(score, pa.float64()), pa.array(line, pa.int64()), pa.array(unit, pa.string())],
+                names=["doc_id", "path", "own_licence", "score", "line", "unit"])
     return match
 
 
-def template_weights(files: DataFrame, templates: dict[str, str]) -> tuple[dict[str, float], float]:
-    """Inverse document frequencies of the templates' words over all texts, and that of an unseen word."""
-    vocabulary = sorted({t for text in templates.values() for t in terms(text)})
-    found = F.array_intersect(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))),
-                                                   F.lit("([a-z0-9]+(?:\\.[0-9]+)*)"), 1),
-                              F.array(*map(F.lit, vocabulary)))
-    counts = {r["term"]: r["n"] for r in files.select(F.explode(found).alias("term")).groupBy("term")
-              .agg(F.count("*").alias("n")).collect()}
-    total = files.count()
-    return ({t: math.log((total + 1) / (counts.get(t, 0) + 1)) + 1 for t in vocabulary},
-            math.log(total + 1) + 1)
+def _counter(vocabulary: list[bytes]):
+    """Texts that hold each template word (slots below 0) and a word of each bucket, and all texts (slot -1)."""
+    slots = {word: -2 - i for i, word in enumerate(vocabulary)}
+
+    def count(batches):
+        known, buckets, total = Counter(), np.zeros(BUCKETS, dtype=np.int64), 0
+        for batch in batches:
+            total += batch.num_rows
+            for text in byte_texts(batch.column("text")):
+                words = set(terms(text))
+                shared = words & slots.keys()
+                known.update(shared)
+                buckets[np.unique(_bucket(list(words - shared)))] += 1
+        used = np.flatnonzero(buckets)
+        keys = [-1, *(slots[w] for w in known), *used.tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()),
+                                          pa.array([total, *known.values(), *buckets[used].tolist()], pa.int64())],
+                                         names=["slot", "n"])
+    return count
+
+
+def document_frequencies(files: DataFrame, texts: dict[str, list[str]]) -> Weights:
+    """Word weights from all texts; what comes to the driver is one number per
+    template word and bucket, at any size of the corpus."""
+    vocabulary = sorted({word for each in texts.values() for text in each for word in terms(text)})
+    counts = (files.select("text").mapInArrow(_counter(vocabulary), "slot bigint, n bigint")
+              .groupBy("slot").agg(F.sum("n").alias("n")).toArrow())
+    slots, n = (counts.column(c).to_numpy() for c in ("slot", "n"))
+    buckets = np.zeros(BUCKETS, dtype=np.int64)
+    buckets[slots[slots >= 0]] = n[slots >= 0]
+    held = dict(zip(slots[slots < 0].tolist(), n[slots < 0].tolist(), strict=True))
+    return Weights(held.get(-1, 0), {w: held.get(-2 - i, 0) for i, w in enumerate(vocabulary)}, buckets)
 
 
 def _folder(path):
     return F.when(path.contains("/"), F.regexp_replace(path, "/[^/]*$", "")).otherwise(F.lit(""))
 
 
-def scan_licences(files: DataFrame, templates: dict[str, str] | None = None,
+def scan_licences(files: DataFrame, texts: dict[str, list[str]] | None = None,
                   threshold: float = THRESHOLD) -> DataFrame:
-    """One row per file: doc_id, path, own_licence, score, line, licence (own or
-    inherited) and licence_folder (the directory it was inherited from, else null).
+    """One row per file: doc_id, path, own_licence, score, line, unit (header,
+    window or file), licence (own or inherited) and licence_folder (the directory
+    it was inherited from, else null).
 
-    ``files``: doc_id, path (with ``/``), text."""
-    templates = templates or TEMPLATES
+    ``files``: doc_id, path (with ``/``), text; ``texts``: licence -> templates."""
+    texts = texts or all_templates()
     rows = files.where("doc_id is not null").select(F.col("doc_id").cast("bigint").alias("doc_id"), "path", "text")
-    vectors = TemplateVectors(templates, *template_weights(rows, templates), threshold)
-    own = save(rows.mapInArrow(_matcher(vectors), "doc_id bigint, path string, own_licence string, score double, "
-                               "line bigint").withColumn("folder", _folder(F.col("path"))), "licences")
+    match = _matcher(texts, document_frequencies(rows, texts), threshold)
+    own = save(rows.mapInArrow(match, "doc_id bigint, path string, own_licence string, score double, line bigint, "
+                               "unit string").withColumn("folder", _folder(F.col("path"))), "licences")
     name = F.regexp_extract("path", "([^/]*)$", 1)
     granted = (own.where(name.rlike(_LICENCE_FILE) & F.col("own_licence").isNotNull()).groupBy("folder")
                .agg(F.max(F.struct("score", F.negative("doc_id").alias("back"), "own_licence"))["own_licence"]
@@ -140,6 +251,6 @@ def scan_licences(files: DataFrame, templates: dict[str, str] | None = None,
                .groupBy("folder").agg(F.max(F.struct("depth", "above", "granted")).alias("best"))
                .select("folder", F.col("best.granted").alias("granted"), F.col("best.above").alias("licence_folder")))
     return (own.join(nearest, "folder", "left")
-            .select("doc_id", "path", "own_licence", "score", "line",
+            .select("doc_id", "path", "own_licence", "score", "line", "unit",
                     F.coalesce("own_licence", "granted").alias("licence"),
                     F.when(F.col("own_licence").isNull(), F.col("licence_folder")).alias("licence_folder")))

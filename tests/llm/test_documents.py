@@ -1,5 +1,6 @@
 """Operators on documents against brute force, on hard small tables."""
 
+import math
 import random
 import zlib
 
@@ -330,13 +331,99 @@ def test_licences(spark):
                    7: (None, None, None), 8: (None, None, None)}
 
 
-def test_licence_anchors_lose_nothing():
-    idf = {t: 1.0 + len(t) / 5 for x in licences.TEMPLATES.values() for t in licences.terms(x)}
-    vectors = licences.TemplateVectors(licences.TEMPLATES, idf, 3.0, 0.8)
-    rnd = random.Random(9)
-    terms = sorted(idf) + ["other", "word"]
-    for _ in range(3000):
-        line = " ".join(rnd.choices(terms, k=rnd.randint(1, 9)))
-        unit = vectors._unit(licences.terms(line))
-        best = max(sum(w * unit.get(t, 0) for t, w in v.items()) for v in vectors.vectors)
-        assert (vectors.best(line)[0] is not None) == (best >= 0.8)
+def _weights(**counts):
+    known = {w: 2 for t in licences.all_templates().values() for x in t for w in licences.terms(x)}
+    return licences.Weights(1000, known | {k.encode(): n for k, n in counts.items()},
+                            np.zeros(licences.BUCKETS, dtype=np.int64))
+
+
+def _cosine(weights, unit, template):
+    def vector(words):
+        idf = dict(zip(words, weights.of(words).tolist(), strict=True))
+        counts = {w: words.count(w) * idf[w] for w in words}
+        norm = sum(x * x for x in counts.values()) ** 0.5
+        return {w: x / norm for w, x in counts.items()}
+    one, other = vector(unit), vector(template)
+    return sum(x * other.get(w, 0.0) for w, x in one.items())
+
+
+def test_licence_units_against_all_cosines():
+    """Bounds lose nothing: every run, header and file against every template, one by one."""
+    texts = {k: [t for t in v if len(t) < 80] for k, v in licences.all_templates().items()}
+    weights = _weights(the=900, under=300, license=40)
+    matcher = licences.LicenceMatcher(texts, weights, 0.8)
+    pool = sorted({w.decode() for v in texts.values() for t in v for w in licences.terms(t)}) + ["other", "word", "\n\n"]
+    some = [t for v in texts.values() for t in v]
+    rnd, hits = random.Random(9), 0
+    for k in range(250):
+        text = " ".join(rnd.choices(pool, k=rnd.randint(0, 14)))
+        if k % 2:
+            words = rnd.choice(some).split()
+            words[rnd.randrange(len(words))] = rnd.choice(pool)
+            text += "\n" * rnd.randint(0, 2) + " ".join(words)
+        words = licences.terms(text)
+        units = [(licences.terms(block), name, t) for block in [text] for name, v in texts.items() for t in v]
+        head = []
+        for i, line in enumerate(text.split("\n")):
+            if i and head and not licences.terms(line):
+                break
+            head += licences.terms(line)
+        best = 0.0
+        for _, name, t in units:
+            template = licences.terms(t)
+            runs = [words[s:s + len(template)] for s in range(max(1, len(words) - len(template) + 1))]
+            best = max([best] + [_cosine(weights, u, template) for u in [*runs, head, words] if u])
+        got = matcher.best(text.encode(), True)
+        assert (got[0] is not None) == (best >= 0.8 - 1e-12)
+        if got[0]:
+            assert got[1] == pytest.approx(best, abs=1e-8) or got[0] == "Proprietary" or best == pytest.approx(
+                max(_cosine(weights, u, licences.terms("All rights reserved.")) for u in
+                    [words[s:s + 3] for s in range(len(words))] + [words, head]))
+            hits += 1
+    assert hits > 60
+
+
+def test_real_licence_texts(spark):
+    every = licences.all_templates()
+    notice = next(t for t in every["Apache-2.0"] if t.startswith("Licensed under the Apache License, Version"))
+    wrapped = "\n".join("# " + " ".join(notice.split()[i:i + 6]) for i in range(0, len(notice.split()), 6))
+    gpl = next(t for t in every["GPL-3.0"] if t.startswith("This program"))
+    mit = next(t for t in every["MIT"] if t.startswith("Permission is"))
+    bsd = {k: next(t for t in every[k] if t.startswith("Redistribution")) for k in ("BSD-2-Clause", "BSD-3-Clause")}
+    rows = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + mit),
+        ("MIT", "prose " * 30000 + "\n" + mit + "\n" + "prose " * 300),
+        ("MIT", "Released under the MIT License. See the file."), ("MIT", "// SPDX-License-Identifier: MIT\nint x;"),
+        ("Apache-2.0", "#!/bin/sh\n" + wrapped + "\n\nimport os\n"), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+        ("GPL-3.0", "/*\n * " + gpl.replace(", ", ",\n * ") + "\n */\nint main() {}"),
+        ("GPL-3.0", "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright"),
+        ("GPL-2.0", "licensed under the GNU\n-- General Public License, version 2, and nothing else"),
+        ("LGPL-2.1", gpl.replace("program", "library").replace("GNU ", "GNU Lesser ").replace("version 3", "version 2.1")),
+        ("BSD-3-Clause", "Copyright 1999, A B. All rights reserved.\n\n" + bsd["BSD-3-Clause"].replace(
+            "the copyright holder nor", "Acme Corporation nor")),
+        ("BSD-2-Clause", "Copyright 1999, A B. All rights reserved.\n\n" + bsd["BSD-2-Clause"]),
+        ("MPL-2.0", "/* This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of "
+                    "the MPL was not distributed with this\n * file, You can obtain one at http://mozilla.org/MPL/2.0/. */"),
+        ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+        ("CC-BY-SA-4.0", "This is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+        ("Proprietary", "Copyright 2001. All rights\nreserved."), (None, "the terms of the school and its public rights"),
+        (None, "SPDX-License-Identifier: EUPL-1.2"), (None, "licensed under the GNU General Public License, version 1"),
+        (None, ""), (None, None)]
+    files = spark.createDataFrame([(i, f"d{i}/f.txt", t, "x") for i, (_, t) in enumerate(rows)]
+                                  + [(100 + i, f"e/{i}", "plain words of a text", "x") for i in range(200)]
+                                  + [(3, "d3/f.txt", rows[3][1], "x")],  # a repeated row keeps its own result row
+                                  "doc_id bigint, path string, text string, score string")
+    got = licences.scan_licences(files).collect()
+    assert len(got) == len(rows) + 201
+    found = {r.doc_id: (r.own_licence, r.line) for r in got}
+    assert {i: found[i][0] for i in range(len(rows))} == {i: name for i, (name, _) in enumerate(rows)}
+    assert found[0][1] == 4 and found[1][1] == 1 and found[4][1] in (0, 1)
+    assert all(found[100 + i][0] is None for i in range(200))
+
+
+def test_licence_weights_count_all_texts(spark):
+    rows = [(i, "p", f"License word{i % 3} common LICENSE") for i in range(30)] + [(99, "p", None)]
+    files = spark.createDataFrame(rows, "doc_id bigint, path string, text string").repartition(5)
+    weights = licences.document_frequencies(files, {"X": ["the license"]})
+    expected = [math.log(32 / 31) + 1, math.log(32) + 1, math.log(32 / 31) + 1, math.log(32 / 11) + 1]
+    assert weights.of([b"license", b"the", b"common", b"word1"]) == pytest.approx(expected)
