@@ -7,6 +7,14 @@ k of each other; so the shared q-grams are counted in overlapping diagonal
 bands, regions that reach the bound are kept, and an alignment inside the
 region's band decides.
 
+Many items may begin with the same words, and a document that holds only
+those shares enough q-grams with each of them.  So a region must pass two more
+tests before it is aligned, both exact: disjoint short grams of the item that
+the text around the region lacks need an edit each (tested for all regions of
+a stretch of text at once), and the item's best place in the region, by a
+bit-parallel edit distance, must lie within the edits.  Shared q-grams are
+expanded for blocks of items, ``HITS`` at a time.
+
 The items travel in blocks of a bounded number of characters; a larger
 benchmark means more passes over the documents, not larger ones.
 
@@ -33,6 +41,10 @@ BLOCK_CHARS = 2_000_000
 _TABLE = 22
 #: characters of documents compared at once
 CHUNK_CHARS = 200_000
+#: shared q-grams expanded at once, for documents of one chunk
+HITS = 2_000_000
+#: characters of the short grams, and of the stretches of text whose short grams are looked up together
+_SHORT, _STRETCH = 4, 256
 
 
 def normal(text: str | None) -> np.ndarray:
@@ -56,6 +68,38 @@ def _grams(codes: np.ndarray, size: int) -> np.ndarray:
 _STEPS = odd_multipliers(64, 606)
 
 
+_SHORT_BITS = 16
+
+
+def _short_grams(codes: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of ``_SHORT`` characters; equal ones only hide an edit, never invent one."""
+    return (_grams(codes, _SHORT) >> U64(64 - _SHORT_BITS)).astype(np.uint16)
+
+
+def least_edits(item: np.ndarray, text: np.ndarray) -> int:
+    """The fewest edits between the item and any run of the text: a column of the
+    edit table as two bit masks in whole numbers, one step for each character."""
+    size = len(item)
+    masks: dict[int, int] = {}
+    for i, code in enumerate(item.tolist()):
+        masks[code] = masks.get(code, 0) | 1 << i
+    full, top = (1 << size) - 1, 1 << (size - 1)
+    up, down, score = full, 0, size
+    least = size
+    for code in text.tolist():
+        same = masks.get(code, 0)
+        diagonal = ((((same & up) + up) ^ up) | same | down) & full
+        plus, minus = (down | ~(diagonal | up)) & full, up & diagonal
+        if plus & top:
+            score += 1
+        elif minus & top:
+            score -= 1
+        plus, minus = (plus << 1) & full, (minus << 1) & full  # a run may begin anywhere: no cost at the top
+        up, down = (minus | ~(diagonal | plus)) & full, plus & diagonal
+        least = min(least, score)
+    return least
+
+
 class _GramTable:
     """Where each q-gram of the items stands."""
 
@@ -70,17 +114,27 @@ class _GramTable:
         self.hashes, self.low, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.there = np.zeros(1 << _TABLE, dtype=bool)
         self.there[(self.hashes >> U64(64 - _TABLE)).astype(np.int64)] = True
+        #: gram and item of each posting in one ascending number
+        self.items = int(self.item.max()) + 1
+        self.posting = np.repeat(np.arange(len(self.hashes)), self.count) * self.items + self.item
 
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(place in the document, item, place in the item) of the shared q-grams."""
+    def hits(self, codes: np.ndarray):
+        """(place in the document, item, place in the item) of the shared q-grams,
+        at most about ``HITS`` at once: all of an item's together."""
         grams = _grams(codes, self.gram)
         at = np.flatnonzero(self.there[(grams >> U64(64 - _TABLE)).astype(np.int64)])
         found = np.minimum(np.searchsorted(self.hashes, grams[at]), len(self.hashes) - 1)
         real = self.hashes[found] == grams[at]
         at, found = at[real], found[real]
-        low, counts = self.low[found], self.count[found]
-        picked = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
-        return np.repeat(at, counts), self.item[picked], self.place[picked]
+        blocks = min(self.items, 1 + int(self.count[found].sum()) // HITS)
+        cuts = np.linspace(0, self.items, blocks + 1).astype(np.int64)
+        for first, last in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            low, counts = self.low[found], self.count[found]
+            if blocks > 1:
+                low = np.searchsorted(self.posting, found * self.items + first)
+                counts = np.searchsorted(self.posting, found * self.items + last) - low
+            picked = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            yield np.repeat(at, counts), self.item[picked], self.place[picked]
 
 
 class ItemIndex:
@@ -91,16 +145,49 @@ class ItemIndex:
         self.budgets = np.floor(self.sizes * rate).astype(np.int64)
         grams = np.maximum(1, np.minimum(gram, self.sizes // (self.budgets + 1)))
         self.bounds = self.sizes - grams + 1 - self.budgets * grams
+        self.short = np.zeros((len(items), max(_SHORT, -int(-self.sizes.max(initial=0) // _SHORT) * _SHORT)), dtype=np.uint16)
+        for row, codes in zip(self.short, self.codes, strict=True):
+            held = _short_grams(codes)
+            row[:len(held)] = held
         self.tables = []
         for q in sorted({int(q) for q, size in zip(grams, self.sizes, strict=True) if size}, reverse=True):
             self.tables.append(_GramTable([(i, c) for i, c in enumerate(self.codes) if len(c) and grams[i] == q], q))
 
+    def _affordable(self, short: np.ndarray | None, group: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Which bands (document and item in ``group``, first diagonal counted from
+        minus the item's size) may hold the item within its edits: each of a set of
+        disjoint short grams that the text there lacks needs an edit of its own.
+        The text looked at covers the band's diagonals and its edits on either side."""
+        items = group % len(self.sizes)
+        sizes, budgets = self.sizes[items], self.budgets[items]
+        low = first - sizes - budgets  # first text place
+        high = first + 2 * (budgets + 1) + budgets  # end of the last diagonal's text
+        stretch = low // _STRETCH
+        reach = (high - stretch * _STRETCH + _STRETCH - 1) // _STRETCH
+        keep = np.ones(len(group), dtype=bool)
+        order = np.lexsort((reach, stretch))
+        cuts = np.flatnonzero(np.diff(stretch[order], prepend=-1 << 40) | np.diff(reach[order], prepend=-1))
+        present = np.zeros(1 << _SHORT_BITS, dtype=bool)
+        for begin, end in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)], strict=True):
+            here = order[begin:end]
+            origin = int(stretch[here[0]]) * _STRETCH
+            grams = short[max(0, origin):max(0, origin + int(reach[here[0]]) * _STRETCH)]
+            present[grams] = True
+            for part in np.array_split(here, 1 + len(here) // 4096):
+                missing = ~present[self.short[items[part]]]
+                missing &= np.arange(missing.shape[1]) < (sizes[part] - _SHORT + 1)[:, None]
+                # grams at places that are equal modulo their size are disjoint
+                needed = missing.reshape(len(part), -1, _SHORT).sum(axis=1).max(axis=1)
+                keep[part] = needed <= budgets[part]
+            present[grams] = False
+        return keep
+
     def regions(self, codes: np.ndarray, bounds: np.ndarray):
         """(document number, item, first, last and busiest diagonal) of the bands that
         reach the q-gram bound, neighbouring ones as one; ``bounds``: the documents'
         ends in ``codes``."""
-        for table in self.tables:
-            at, item, place = table.hits(codes)
+        short = None
+        for at, item, place, table in ((*hit, t) for t in self.tables for hit in t.hits(codes)):
             doc = np.searchsorted(bounds, at, "right")
             same = at + table.gram <= bounds[doc] if len(at) else np.empty(0, dtype=bool)
             item, place, at, doc = item[same], place[same], at[same], doc[same]
@@ -120,6 +207,10 @@ class ItemIndex:
             counts = np.diff(np.concatenate([starts, [len(key)]]))
             group = key[starts] // bands
             chosen = np.flatnonzero(counts >= self.bounds[group % len(self.sizes)])
+            first = (key[starts[chosen]] % bands - 1) * (self.budgets[group[chosen] % len(self.sizes)] + 1)
+            if len(chosen) and short is None:
+                short = _short_grams(codes)
+            chosen = chosen[self._affordable(short, group[chosen], first)]
             k = 0
             while k < len(chosen):
                 run = [chosen[k]]
@@ -179,7 +270,10 @@ def _matches(index: ItemIndex, ids: list, texts: list) -> list[dict]:
         if 0 <= at and np.array_equal(text[at:at + len(item)], item):  # nothing aligns better
             found = (0, at, at + len(item))
         else:
-            found = banded_edits(item, text, low - origin, high - origin, int(index.budgets[i]))
+            budget = int(index.budgets[i])
+            low, high = low - origin, high - origin
+            near = text[max(0, low - budget):max(0, high + 2 * budget + len(item) + 1)]
+            found = banded_edits(item, text, low, high, budget) if least_edits(item, near) <= budget else None
         if found:
             key = (doc, i, found[1] // max(1, int(index.sizes[i])))
             best[key] = min(best.get(key, found), found)

@@ -319,6 +319,41 @@ def test_contamination_in_blocks(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i, _ in items}
 
 
+def test_least_edits_by_table():
+    rnd = random.Random(12)
+    for _ in range(300):
+        item = decontamination.normal("".join(rnd.choices("ab ", k=rnd.randint(1, 90))) + "x")
+        text = decontamination.normal("".join(rnd.choices("abx ", k=rnd.randint(0, 60))))
+        row = [0] * (len(text) + 1)
+        for i, code in enumerate(item.tolist()):
+            new = [i + 1]
+            for j, other in enumerate(text.tolist()):
+                new.append(min(row[j] + (code != other), row[j + 1] + 1, new[j] + 1))
+            row = new
+        assert decontamination.least_edits(item, text) == min(row)
+
+
+def test_items_with_one_stem_are_not_all_aligned(spark, monkeypatch):
+    """Documents that hold only the stem are turned away before any alignment, in blocks of few hits too."""
+    rnd = random.Random(5)
+    words = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=rnd.randint(3, 9))) for _ in range(500)]
+    stem = "which of the following statements is true about"
+    items = [(i, stem + " " + " ".join(rnd.choices(words, k=14))) for i in range(60)]
+    texts = ["x " + stem + " " + " ".join(rnd.choices(words, k=9)) for _ in range(80)]
+    quoted = list(items[7][1])
+    quoted[60] = "#"
+    texts += ["before " + items[3][1] + " after", "".join(quoted), items[9][1][:80], ""]
+    aligned = []
+    real = decontamination.banded_edits
+    monkeypatch.setattr(decontamination, "banded_edits", lambda *a: aligned.append(1) or real(*a))
+    for hits in (decontamination.HITS, 500):
+        monkeypatch.setattr(decontamination, "HITS", hits)
+        index = decontamination.ItemIndex(items, 0.1, 8)
+        got = decontamination._matches(index, list(range(len(texts))), [decontamination.normal(t) for t in texts])
+        assert {(r["doc_id"], r["item_id"], r["edits"]) for r in got} == {(80, 3, 0), (81, 7, 1)}
+    assert len(aligned) <= 4
+
+
 def test_licences(spark):
     files = spark.createDataFrame([
         (1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/c/x.txt", "plain text"),
