@@ -9,7 +9,10 @@ No step emits all pairs of a group.  Equal sets form one class, of which only
 the smallest doc_id is compared.  Every class is first paired with one hub, the
 class that meets most others in the bands; after these links are joined into
 components, only classes outside a bucket's largest component are compared
-with the rest of their bucket, inside a join condition on the sketches.
+with the rest of their bucket, inside a join condition on the sketches.  A
+bucket with more than ``BUCKET_PAIRS`` such comparisons isn't compared that
+way: its members meet on the shingles of their prefixes in an order by rarity
+(``_prefix_pairs``), which loses no pair at the threshold.
 
 Defined cases (see also ``common``): no words or null text: empty set, linked
 with nothing; fewer words than a shingle: the whole sequence is the only
@@ -38,6 +41,8 @@ SKETCH_BITS = 1024
 #: a proposal is discarded if its popcount exceeds that of the threshold
 #: similarity by this many standard deviations
 SIGMAS = 4.5
+#: comparisons inside one bucket; the members of a busier one meet on their rarest shingles
+BUCKET_PAIRS = 100_000
 CHUNK = 4096
 
 
@@ -167,6 +172,35 @@ def _first_shared(place: str):
     return ~F.exists(before, lambda same: same)
 
 
+def _prefix_pairs(held: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
+    """Pairs (a < b) of different components that may meet the threshold, without
+    comparing all members of a bucket.
+
+    In an order of shingles that all sets share, two sets at the threshold share
+    one among the first n - ceil(threshold * n) + 1 of either.  The order is by
+    rarity among ``held`` (id, component, minor), so what a whole family of
+    texts has in common comes last.  Components meet on a shared shingle before
+    their members do; members of one component are never paired."""
+    sized = held.join(sets.select("id", "n", "shingles"), "id")
+    single = sized.select("id", F.explode("shingles").alias("shingle"))
+    often = single.groupBy("shingle").agg(F.count("*").alias("often"))
+    n = F.size("ordered")
+    kept = n - F.ceil(n * threshold_pct / 100) + 1
+    first = (single.join(often, "shingle").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("often", "shingle")))
+                                                             .alias("ordered"))
+             .select("id", F.explode(F.slice("ordered", F.lit(1), kept.cast("int"))).alias("x"))
+             .where("x.often > 1").select("id", F.col("x.shingle").alias("shingle")))
+    entries = save(first.join(sized.drop("shingles"), "id"), "near-prefixes")
+    parts = entries.groupBy("shingle", "component").agg(F.max("minor").alias("minor"))
+    met = (parts.toDF("shingle", "of_a", "minor_a").join(parts.toDF("shingle", "of_b", "minor_b"), "shingle")
+           .where("of_a < of_b and (minor_a or minor_b)").select("shingle", "of_a", "of_b"))
+    side = entries.select("shingle", "component", "id", "n")
+    pairs = (met.join(side.toDF("shingle", "of_a", "x", "n_x"), ["shingle", "of_a"])
+             .join(side.toDF("shingle", "of_b", "y", "n_y"), ["shingle", "of_b"])
+             .where(F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * threshold_pct))
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, threshold_pct: int = 85, shingle: int = SHINGLE, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept.
@@ -208,9 +242,11 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, shingle: int = SHI
     placed = save(members.select("band", "place", "id").join(components, "id", "left")
                   .select("band", "place", "id", F.coalesce("component", "id").alias("component")), "near-placed")
     parts = placed.groupBy("band", "component").agg(F.count("*").alias("n"))
-    main = (parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts"))
-            .where("parts > 1").select("band", F.col("main.component").alias("main")))
-    unsettled = placed.join(main, "band").join(sketches, "id").join(heads, "id")
+    main = save(parts.groupBy("band").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts"),
+                                          F.sum("n").alias("size"))
+                .where("parts > 1").select("band", F.col("main.component").alias("main"),
+                                           ((F.col("size") - F.col("main.n")) * F.col("size")).alias("work")), "near-main")
+    unsettled = (placed.join(main.where(F.col("work") <= BUCKET_PAIRS), "band").join(sketches, "id").join(heads, "id"))
     minor = unsettled.where("component <> main").select(
         "band", "place", "main", F.col("id").alias("a"), F.col("component").alias("of_a"), F.col("n").alias("n_a"),
         F.col("sketch").alias("sketch_a"), F.col("bands").alias("bands_a"))
@@ -220,6 +256,13 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, shingle: int = SHI
                         & ((F.col("of_b") == F.col("main")) | (F.col("a") < F.col("b")))
                         & _alike(threshold_pct, limit) & _first_shared("place"))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    busy = main.where(F.col("work") > BUCKET_PAIRS)
+    if not busy.isEmpty():
+        held = (placed.join(busy, "band").groupBy("id").agg(
+            F.first("component").alias("component"), F.max(F.col("component") != F.col("main")).alias("minor")))
+        met_late = _prefix_pairs(held, sets, threshold_pct)
+        later = later.union(met_late.join(side_b, "b").join(side_a, "a").where(_alike(threshold_pct, limit))
+                            .select("a", "b")).distinct()
     tried = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     later = save(later.join(tried, ["a", "b"], "left_anti"), "near-later")
     if not later.isEmpty():
