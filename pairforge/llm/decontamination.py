@@ -153,7 +153,7 @@ class ItemIndex:
         for q in sorted({int(q) for q, size in zip(grams, self.sizes, strict=True) if size}, reverse=True):
             self.tables.append(_GramTable([(i, c) for i, c in enumerate(self.codes) if len(c) and grams[i] == q], q))
 
-    def _affordable(self, short: np.ndarray | None, group: np.ndarray, first: np.ndarray) -> np.ndarray:
+    def _affordable(self, short: np.ndarray, group: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Which bands (document and item in ``group``, first diagonal counted from
         minus the item's size) may hold the item within its edits: each of a set of
         disjoint short grams that the text there lacks needs an edit of its own.
@@ -208,7 +208,9 @@ class ItemIndex:
             group = key[starts] // bands
             chosen = np.flatnonzero(counts >= self.bounds[group % len(self.sizes)])
             first = (key[starts[chosen]] % bands - 1) * (self.budgets[group[chosen] % len(self.sizes)] + 1)
-            if len(chosen) and short is None:
+            if not len(chosen):
+                continue
+            if short is None:
                 short = _short_grams(codes)
             chosen = chosen[self._affordable(short, group[chosen], first)]
             k = 0
