@@ -172,9 +172,10 @@ def _first_shared(place: str):
     return ~F.exists(before, lambda same: same)
 
 
-def _prefix_pairs(held: DataFrame, sets: DataFrame, threshold_pct: int) -> DataFrame:
-    """Pairs (a < b) of different components that may meet the threshold, without
-    comparing all members of a bucket.
+def _prefix_pairs(held: DataFrame, sets: DataFrame, sketches: DataFrame, threshold_pct: int,
+                  limit: int) -> DataFrame:
+    """Pairs (a < b) of different components whose sizes and sketches allow the
+    threshold, without comparing all members of a bucket.
 
     In an order of shingles that all sets share, two sets at the threshold share
     one among the first n - ceil(threshold * n) + 1 of either.  The order is by
@@ -190,15 +191,22 @@ def _prefix_pairs(held: DataFrame, sets: DataFrame, threshold_pct: int) -> DataF
                                                              .alias("ordered"))
              .select("id", F.explode(F.slice("ordered", F.lit(1), kept.cast("int"))).alias("x"))
              .where("x.often > 1").select("id", F.col("x.shingle").alias("shingle")))
-    entries = save(first.join(sized.drop("shingles"), "id"), "near-prefixes")
-    parts = entries.groupBy("shingle", "component").agg(F.max("minor").alias("minor"))
-    met = (parts.toDF("shingle", "of_a", "minor_a").join(parts.toDF("shingle", "of_b", "minor_b"), "shingle")
-           .where("of_a < of_b and (minor_a or minor_b)").select("shingle", "of_a", "of_b"))
-    side = entries.select("shingle", "component", "id", "n")
-    pairs = (met.join(side.toDF("shingle", "of_a", "x", "n_x"), ["shingle", "of_a"])
-             .join(side.toDF("shingle", "of_b", "y", "n_y"), ["shingle", "of_b"])
-             .where(F.least("n_x", "n_y") * 100 >= F.greatest("n_x", "n_y") * threshold_pct))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    entries = save(first.join(held, "id"), "near-prefixes")
+    parts = entries.groupBy("shingle", "component").agg(F.struct(F.count("*").alias("held"), "component").alias("part"),
+                                                        F.max("minor").alias("minor"))
+    few, many = (parts.select("shingle", F.col("part").alias(f"part_{k}"), F.col("minor").alias(f"minor_{k}"))
+                 for k in "ab")
+    # the smaller component's members are listed, those of the larger one only looked at
+    met = (few.join(many, "shingle").where("part_a < part_b and (minor_a or minor_b)")
+           .select("shingle", F.col("part_a.component").alias("of_a"), F.col("part_b.component").alias("of_b")))
+    side = entries.select("shingle", "component", "id").join(sketches, "id")
+    first, second = (side.select(F.col("shingle").alias(f"shingle_{k}"), F.col("component").alias(f"in_{k}"),
+                                 F.col("id").alias(k), F.col("n").alias(f"n_{k}"), F.col("sketch").alias(f"sketch_{k}"))
+                     for k in "ab")
+    pairs = (met.join(first, (F.col("shingle") == F.col("shingle_a")) & (F.col("of_a") == F.col("in_a")))
+             .join(second, (F.col("shingle") == F.col("shingle_b")) & (F.col("of_b") == F.col("in_b"))
+                   & _alike(threshold_pct, limit)))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold_pct: int = 85, shingle: int = SHINGLE, bands: int = BANDS,
@@ -260,9 +268,7 @@ def near_duplicates(docs: DataFrame, threshold_pct: int = 85, shingle: int = SHI
     if not busy.isEmpty():
         held = (placed.join(busy, "band").groupBy("id").agg(
             F.first("component").alias("component"), F.max(F.col("component") != F.col("main")).alias("minor")))
-        met_late = _prefix_pairs(held, sets, threshold_pct)
-        later = later.union(met_late.join(side_b, "b").join(side_a, "a").where(_alike(threshold_pct, limit))
-                            .select("a", "b")).distinct()
+        later = later.union(_prefix_pairs(held, sets, sketches, threshold_pct, limit)).distinct()
     tried = likely.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     later = save(later.join(tried, ["a", "b"], "left_anti"), "near-later")
     if not later.isEmpty():
