@@ -5,25 +5,24 @@
   contractions; letters, digits, other runs, each optionally led by one space;
   whitespace runs, whose last character goes with a word that follows).
 * Symbols are the UTF-8 bytes of a pre-token written as two hex digits, so
-  a word is a space-separated symbol string and a merge is a plain string
-  rewrite that needs no escaping.
+  a word is a space-separated symbol string.
 * Training runs on the distinct pre-token table (pre-aggregated map-side).
-  Pair counts are made once and then kept up by differences: a round tests each
-  word for the merged pairs by a plain substring search, and only words that hold
-  one are taken apart, before (minus) and after (plus) the merge.  A round is one
+  Pair counts are made once and then kept up by differences: of the words that hold
+  a merged pair, the pairs before (minus) and after (plus) the merges.  A round is one
   job; the driver receives only the top pairs.  Several merges are applied in one
   round when that provably gives the same result as merging one at a time:
   a candidate is taken only if the merges already taken in the round leave
   its count as it is, and that is strictly greater than every count that
-  those merges could create.  Words and counts are written every
-  few rounds to cut lineage; between, they are kept (and released) by round.
+  those merges could create.  Words and counts are written every few rounds; the
+  rounds between apply the merges since then to the words written last.  So no
+  round's plan holds an earlier one: what the driver keeps of a plan doesn't grow.
 """
 
 from __future__ import annotations
 
-import functools
+import collections
 
-from pyspark import StorageLevel
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,12 +73,60 @@ def _pairs(words: DataFrame) -> DataFrame:
     return _summed(p)
 
 
+def merge_symbols(symbols: list[str], ranks: dict[tuple[str, str], list[int]]) -> list[str]:
+    """The symbols of a word after all merges, one after the other by rank."""
+    done = -1
+    while True:
+        step = min(((rank, pair) for pair in zip(symbols, symbols[1:]) for rank in ranks.get(pair, ()) if rank > done),
+                   default=None)
+        if step is None:
+            return symbols
+        done, (left, right) = step
+        out, i = [], 0
+        while i < len(symbols):
+            both = symbols[i] == left and i + 1 < len(symbols) and symbols[i + 1] == right
+            out.append(left + right if both else symbols[i])
+            i += 2 if both else 1
+        symbols = out
+
+
+def _ranks(merges: list[tuple[str, str]]) -> dict[tuple[str, str], list[int]]:
+    ranks = collections.defaultdict(list)
+    for rank, pair in enumerate(merges):
+        ranks[pair].append(rank)
+    return dict(ranks)
+
+
 def _changes(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
     """(pair, n) of the words that hold a merged pair: lost pairs count minus, new ones plus."""
-    seq, cnt = F.col("seq"), F.col("cnt")
-    touched = words.where(_holds(seq, merges)).select("cnt", "seq", _apply(seq, merges).alias("merged"))
-    rows = F.concat(_signed_pairs(seq, -cnt), _signed_pairs(F.col("merged"), cnt))
-    return touched.select(F.explode(rows).alias("p")).select("p.*")
+    ranks = _ranks(merges)
+
+    def changes(batches):
+        for batch in batches:
+            sums: collections.Counter = collections.Counter()
+            for seq, n in zip(batch.column("seq").to_pylist(), batch.column("cnt").to_pylist(), strict=True):
+                before = seq.split()
+                after = merge_symbols(before, ranks)
+                if len(after) < len(before):
+                    for pair in zip(before, before[1:]):
+                        sums[pair] -= n
+                    for pair in zip(after, after[1:]):
+                        sums[pair] += n
+            found = [(f"{left} {right}", n) for (left, right), n in sums.items() if n]
+            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.string()),
+                                              pa.array([f[1] for f in found], pa.int64())], names=["pair", "n"])
+    return words.mapInArrow(changes, "pair string, n bigint")
+
+
+def _rewritten(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """The words after the merges."""
+    ranks = _ranks(merges)
+
+    def rewrite(batches):
+        for batch in batches:
+            merged = [" ".join(merge_symbols(seq.split(), ranks)) for seq in batch.column("seq").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(merged, pa.string()), batch.column("cnt")], names=["seq", "cnt"])
+    return words.mapInArrow(rewrite, "seq string, cnt bigint")
 
 
 def _choose(top: list[tuple[str, int]], min_frequency: int, budget: int,
@@ -117,21 +164,6 @@ def _choose(top: list[tuple[str, int]], min_frequency: int, budget: int,
     return chosen
 
 
-def _holds(seq: Column, merges: list[tuple[str, str]]) -> Column:
-    """Words are kept with a space at both ends, so a pair is a plain substring."""
-    return functools.reduce(Column.__or__, (seq.contains(f" {left} {right} ") for left, right in merges))
-
-
-def _apply(seq: Column, merges: list[tuple[str, str]]) -> Column:
-    for left, right in merges:
-        if left == right:  # from left to right
-            seq = F.regexp_replace(seq, f"(?<=^| ){left} {right}(?= |$)", left + right)
-        else:  # neighbouring occurrences share a space: the second pass finds those between
-            for _ in range(2):
-                seq = F.replace(seq, F.lit(f" {left} {right} "), F.lit(f" {left}{right} "))
-    return seq
-
-
 def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, top_k: int = 2000,
               checkpoint_every: int = 8, max_rounds: int | None = None,
               max_per_round: int | None = None) -> list[tuple[str, str]]:
@@ -140,40 +172,28 @@ def train_bpe(words: DataFrame, vocab_size: int, min_frequency: int = 2, top_k:
     byte symbols and one token per merge, up to ``vocab_size``."""
     spark = words.sparkSession
     budget = vocab_size - len(SPECIAL_TOKENS) - N_BYTES
-    padded = F.concat(F.lit(" "), byte_symbols(F.col("pretoken")), F.lit(" "))
-    state = words.select(padded.alias("seq"), F.col("n").alias("cnt")).groupBy("seq").agg(F.sum("cnt").alias("cnt"))
-    state = state.repartition(max(spark.sparkContext.defaultParallelism, state.rdd.getNumPartitions()))
-    state = written(state, "bpe-words")
-    counts = _pairs(state).persist(StorageLevel.MEMORY_AND_DISK)
+    state = words.select(byte_symbols(F.col("pretoken")).alias("seq"), F.col("n").alias("cnt")).groupBy("seq").agg(
+        F.sum("cnt").alias("cnt"))
+    # dealt anew: whole words are few and the merging of each takes long
+    state = written(state.repartition(spark.sparkContext.defaultParallelism), "bpe-words")
+    counts = written(_pairs(state), "bpe-pairs")
     merges: list[tuple[str, str]] = []
+    pending: list[tuple[str, str]] = []  # merges since the tables were written
     rounds = 0
-    behind: list[DataFrame] = []  # tables that nothing still to be computed reads
-    words_before: DataFrame | None = None
     while len(merges) < budget and (max_rounds is None or rounds < max_rounds):
-        # makes this round's counts, and with them the words of the round before
-        top = [(r.pair, r.n) for r in counts.orderBy(F.desc("n"), F.asc("pair")).limit(top_k).collect()]
-        for old in behind:
-            old.unpersist()
+        if rounds and rounds % checkpoint_every == 0:
+            counts = written(_summed(counts.unionByName(_changes(state, pending))), "bpe-pairs")
+            state = written(_rewritten(state, pending), "bpe-words")
+            pending = []
+        now = _summed(counts.unionByName(_changes(state, pending))) if pending else counts
+        top = [(r.pair, r.n) for r in now.orderBy(F.desc("n"), F.asc("pair")).limit(top_k).collect()]
         room = budget - len(merges) if max_per_round is None else min(max_per_round, budget - len(merges))
         step = _choose(top, min_frequency, room, len(top) >= top_k)
         if not step:
             break
         merges.extend(step)
+        pending.extend(step)
         rounds += 1
-        # the next counts read these counts and words; the next words read these words
-        behind = [counts] + ([words_before] if words_before is not None else [])
-        words_before = state
-        counts = _summed(counts.unionByName(_changes(state, step)))
-        seq = F.col("seq")
-        state = state.select(F.when(_holds(seq, step), _apply(seq, step)).otherwise(seq).alias("seq"), "cnt")
-        if rounds % checkpoint_every == 0:
-            state, counts = written(state, "bpe-words"), written(counts, "bpe-pairs")
-        else:
-            # keep this round's tables so the next one does not replay the
-            # merges since the last checkpoint (recomputable from lineage)
-            state, counts = (f.persist(StorageLevel.MEMORY_AND_DISK) for f in (state, counts))
-    for old in behind + [f for f in (words_before, state, counts) if f is not None]:
-        old.unpersist()
     return merges
 
 

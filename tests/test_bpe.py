@@ -46,3 +46,28 @@ def test_encode_round_trips_bytes(spark):
         hexed = "".join(vocab[i] for i in r.ids)
         assert bytes.fromhex(hexed).decode("utf-8") == r.text
         assert len(r.ids) < len(r.text.encode("utf-8"))
+
+
+def test_merges_by_rank_equal_one_pass_per_merge():
+    merges = [("A", "A"), ("A", "B"), ("AA", "AB"), ("B", "C"), ("AB", "C")]
+    for word in ("A A A", "A A A B C", "C B A", "A B A B C", "A A A A B C B C", "", "A"):
+        want = word.split()
+        for left, right in merges:
+            out = []
+            for symbol in want:
+                out = [*out[:-1], left + right] if out and out[-1] == left and symbol == right else [*out, symbol]
+            want = out
+        assert bpe.merge_symbols(word.split(), bpe._ranks(merges)) == want
+
+
+def test_a_round_keeps_no_earlier_plan(spark, monkeypatch):
+    words, plans = _words(spark).persist(), []
+    inner = bpe._summed
+
+    def summed(rows):
+        plans.append(len(rows._jdf.queryExecution().toString()))
+        return inner(rows)
+    monkeypatch.setattr(bpe, "_summed", summed)
+    bpe.train_bpe(words, 261 + 24, 2, checkpoint_every=100, max_per_round=2)
+    words.unpersist()
+    assert len(plans) > 6 and max(plans[2:]) < 1.1 * min(plans[2:])
