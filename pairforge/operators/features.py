@@ -3,7 +3,7 @@
 Token ids come from a hashing vocabulary over words (ids 0-4 are the
 special tokens [PAD] [UNK] [CLS] [SEP] [MASK]); a trained BPE vocabulary
 (``pairforge.operators.bpe``) can be used instead.  Truncation, assembly,
-padding and masking are closed-form array expressions -- no Python per row.
+padding and masking are closed-form array expressions; only the masking draws of packed blocks are hashed in Python.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairforge.functions.hashing import dhash
+from pairforge.functions.hashing import dhash, position_hashes
 
 # Ids of the special tokens in the shipped vocabulary.
 PAD, UNK, CLS, SEP, MASK = 0, 1, 2, 3, 4
@@ -125,52 +125,61 @@ def pack_blocks(df: DataFrame, idx: str, ids: str, block: int = 512, batch_rows:
     """Concatenate the ids of each batch of ``batch_rows`` rows (in
     ``idx`` order), drop the remainder, cut into blocks of ``block``.
 
-    Every token learns its position in its batch from a running sum over the
-    batch's rows (a window over at most ``batch_rows`` row lengths), then
-    tokens are grouped by (batch, block): each group holds exactly
-    ``block`` tokens, whatever the document lengths.
+    Every row learns its position in its batch from a running sum over the
+    batch's rows (a window over at most ``batch_rows`` row lengths) and is cut
+    at the blocks' borders; the pieces are grouped by (batch, block): each
+    group holds exactly ``block`` tokens, whatever the document lengths.
 
-    With ``mask_seed`` set, each token also gets its masking draw
-    ``dhash(seed, 'batch/block', position)`` while it is an exploded row
-    (inside codegen); ``mlm_mask`` then only does array arithmetic.
+    With ``mask_seed`` set, each block also gets its tokens' masking draws
+    ``dhash(seed, 'batch/block', position)``, made where the block is.
     """
     b = df.select(F.floor(F.col(idx) / batch_rows).cast("bigint").alias("batch"), F.col(idx), F.col(ids))
     w = Window.partitionBy("batch").orderBy(idx)
     b = (b.withColumn("_len", F.size(ids))
           .withColumn("_off", F.coalesce(F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
           .withColumn("_use", F.floor(F.sum("_len").over(Window.partitionBy("batch")) / block) * block))
-    t = b.select("batch", "_off", "_use", F.posexplode(ids).alias("_pos", "_id"))
-    t = t.withColumn("_p", F.col("_off") + F.col("_pos")).filter(F.col("_p") < F.col("_use"))
-    t = t.withColumn("block", F.floor(F.col("_p") / block).cast("bigint"))
-    fields = [F.col("_p"), F.col("_id")]
+    end = F.least(F.col("_off") + F.col("_len"), F.col("_use"))
+    out = joined_pieces(b.select("batch", block_pieces(F.col(ids), F.col("_off"), end, block)), "batch", "block")
     if mask_seed is not None:
         key = F.concat_ws("/", F.col("batch").cast("string"), F.col("block").cast("string"))
-        fields.append(dhash(mask_seed, key, F.col("_p") - F.col("block") * block).alias("_r"))
-    g = t.groupBy("batch", "block").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_t"))
-    out = g.select("batch", "block", F.transform("_t", lambda s: s["_id"]).alias("input_ids"),
-                   *([F.transform("_t", lambda s: s["_r"]).alias("mask_draws")] if mask_seed is not None else []))
+        out = out.withColumn("mask_draws", position_hashes(mask_seed, key, F.size("input_ids")))
     return out
 
 
-def token_places(df: DataFrame, order_cols, ids: str, start: int = 0) -> DataFrame:
-    """``(p, id)``: the tokens of all rows with their places when the rows are joined in
-    ``order_cols`` order, counted from ``start``."""
+def block_pieces(ids: Column, first: Column, end: Column, block: int) -> Column:
+    """The ids at the places from ``first`` to ``end`` (exclusive), cut at multiples of ``block``:
+    one row ``p`` of (block, at, ids) for every block that they touch."""
+    first, end = first.cast("bigint"), end.cast("bigint")
+    number = lambda place: F.floor(place / block).cast("bigint")
+
+    def piece(k: Column) -> Column:
+        at = F.greatest(k * block, first)
+        size = F.least((k + 1) * block, end) - at
+        return F.struct(k.alias("block"), at.alias("at"),
+                        F.slice(ids, (at - first + 1).cast("int"), size.cast("int")).alias("ids"))
+    touched = F.when(end > first, F.sequence(number(first), number(end - 1)))
+    return F.explode(F.transform(touched, piece)).alias("p")
+
+
+def joined_pieces(pieces: DataFrame, *keys: str) -> DataFrame:
+    """``(*keys, input_ids)``: the pieces ``p`` of each block, joined in order of place."""
+    rows = pieces.select(*(k for k in keys if k != "block"), "p.*")
+    return rows.groupBy(*keys).agg(ids_in_order().alias("input_ids"))
+
+
+def placed_pieces(df: DataFrame, order_cols, ids: str, start: int = 0, block: int = 512) -> DataFrame:
+    """Pieces ``p`` of all rows' ids, with their places when the rows are joined in ``order_cols``
+    order, counted from ``start``."""
     from pairforge.operators.index import running_offset
     rows = df.select(*order_cols, F.col(ids).alias("_ids")).withColumn("_len", F.size("_ids"))
     placed = running_offset(rows, order_cols, "_len", "_off")
-    tokens = placed.select((F.lit(start) + F.col("_off")).alias("_off"), F.posexplode("_ids").alias("_pos", "id"))
-    return tokens.select((F.col("_off") + F.col("_pos")).alias("p"), "id")
+    first = F.lit(start) + F.col("_off")
+    return placed.select(block_pieces(F.col("_ids"), first, first + F.col("_len"), block))
 
 
 def ids_in_order() -> Column:
-    """The ids of grouped ``(p, id)`` rows, by place."""
-    return F.transform(F.array_sort(F.collect_list(F.struct("p", "id"))), lambda t: t["id"])
-
-
-def place_blocks(tokens: DataFrame, block: int = 512) -> DataFrame:
-    """Z10 over a whole sequence: ``(block, input_ids)``, cut at multiples of ``block``."""
-    number = F.floor(F.col("p") / block).cast("bigint").alias("block")
-    return tokens.groupBy(number).agg(ids_in_order().alias("input_ids"))
+    """The ids of grouped ``(at, ids)`` pieces, by place."""
+    return F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda t: t["ids"]))
 
 
 def mlm_mask(ids: Column, key: Column, seed=42, prob: float = 0.15, vocab_size: int = HASH_VOCAB + N_SPECIAL,

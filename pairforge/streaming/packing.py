@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from pairforge.operators.features import ids_in_order, place_blocks, token_places
+from pairforge.operators.features import block_pieces, ids_in_order, joined_pieces, placed_pieces
 from pairforge.session import written
 from pairforge.sources.corpus import read_or_empty
 
@@ -32,15 +32,16 @@ def pack_batch(batch: DataFrame, order_cols: list[str], out: str, name: str, blo
     last = carries.orderBy(F.desc("batch")).limit(1).collect()  # fewer tokens than a block
     start, ids = (last[0].start, last[0].ids) if last else (0, [])
     rows = batch.where(F.size("ids") > 0).select(*order_cols, "ids")
-    tokens = token_places(rows, order_cols, "ids", start + len(ids))
-    before = spark.createDataFrame([(start + k, i) for k, i in enumerate(ids)], "p bigint, id int")
-    tokens = written(before.unionByName(tokens.select("p", F.col("id").cast("int").alias("id"))), "tokens")
-    end = tokens.agg(F.max("p")).first()[0]
-    end = start if end is None else end + 1
+    pieces = placed_pieces(rows, order_cols, "ids", start + len(ids), block)
+    carried = spark.createDataFrame([(start, ids)], "start bigint, ids array<int>").select(
+        block_pieces(F.col("ids"), F.col("start"), F.col("start") + F.size("ids"), block))
+    pieces = written(carried.unionByName(pieces), "pieces")
+    end = pieces.agg(F.max(F.col("p.at") + F.size("p.ids"))).first()[0]
+    end = start if end is None else end
     whole = end // block * block
-    place_blocks(tokens.where(F.col("p") < whole), block).write.mode("overwrite").parquet(
+    joined_pieces(pieces.where(F.col("p.at") < whole), "block").write.mode("overwrite").parquet(
         os.path.join(out, "blocks", f"batch={name}"))
-    rest = tokens.where(F.col("p") >= whole).agg(ids_in_order().alias("ids"))
+    rest = pieces.where(F.col("p.at") >= whole).select("p.*").agg(ids_in_order().alias("ids"))
     rest.select(F.lit(whole).cast("bigint").alias("start"), "ids").write.mode("overwrite").parquet(
         os.path.join(out, "carry", f"batch={name}"))  # the state, last
 

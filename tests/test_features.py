@@ -2,6 +2,7 @@ import itertools
 
 from pyspark.sql import functions as F
 
+from pairforge.functions.hashing import dhash
 from pairforge.operators import features as Z
 
 
@@ -77,3 +78,18 @@ def test_dynamic_pad_multiple_of_8(spark):
         assert r.padded_len % 8 == 0 and len(r.ids) == r.padded_len
     assert Z.block_size(None) == 1024 and Z.block_size(512) == 512 and Z.block_size(4096, 1024) == 1024
 
+
+
+def test_blocks_are_shuffled_as_pieces(spark):
+    rows = [(k, [k * 100 + j for j in range(n)]) for k, n in enumerate((3, 40, 2, 2, 17, 90, 5))]
+    df = spark.createDataFrame([*rows, (7, None)], "idx bigint, ids array<int>")
+    packed = Z.pack_blocks(df, "idx", "ids", block=16, batch_rows=4, mask_seed=5)
+    want = {}
+    for batch in (0, 1):
+        flat = [i for k, ids in rows if k // 4 == batch for i in ids]
+        want |= {(batch, b): flat[b * 16:(b + 1) * 16] for b in range(len(flat) // 16)}
+    got = packed.collect()
+    assert {(r.batch, r.block): r.input_ids for r in got} == want
+    draws = packed.select(F.posexplode("mask_draws").alias("i", "r"), dhash(5, F.concat_ws("/", "batch", "block"), "i").alias("d"))
+    assert draws.where("r = d").count() == sum(map(len, want.values())) == draws.count()
+    assert "posexplode" not in packed._jdf.queryExecution().optimizedPlan().toString()
