@@ -5,15 +5,20 @@ only word characters, slide a 4-character window, hash every shingle with
 md5 and keep its low 64 bits; bit i of the fingerprint is 1 when more
 shingle occurrences have that bit set than unset.
 
-The shingles of a document are exploded inside the task that reads it and
-folded by a hash aggregate keyed by document, so the partial aggregate is
-already one row per document before any shuffle.  The fingerprint is
+The shingles of a row are counted inside the task that reads it, by an Arrow
+function that hashes every distinct shingle once; a row leaves it as 64 sums,
+and the rows of a document are summed.  The fingerprint is
 returned as two 32-bit halves so every engine can compare it in plain
 integers.
 """
 
 from __future__ import annotations
 
+import collections
+import hashlib
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,26 +29,54 @@ from pairforge.operators.index import group_index
 WORD_CHARS_RX = r"[^\p{L}\p{N}_]"
 SHINGLE = 4
 BITS = 64
+DIGEST_CACHE = 200_000
 NEAR_DUPLICATE_MAX = 10   # distance <= 10 is rejected
 MAX_REJECTS = 25          # give up after more than 25 rejects in a row
 
 
+class _Digests(dict):
+    """shingle -> the low 64 bits of its md5 (big-endian), computed once per worker for frequent shingles."""
+
+    def __missing__(self, shingle: str) -> bytes:
+        value = hashlib.md5(shingle.encode()).digest()[8:]
+        if len(self) >= DIGEST_CACHE:
+            self.clear()
+        if len(shingle) <= SHINGLE:
+            self[shingle] = value
+        return value
+
+
+_DIGESTS = _Digests()
+
+
+def bit_votes(content: str | None) -> np.ndarray:
+    """Of every bit (0 first) the shingle occurrences that have it set minus those that have it
+    unset.  Shorter content is a single shingle; null has none."""
+    if content is None:
+        return np.zeros(BITS, dtype=np.int64)
+    found = collections.Counter(content[i:i + SHINGLE] for i in range(max(len(content) - SHINGLE, 0) + 1))
+    digests = np.frombuffer(b"".join(map(_DIGESTS.__getitem__, found)), dtype=np.uint8).reshape(-1, BITS // 8)
+    counts = np.fromiter(found.values(), dtype=np.float64, count=len(found))  # exact below 2**53
+    ones = counts @ np.unpackbits(digests, axis=1).astype(np.float64)
+    return (2 * ones - counts.sum()).astype(np.int64)[::-1]
+
+
+def _votes(batches):
+    for batch in batches:
+        votes = [bit_votes(content) for content in batch.column("_c").to_pylist()]
+        flat = np.concatenate(votes) if votes else np.empty(0, dtype=np.int64)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(votes) + 1, dtype=np.int32) * BITS), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([batch.column("_k"), lists], names=["_k", "_v"])
+
+
 def simhash(df: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, fp_hi, fp_lo)``: the 64-bit fingerprint as two 32-bit halves."""
     content = F.regexp_replace(F.lower(F.col(text)), WORD_CHARS_RX, "")
     c = df.select(F.col(key), content.alias("_c"))
-    # All overlapping 4-grams from one JVM regex pass (a zero-width lookahead
-    # match at every position); shorter content is a single shingle.  Only
-    # the shingles are exploded -- carrying the text into every exploded row
-    # would copy it once per character.
-    shingles = F.when(F.length("_c") >= SHINGLE,
-                      F.regexp_extract_all(F.col("_c"), F.lit(f"(?=(.{{{SHINGLE}}}))"), 1)
-                      ).otherwise(F.array(F.col("_c")))
-    sh = c.select(key, F.explode(shingles).alias("_s")).select(key, F.md5("_s").alias("_h"))
-    # the low 64 bits of the md5 as one signed long (conv to base -10)
-    sh = sh.select(key, F.conv(F.substring("_h", 17, 16), 16, -10).cast("bigint").alias("_v"))
-    sums = [F.sum(F.shiftright(F.col("_v"), i).bitwiseAND(1) * 2 - 1).alias(f"_s{i}") for i in range(BITS)]
-    agg = sh.groupBy(key).agg(*sums)
+    kind = df.schema[key].dataType.simpleString()
+    votes = c.select(F.col(key).alias("_k"), "_c").mapInArrow(_votes, f"_k {kind}, _v array<bigint>")
+    sums = [F.sum(F.get("_v", F.lit(i))).alias(f"_s{i}") for i in range(BITS)]
+    agg = votes.groupBy(F.col("_k").alias(key)).agg(*sums)
 
     def pack(lo: int) -> Column:
         out = F.lit(0).cast("bigint")

@@ -79,3 +79,18 @@ def test_partner_needs_both_sides(spark):
                                   "codehash string, selector int, text string")
     got = pairs.pos_neg_pairs(src, dec.unionByName(extra), seed=4).collect()
     assert got and all(r.codehash2 != "zzz" for r in got)
+
+
+def test_fingerprints_count_every_shingle_by_code_points(spark):
+    import hashlib
+    texts = ["The \U00010400\U00010401 cat, the cat!", "", "ab", "aaaaaaaa", "!?", None]
+    df = spark.createDataFrame([*enumerate(texts), (0, "more of it")], "id int, text string")
+
+    def shingles(text):
+        c = "".join(x for x in text.lower() if x.isalnum() or x == "_")
+        return [int(hashlib.md5(c[i:i + 4].encode()).hexdigest()[16:], 16) for i in range(max(len(c) - 3, 1))]
+    for r in simhash.simhash(df, "id", "text").collect():
+        found = [v for k, t in [*enumerate(texts), (0, "more of it")] if k == r.id and t is not None for v in shingles(t)]
+        want = sum(1 << i for i in range(64) if sum((v >> i & 1) * 2 - 1 for v in found) > 0)
+        assert (r.fp_hi, r.fp_lo) == (want >> 32, want & (1 << 32) - 1)
+    assert "explode" not in simhash.simhash(df, "id", "text")._jdf.queryExecution().optimizedPlan().toString()
