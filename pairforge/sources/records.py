@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairforge.functions.text import (RECORD_DELIM, newline_to_space, py_strip,
+from pairforge.functions.text import (RECORD_DELIM, delimiters, newline_to_space, py_strip,
                                       remove_line_breaks, split_keep_empty)
 
 PAIR_FIELDS = ("label", "codehash1", "codehash2", "func1", "func2")
@@ -20,14 +20,15 @@ PAIR_FIELDS = ("label", "codehash1", "codehash2", "func1", "func2")
 def encode_records(df: DataFrame, fields=PAIR_FIELDS, delim: str = RECORD_DELIM,
                    out: str = "value") -> DataFrame:
     """K1: one text line per row plus an ``error`` column (NULL when clean)."""
-    # line breaks go first: what they split may be the delimiter
-    cols = [remove_line_breaks(F.coalesce(F.col(f).cast("string"), F.lit(""))) for f in fields]
-    clash = F.lit(False)
-    for c in cols:
-        clash = clash | c.contains(delim)
-    line = F.concat_ws(delim, *cols)
-    # a field's end and the next delimiter may spell another one
-    clash = clash | (F.size(split_keep_empty(line, delim)) != len(fields))
+    raw = [F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields]
+    # line breaks go first: what they split may be the delimiter.  The delimiter has none,
+    # so the joined line is cleaned once.
+    line = remove_line_breaks(F.concat_ws(delim, *raw))
+    # one more in a field, or spelled by a field's end and the next delimiter
+    clash = delimiters(line, delim) != len(fields) - 1
+    if any(delim.endswith(delim[:k]) for k in range(1, len(delim))):  # it may overlap itself: look into the fields too
+        for c in raw:
+            clash = clash | remove_line_breaks(c).contains(delim)
     return df.select("*", line.alias(out),
                      F.when(clash, F.lit("delimiter_in_field")).alias("error"))
 
@@ -36,8 +37,8 @@ def decode_lenient(lines: DataFrame, value: str = "value", delim: str = RECORD_D
                    n_fields: int = 5, names=PAIR_FIELDS, keep=()) -> DataFrame:
     """Strip, split, keep rows with exactly ``n_fields`` fields (all strings), and
     the columns ``keep`` beside them."""
-    parts = split_keep_empty(py_strip(F.col(value)), delim)
-    tmp = lines.select("*", parts.alias("_parts")).filter(F.size("_parts") == n_fields)
+    line = py_strip(F.col(value))
+    tmp = lines.filter(delimiters(line, delim) == n_fields - 1).select("*", split_keep_empty(line, delim).alias("_parts"))
     return tmp.select(*keep, *[F.col("_parts")[i].alias(names[i]) for i in range(n_fields)])
 
 

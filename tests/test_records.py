@@ -40,3 +40,20 @@ def test_strict_reader_modes(spark):
         records.decode_strict(df, mode="failfast").collect()
     with pytest.raises(ValueError):
         records.decode_strict(df, mode="bogus")
+
+
+def test_records_are_cleaned_and_stripped_once(spark):
+    fields = [("a |", "b", None), ("a|\n|", "b", "c"), ("a", "b", "c"), ("x|", "|y", "")]
+    df = spark.createDataFrame(fields, "codehash1 string, func1 string, func2 string")
+    # a delimiter that may overlap itself, and one that may not
+    for delim in ("||", "|"):
+        got = records.encode_records(df, ("codehash1", "func1", "func2"), delim).collect()
+        clean = [["".join((f or "").splitlines()) for f in row] for row in fields]
+        assert [r.value for r in got] == [delim.join(c) for c in clean]
+        assert [k for k, r in enumerate(got) if r.error] == [
+            k for k, c in enumerate(clean) if any(delim in f for f in c) or len(delim.join(c).split(delim)) != 3], delim
+    rows = ["\x1f　 1<CODESPLIT>a<CODESPLIT><CODESPLIT>f<CODESPLIT>g  \x85", "<CODESPLIT>" * 4, "<CODESPLIT>" * 5]
+    got = records.decode_lenient(spark.createDataFrame([(x,) for x in rows], "value string"))
+    assert [tuple(r) for r in got.collect()] == [("1", "a", "", "f", "g"), ("",) * 5]
+    once = records.encode_records(df, ("codehash1", "func1", "func2"))._jdf.queryExecution().analyzed().toString()
+    assert once.count("regexp_replace") == 2  # the line, and the line in its check
