@@ -75,3 +75,17 @@ def test_nothing_to_read(spark, tmp_path):
     os.makedirs(tmp_path / "files")
     assert corpus.read_new_files(spark, str(tmp_path / "files"), str(tmp_path / "out")) == 0
     assert contracts.current_functions(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_the_folder_is_listed_once_for_all_batches(spark, tmp_path, monkeypatch):
+    root, out, listed = str(tmp_path / "files"), str(tmp_path / "out"), []
+    for k in range(5):
+        _put(root, f"f{k}.json", _contract(f"g{k}"), f"0x{k}")
+    inner = corpus.file_manifest
+
+    def manifest(*given):
+        listed.append(given)
+        return inner(*given)
+    monkeypatch.setattr(corpus, "file_manifest", manifest)
+    assert corpus.read_new_files(spark, root, out, batch_files=2) == 3 and len(listed) == 1
+    assert spark.read.parquet(f"{out}/sources").count() == 5
