@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 from pairforge.functions.text import drop_non_ascii, fixed_point
 
 
+#: rows of one csv file at most
+CSV_ROWS = 10_000
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "append") -> None:
     """K2 (and K3 with ``partitionBy('split')``): every row is written, no tail is lost."""
     df.write.mode(mode).json(path)
@@ -35,7 +39,8 @@ def write_split_files(df: DataFrame, folder: str, ext: str, names: list[str], sp
         if ext == "txt":
             part.select("text").write.mode("overwrite").text(out[name])
         elif ext == "csv":
-            part.write.mode("overwrite").options(**CSV).csv(out[name])
+            # a csv file with line breaks in its fields is read by one task
+            part.write.mode("overwrite").options(**CSV).option("maxRecordsPerFile", CSV_ROWS).csv(out[name])
         else:
             part.write.mode("overwrite").json(out[name])
     return out

@@ -91,3 +91,15 @@ def test_stream_resumes_and_continues_ids(spark):
     assert got.count() == 130 and sorted(r.id for r in got.collect()) == list(range(130))
     new_ids = sorted(r.id for r in got.filter(F.col("event_id") >= 100).collect())
     assert new_ids == list(range(100, 130))
+
+
+def test_csv_files_of_a_split_are_bounded(spark, tmp_path, monkeypatch):
+    import glob
+
+    from pairforge.sources import datasets, writers
+    monkeypatch.setattr(writers, "CSV_ROWS", 10)
+    df = spark.range(0, 35, 1, 1).selectExpr("'train' AS split", "id", "concat('a\n\"', id) AS text")
+    files = writers.write_split_files(df, str(tmp_path), "csv", ["train"])
+    assert len(glob.glob(f"{files['train']}/part-*.csv")) == 4
+    back = datasets.load_splits(spark, files, df.drop("split").schema)
+    assert sorted((r.id, r.text) for r in back.collect()) == sorted((r.id, r.text) for r in df.collect())
