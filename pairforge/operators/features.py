@@ -138,6 +138,7 @@ def pack_blocks(df: DataFrame, idx: str, ids: str, block: int = 512, batch_rows:
     b = (b.withColumn("_len", F.size(ids))
           .withColumn("_off", F.coalesce(F.sum("_len").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
           .withColumn("_use", F.floor(F.sum("_len").over(Window.partitionBy("batch")) / block) * block))
+    b = b.where("_len > 0")  # a row without ids has no pieces
     end = F.least(F.col("_off") + F.col("_len"), F.col("_use"))
     out = joined_pieces(b.select("batch", block_pieces(F.col(ids), F.col("_off"), end, block)), "batch", "block")
     if mask_seed is not None:

@@ -82,11 +82,12 @@ def test_dynamic_pad_multiple_of_8(spark):
 
 def test_blocks_are_shuffled_as_pieces(spark):
     rows = [(k, [k * 100 + j for j in range(n)]) for k, n in enumerate((3, 40, 2, 2, 17, 90, 5))]
-    df = spark.createDataFrame([*rows, (7, None)], "idx bigint, ids array<int>")
+    rows = [(k, None if k == 2 else ids) for k, ids in rows]
+    df = spark.createDataFrame([*rows, (7, [])], "idx bigint, ids array<int>")
     packed = Z.pack_blocks(df, "idx", "ids", block=16, batch_rows=4, mask_seed=5)
     want = {}
     for batch in (0, 1):
-        flat = [i for k, ids in rows if k // 4 == batch for i in ids]
+        flat = [i for k, ids in rows if k // 4 == batch for i in ids or []]
         want |= {(batch, b): flat[b * 16:(b + 1) * 16] for b in range(len(flat) // 16)}
     got = packed.collect()
     assert {(r.batch, r.block): r.input_ids for r in got} == want
