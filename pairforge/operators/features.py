@@ -1,13 +1,15 @@
-"""Sequence featurisation (Z2-Z12, J12) with array expressions only.
+"""Sequence featurisation.
 
 Token ids come from a hashing vocabulary over words (ids 0-4 are the
 special tokens [PAD] [UNK] [CLS] [SEP] [MASK]); a trained BPE vocabulary
-(``pairforge.operators.bpe``) can be used instead.  Truncation, assembly,
-padding and masking are closed-form array expressions; only the masking draws of packed blocks are hashed in Python.
+(``pairforge.operators.bpe``) can be used instead.  Truncation, assembly and
+padding are closed-form array expressions; masked-LM corruption works on Arrow batches.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -191,20 +193,27 @@ def mlm_mask(ids: Column, key: Column, seed=42, prob: float = 0.15, vocab_size:
     10 % a random id, 10 % stay.  Labels are the original id at chosen
     positions and -100 elsewhere.
     """
-    sp = F.array(*[F.lit(s) for s in specials])
-    thresh = int(round(prob * 10000))
-    # One hash per position (precomputed by pack_blocks when given), zipped with the ids.
-    rs = draws if draws is not None else F.transform(ids, lambda x, i: dhash(seed, key, i))
-    z = F.arrays_zip(ids.alias("x"), rs.alias("r"))
-
-    def chosen(e):
-        return (~F.array_contains(sp, e["x"])) & (e["r"] % 10000 < thresh)
-
-    def kind(e):  # integer shifts: a 60-bit hash does not survive double division
-        return F.shiftright(e["r"], 14) % 10
-
-    inputs = F.transform(z, lambda e: F.when(chosen(e) & (kind(e) < 8), F.lit(MASK))
-                         .when(chosen(e) & (kind(e) == 8), (F.shiftright(e["r"], 24) % vocab_size).cast("int"))
-                         .otherwise(e["x"]))
-    labels = F.transform(z, lambda e: F.when(chosen(e), e["x"]).otherwise(F.lit(-100)))
-    return inputs, labels
+    # One hash per position (precomputed by pack_blocks when given).
+    rs = draws if draws is not None else position_hashes(seed, key, F.size(ids))
+    masked = _corruption(int(round(prob * 10000)), vocab_size, specials)(ids, rs)
+    return masked["inputs"], masked["labels"]
+
+
+def _corruption(thresh: int, vocab_size: int, specials):
+    """A column function of ids and draws: the masked-LM inputs and labels of whole Arrow batches."""
+    @F.pandas_udf("inputs array<int>, labels array<int>")
+    def corrupt(ids: pd.Series, draws: pd.Series) -> pd.DataFrame:
+        inputs, labels = [], []
+        for x, r in zip(ids, draws):
+            if x is None or r is None:
+                inputs.append(None)
+                labels.append(None)
+                continue
+            x, r = np.asarray(x, dtype=np.int32), np.asarray(r, dtype=np.int64)
+            chosen = ~np.isin(x, specials) & (r % 10000 < thresh)
+            kind = (r >> 14) % 10
+            inputs.append(np.where(chosen & (kind < 8), np.int32(MASK),
+                                   np.where(chosen & (kind == 8), (r >> 24) % vocab_size, x)).astype(np.int32))
+            labels.append(np.where(chosen, x, np.int32(-100)))
+        return pd.DataFrame({"inputs": pd.Series(inputs, dtype=object), "labels": pd.Series(labels, dtype=object)})
+    return corrupt

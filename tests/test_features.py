@@ -94,3 +94,18 @@ def test_blocks_are_shuffled_as_pieces(spark):
     draws = packed.select(F.posexplode("mask_draws").alias("i", "r"), dhash(5, F.concat_ws("/", "batch", "block"), "i").alias("d"))
     assert draws.where("r = d").count() == sum(map(len, want.values())) == draws.count()
     assert "posexplode" not in packed._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_masking_hashes_a_position_once_and_keeps_nulls(spark):
+    df = spark.createDataFrame([("a", [7, 8, 3, 9] * 50), ("b", None), ("c", [])], "k string, ids array<int>")
+    inputs, labels = Z.mlm_mask(F.col("ids"), F.col("k"), seed=3)
+    masked = df.select("k", "ids", inputs.alias("i"), labels.alias("l"))
+    got = {r.k: r for r in masked.collect()}
+    assert got["b"].i is None and got["b"].l is None and got["c"].i == got["c"].l == []
+    r = df.select("k", F.posexplode("ids").alias("p", "x")).select("p", "x", dhash(3, "k", "p").alias("r")).collect()
+    chosen = {t.p for t in r if t.x > 4 and t.r % 10000 < 1500}
+    assert {p for p, x in enumerate(got["a"].l) if x != -100} == chosen and chosen
+    want = [4 if p in chosen and (t.r >> 14) % 10 < 8 else (t.r >> 24) % 30005 if p in chosen and (t.r >> 14) % 10 == 8 else t.x
+            for p, t in enumerate(sorted(r, key=lambda t: t.p))]
+    assert got["a"].i == want
+    assert "md5(" not in masked._jdf.queryExecution().optimizedPlan().toString()
