@@ -16,6 +16,7 @@ from pairforge.functions.hashing import keccak_selector
 from pairforge.operators import extract as X
 from pairforge.operators import pairs
 from pairforge.plans.registry import query
+from pairforge.session import written
 from pairforge.sources import records
 from pairforge.sources.tables import load
 
@@ -119,8 +120,10 @@ def linearize_pair_splits(spark, sf_dir):
     from pairforge.operators.index import dense_index
     s, d = extracted(spark, sf_dir)
     pn = pairs.pos_neg_pairs(s.select("codehash", "selector", "text"), d.select("codehash", "selector", "text"))
-    lin = L.linearize_pairs(pn, ["func1", "func2"], mode="append")
+    # written once: numbering, split and counts each read it, and would make the pairs' joins anew
+    lin = written(L.linearize_pairs(pn, ["func1", "func2"], mode="append"), "linear-pairs")
     good = dense_index(lin.filter(F.col("error").isNull()), ["codehash1", "selector1"], "id")
+    good = written(good.select("id", "label"), "linear-ids")
     sp = splits.ordered_split(good, ["id"])
     ok = sp.groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
     bad = lin.filter(F.col("error").isNotNull()).groupBy(F.lit("quarantine").alias("split"), "label").agg(

@@ -64,3 +64,22 @@ def test_pairs_need_both_sides(spark):
     ok = [r for r in got if r.error is None]
     assert len(ok) == 1 and ok[0].func1 == "function a() public { x = 1; } function a(){x=1}"
     assert len([r for r in got if r.error]) == 1
+
+
+def test_pairs_are_linearised_once(spark, tmp_path, monkeypatch):
+    from pairforge.plans.extraction import linearize_pair_splits
+    rows = [(c, t, f"text {c} {t}") for c in range(12) for t in range(4)]
+    spark.createDataFrame(rows, "conv_id bigint, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    seen, inner = spark.sparkContext.accumulator(0), L.linearize_pairs
+
+    def counted(df, cols, mode="replace"):
+        def count(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+        out = inner(df, cols, mode)
+        return out.mapInArrow(count, out.schema)
+    monkeypatch.setattr(L, "linearize_pairs", counted)
+    got = linearize_pair_splits(spark, str(tmp_path)).collect()
+    sizes = {s: sum(r.n for r in got if r.split == s) for s in ("train", "valid", "test")}
+    assert sizes == {"train": 8, "valid": 2, "test": 2} and seen.value == 12
