@@ -8,6 +8,7 @@ without source.  Both jobs must give the functions of each contract's last file.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairforge.operators import extract as X
@@ -24,8 +25,9 @@ _LONG = ("contract D { function data(uint a) public returns (bytes memory) { x =
          + "\"; y = x; z = y; return z; } }")
 
 
-def write_corpus(spark, sf_dir, folder: str) -> None:
-    """One file per row of ``value``, below a folder per wave and contract."""
+def write_corpus(spark, sf_dir, folder: str) -> DataFrame:
+    """One file per row of ``value``, below a folder per wave; returns the files' waves.  A
+    folder per contract would have to be made, committed and listed one by one."""
     src, _ = derived_contracts(spark, sf_dir)
     last = F.substring("codehash", -1, 1)
 
@@ -37,9 +39,12 @@ def write_corpus(spark, sf_dir, folder: str) -> None:
                                   (last.isin(*REPLACED), contract([F.replace("text", F.lit("total"), F.lit("supply")), F.lit(_LONG)], "2")),
                                   (last == BROKEN, (F.concat(F.lit("{ broken "), "codehash"), "3")),
                                   (last == EMPTY, (F.to_json(F.struct(F.concat("codehash", F.lit("x")).alias("codehash"))), "3"))):
-        part = src.where(wanted).select(F.lit(wave).alias("wave"), F.col("codehash").alias("h"), value.alias("value"))
+        part = src.where(wanted).select(F.lit(wave).alias("wave"), value.alias("value"))
         rows = part if rows is None else rows.unionByName(part)
-    rows.write.partitionBy("wave", "h").text(folder)
+    # tasks move their own files into place; the folder is read only after the whole job succeeded
+    (rows.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2)
+     .partitionBy("wave").text(folder))
+    return rows.select("wave")
 
 
 _CORPUS_SQL = f"""{_SRC_SQL.replace('src AS (', 'first_files AS (', 1)},
@@ -80,7 +85,6 @@ def corpus_stream(spark, sf_dir):
     """R1 + R2 with X1-X7: the same files as a stream; a contract's later file replaces what an
     earlier batch extracted, and the result is the batch job's."""
     folder, out = scratch_path(spark, "corpus"), scratch_path(spark, "corpus-stream")
-    write_corpus(spark, sf_dir, folder)
-    files = corpus.file_manifest(spark, folder, "*.txt").count()
+    files = write_corpus(spark, sf_dir, folder).count()
     contracts.take_in(spark, folder, out, f"{out}-checkpoint", "*.txt", files_per_batch=max(1, -(-files // 3)))
     return _rows(contracts.current_functions(spark, out), contracts.file_statuses(spark, out))

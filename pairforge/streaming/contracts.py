@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from pairforge.operators.extract import extract_functions, last_definition
 from pairforge.operators.index import dense_index
-from pairforge.sources.corpus import (CONTRACT_SCHEMA, READ_OPTIONS, file_status, joined_sources, last_file,
-                                      read_or_empty)
+from pairforge.sources.corpus import (CONTRACT_SCHEMA, READ_OPTIONS, file_status, last_file, read_or_empty,
+                                      source_text)
 from pairforge.session import written
 
 OWNERS = "codehash string, file_path string, n bigint, batch string"
@@ -43,7 +43,10 @@ def take_in(spark: SparkSession, source_dir: str, out: str, checkpoint: str, glo
         session = batch.sparkSession
         before = read_or_empty(session, os.path.join(out, "owners"), OWNERS).where(F.col("batch") < name)
         known = before.groupBy("codehash").agg(F.max("file_path").alias("known"))
-        news = last_file(joined_sources(batch))
+        # the batch's files are opened once; what follows reads the written table
+        files = written(batch.select("file_path", "codehash", file_status().alias("status"),
+                                     source_text().alias("text")), "files")
+        news = last_file(files.where("status = 'ok'").select("codehash", "text", "file_path"))
         news = written(news.join(known, "codehash", "left").where(
             F.col("known").isNull() | (F.col("file_path") > F.col("known"))).drop("known"), "contracts")
         functions = last_definition(extract_functions(news, "codehash", "text", side))
@@ -53,7 +56,7 @@ def take_in(spark: SparkSession, source_dir: str, out: str, checkpoint: str, glo
         numbered = dense_index(functions, ["codehash", "pos"], "_k").withColumn("id", F.col("_k") + start)
         columns = [c.split()[0] for c in FUNCTIONS.split(", ")[:-1]]
         numbered.select(*columns).write.mode("overwrite").parquet(os.path.join(out, "functions", f"batch={name}"))
-        statuses = batch.select("file_path", file_status().alias("status"))
+        statuses = files.select("file_path", "status")
         statuses.write.mode("overwrite").parquet(os.path.join(out, "files", f"batch={name}"))
         counts = functions.groupBy("codehash").agg(F.count(F.lit(1)).alias("n"))
         owners = news.select("codehash", "file_path").join(counts, "codehash", "left").select(

@@ -89,3 +89,16 @@ def test_the_folder_is_listed_once_for_all_batches(spark, tmp_path, monkeypatch)
     monkeypatch.setattr(corpus, "file_manifest", manifest)
     assert corpus.read_new_files(spark, root, out, batch_files=2) == 3 and len(listed) == 1
     assert spark.read.parquet(f"{out}/sources").count() == 5
+
+
+def test_files_lie_below_their_wave(spark, tmp_path):
+    """A folder per contract cost a folder's making, commit and listing each."""
+    from pairforge.plans.corpus import write_corpus
+    rows = [(c, t, f"text {c} {t}") for c in range(40) for t in range(2)]
+    spark.createDataFrame(rows, "conv_id bigint, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    files = write_corpus(spark, str(tmp_path), str(tmp_path / "corpus")).count()
+    found = [p.relative_to(tmp_path / "corpus") for p in (tmp_path / "corpus").rglob("part-*.txt")]
+    assert len(found) == files > 40
+    assert {str(p.parent) for p in found} == {"wave=1", "wave=2", "wave=3"}
+    texts = [p.read_text() for p in (tmp_path / "corpus" / "wave=1").glob("*.txt")]
+    assert len({json.loads(t)["codehash"] for t in texts}) == len(texts) == 40
