@@ -477,3 +477,26 @@ def test_licence_weights_count_all_texts(spark):
     weights = licences.document_frequencies(files, {"X": ["the license"]})
     expected = [math.log(32 / 31) + 1, math.log(32) + 1, math.log(32 / 31) + 1, math.log(32 / 11) + 1]
     assert weights.of([b"license", b"the", b"common", b"word1"]) == pytest.approx(expected)
+
+
+def test_bytes_are_scanned_in_bounded_slices():
+    texts = [f"{k} " * 3000 for k in range(1000, 2500)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    parts = list(suffix_dedup._scan(iter([batch])))
+    assert len(parts) > 2 and max(p.num_rows for p in parts) * 15_000 < 2 * common.SLICE_BYTES
+    assert [i for p in parts for i in p.column("doc_id").to_pylist()] == list(range(len(texts)))
+    assert [n for p in parts for n in p.column("n_bytes").to_pylist()] == [len(t) for t in texts]
+    assert list(suffix_dedup._scan(iter([batch.slice(0, 0)]))) == []
+
+
+def test_flagged_keys_made_by_the_packing_worker(spark):
+    from pairforge.llm.flags import flagged_keys
+    sets = spark.createDataFrame([(1, [5, 6]), (2, [6, 7]), (3, [8]), (4, [7, 9])], "doc_id bigint, keys array<bigint>")
+
+    def given(batches):
+        yield from batches
+    for later in (False, True):
+        plain, made = (flagged_keys(sets, 7, later, **how) for how in ({}, {"made": given}))
+        assert {r.doc_id: sorted(r["keys"]) for r in plain.collect()} == {r.doc_id: sorted(r["keys"]) for r in made.collect()}
+    plan = made._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") == 1
