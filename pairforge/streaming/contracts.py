@@ -24,6 +24,9 @@ from pairforge.sources.corpus import (CONTRACT_SCHEMA, READ_OPTIONS, file_status
                                       source_text)
 from pairforge.session import written
 
+LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+#: tasks that list a batch's paths, for each slot
+LISTING_TASKS = 8
 OWNERS = "codehash string, file_path string, n bigint, batch string"
 STATUSES = "file_path string, status string, batch string"
 FUNCTIONS = ("id bigint, codehash string, file_path string, pos int, name string, signature string, selector string, "
@@ -64,8 +67,15 @@ def take_in(spark: SparkSession, source_dir: str, out: str, checkpoint: str, glo
         owners.write.mode("overwrite").parquet(os.path.join(out, "owners", f"batch={name}"))  # the state, last
         seen.append(batch_id)
 
-    query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
+    # Spark lists a batch's paths again, by default in a task per path (10,000 tasks at most)
+    before = spark.conf.get(LISTING)
+    spark.conf.set(LISTING, LISTING_TASKS * spark.sparkContext.defaultParallelism)
+    try:
+        query = stream.writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(
+            availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(LISTING, before)
     return len(seen)
 
 
