@@ -102,3 +102,20 @@ def test_files_lie_below_their_wave(spark, tmp_path):
     assert {str(p.parent) for p in found} == {"wave=1", "wave=2", "wave=3"}
     texts = [p.read_text() for p in (tmp_path / "corpus" / "wave=1").glob("*.txt")]
     assert len({json.loads(t)["codehash"] for t in texts}) == len(texts) == 40
+
+
+def test_batch_is_opened_once_and_listed_by_few_tasks(spark, tmp_path, monkeypatch):
+    for k in range(3):
+        _put(str(tmp_path / "in"), f"{k}.json", _contract("f"), f"c{k}")
+    seen, inner, before = [], contracts.written, spark.conf.get(contracts.LISTING)
+
+    def written(df, name):
+        listing = df.sparkSession.conf.get(contracts.LISTING)
+        seen.append((name, int(listing), "_bad" in df._jdf.queryExecution().sparkPlan().toString()))
+        return inner(df, name)
+    monkeypatch.setattr(contracts, "written", written)
+    assert contracts.take_in(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")) == 1
+    assert [s[0] for s in seen if s[2]] == ["files"]
+    assert {s[1] for s in seen} == {contracts.LISTING_TASKS * spark.sparkContext.defaultParallelism}
+    assert spark.conf.get(contracts.LISTING) == before
+    assert len(_functions(contracts.current_functions(spark, str(tmp_path / "out")))) == 3
