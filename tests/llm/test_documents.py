@@ -1,7 +1,9 @@
 """Operators on documents against brute force, on hard small tables."""
 
+import hashlib
 import math
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -148,6 +150,77 @@ def test_window_groups_match_prefixes():
     assert len(set(seen.values())) == len(seen)
 
 
+def _calls(work) -> int:
+    """Function calls, Python's and built-in ones, that the work makes."""
+    made = [0]
+
+    def count(frame, event, arg):
+        made[0] += event in ("call", "c_call")
+    sys.setprofile(count)
+    try:
+        work()
+    finally:
+        sys.setprofile(None)
+    return made[0]
+
+
+def _parts(rnd, n):
+    """Segments of n texts under a few seeds, and their table."""
+    bodies = ["".join(rnd.choice("ab") for _ in range(rnd.randint(50, 58))) + "x" * 50 for _ in range(n)]
+    rows = [(k % n % 5, k % n, rnd.randint(0, 9), len(x), x.encode()) for k, x in enumerate(bodies + bodies[:n // 4])]
+    return pa.table({c: pa.array([r[k] for r in rows], pa.binary() if c == "segment" else pa.int64())
+                     for k, c in enumerate(["seed", "mark", "doc_id", "size", "segment"])})
+
+
+def test_shard_plans_hold_each_windows_smallest_id():
+    table = _parts(random.Random(3), 200)
+    rows = table.to_pylist()
+    low = {}
+    for r in rows:
+        for a in range(r["size"] - 49):
+            key = r["seed"], r["segment"][a:a + 50]
+            low[key] = min(low.get(key, 99), r["doc_id"])
+    # small blocks hold one seed each: ids of other seeds' windows stay out of them
+    for r in suffix_dedup._sharder(50, 10)(table).to_pylist():
+        body = next(x["segment"] for x in rows if (x["seed"], x["mark"]) == (r["seed"], r["mark"]))
+        each = [i for n, i in zip(r["plan"][::2], r["plan"][1::2]) for _ in range(n)]
+        assert each == [low[r["seed"], body[a:a + 50]] for a in range(len(body) - 49)]
+        assert r["low"] == min(each) and all(a != b for a, b in zip(r["plan"][1::2], r["plan"][3::2]))
+
+
+def test_shard_work_is_not_done_per_segment():
+    few, many = (_parts(random.Random(4), n) for n in (200, 4000))
+    shard = suffix_dedup._sharder(50, 10_000_000)
+    shard(few)
+    assert _calls(lambda: shard(many)) < 1.5 * _calls(lambda: shard(few))
+
+
+def test_cutter_removes_covered_bytes():
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("abä") for _ in range(rnd.randint(0, 300))) for _ in range(40)]
+    ids, found = [k * 3 for k in range(40)], []
+    for text in texts:
+        room, lists = len(text.encode()) - 49, []
+        for _ in range(rnd.randint(0, 4) if room > 0 else 0):
+            at = rnd.randrange(room)
+            lists.append([at, *(x for n in (1, rnd.randint(1, 9)) if at + 10 <= room for x in (n, rnd.randint(0, 120)))])
+        found.append([x for x in lists if len(x) > 1])
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(texts), pa.array(found, pa.list_(pa.list_(pa.int64())))],
+                                       names=["doc_id", "text", "found"])
+    got = [r for part in suffix_dedup._cutter(50)([batch.slice(0, 17), batch.slice(17)]) for r in part.to_pylist()]
+    for doc_id, text, lists, r in zip(ids, texts, found, got, strict=True):
+        data, gone = text.encode(), set()
+        for at, *runs in lists:
+            for n, owner in zip(runs[::2], runs[1::2]):
+                gone |= set(range(at, at + n + 49)) if owner < doc_id else set()
+                at += n
+        edges = [k for k in range(len(data) + 1) if (k in gone) != (k - 1 in gone)]
+        kept = bytes(x for k, x in enumerate(data) if k not in gone)
+        assert r == {"doc_id": doc_id, "n_removed": len(gone), "spans": edges,
+                     "kept_sha256": hashlib.sha256(kept).hexdigest()}
+    assert any(r["spans"] for r in got) and any(not r["spans"] for r in got)
+
+
 def test_empty_tables(spark, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
     assert phrase_dedup.repeated_words(empty).count() == 0
