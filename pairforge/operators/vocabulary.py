@@ -4,18 +4,22 @@ A vocabulary is two tables: tokens ``(token, id)`` and ranked merges ``(rank, le
 right, token)``; a token is its bytes in hex.  ``read_vocabulary`` reads both from a
 ``tokenizer.json`` or from ``vocab.json`` and ``merges.txt`` in the byte-level alphabet.
 
-Texts are coded through the table of their distinct pre-tokens (``encode_words``), so a
-word is merged once however often it occurs, and the words' ids are joined back to
-their places.  A word is merged without rounds: every substring that some merge makes is
-an instance ``(rank, start, middle, end)``, found by a join of the word's substrings with
+Texts are coded where they are read: a task takes slices of its rows, merges each distinct
+pre-token of a slice once, all of them together by whole arrays (``merge_words``), and puts
+their ids in their places.  No text, word or place is shuffled; only rows whose key comes
+again are brought together.
+
+A vocabulary of more than ``BROADCAST_TOKENS`` entries is not sent to the tasks.  Texts are then
+coded through the table of their distinct pre-tokens (``encode_words``), and the words' ids are
+joined back to their places.  A word is merged without rounds: every substring that some merge
+makes is an instance ``(rank, start, middle, end)``, found by a join of the word's substrings with
 the merges.  A merge that uses a token always ranks behind the one that makes it, so
 walking the instances once in order of rank, from left to right, and removing the boundary
 in the middle where both parts are symbols of that moment, is byte-pair encoding.
 Instances that don't overlap can't touch each other: a word falls into segments at the
 places that no instance spans, and each segment is walked by itself.
 
-All steps after the substrings keep the words' partitioning.  The vocabulary's tables
-are broadcast up to ``BROADCAST_TOKENS`` entries and shuffled beyond.
+All steps after the substrings keep the words' partitioning.
 """
 
 from __future__ import annotations
@@ -24,10 +28,15 @@ import json
 import os
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from pairforge.functions import arrays as A
 from pairforge.session import written
 
 #: entries of a vocabulary that are sent to every executor (about 100 bytes each)
@@ -165,10 +174,111 @@ def encode_words(words: DataFrame, vocab: Vocabulary, word: str = "pretoken") ->
     return ids.groupBy("word").agg(F.transform(whole, lambda s: s["id"]).alias("ids"))
 
 
+class Ranks(NamedTuple):
+    """Merges as arrays: ``pairs`` are the sorted keys of the pairs of symbols; an entry is a pair's
+    number (high) and one of its ranks (low), and ``made`` the symbol that it makes."""
+    pairs: np.ndarray
+    entries: np.ndarray
+    made: np.ndarray
+
+
+def numbered_symbols(merges) -> tuple[list[str], Ranks]:
+    """Symbols by number (the bytes first) and the merges ``(rank, left, right, token)`` in numbers."""
+    numbers = {f"{b:02X}": b for b in range(256)}
+    rows = [(rank, *(numbers.setdefault(s, len(numbers)) for s in symbols)) for rank, *symbols in merges]
+    rank, left, right, made = np.array(rows, dtype=np.int64).reshape(-1, 4).T
+    pairs, number = np.unique(A.pair_keys(left, right), return_inverse=True)
+    entries = A.pair_keys(number, rank)
+    order = np.argsort(entries)
+    return list(numbers), Ranks(pairs, entries[order], made[order])
+
+
+def merge_words(lengths: np.ndarray, symbols: np.ndarray, ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, symbols) of the words after all merges, one after the other by rank.  All words
+    take a step together, each its own next merge; words without one leave."""
+    if not len(ranks.entries):
+        return lengths, symbols
+    owner, done = A.owners(lengths), np.full(len(lengths), -1, dtype=np.int64)
+    symbols, ended, none = symbols.astype(np.int64), [], np.iinfo(np.int64).max
+    while len(symbols):
+        known, pair = A.found_in(ranks.pairs, A.pair_keys(symbols[:-1], symbols[1:]))
+        at = np.flatnonzero(known & (owner[:-1] == owner[1:]))
+        # a pair's first rank after the word's last merge
+        wanted = A.pair_keys(pair[at], done[owner[at]] + 1)
+        entry = np.minimum(np.searchsorted(ranks.entries, wanted), len(ranks.entries) - 1)
+        later = (ranks.entries[entry] >= wanted) & (ranks.entries[entry] >> 32 == pair[at])
+        at, entry = at[later], entry[later]
+        rank, least = ranks.entries[entry] & 0xFFFFFFFF, np.full(len(lengths), none)
+        np.minimum.at(least, owner[at], rank)
+        now = rank == least[owner[at]]
+        places = A.every_other(at[now])
+        made = ranks.made[entry[now]][np.searchsorted(at[now], places)]
+        symbols, owner = A.merged(symbols, owner, places, made)
+        done = np.where(least < none, least, done)
+        going = least[owner] < none
+        ended.append((owner[~going], symbols[~going]))
+        symbols, owner = symbols[going], owner[going]
+    if not ended:
+        return np.zeros(len(lengths), dtype=np.int64), symbols
+    owner, symbols = (np.concatenate(x) for x in zip(*ended))
+    return np.bincount(owner, minlength=len(lengths)), symbols[np.argsort(owner, kind="stable")]
+
+
+def _small(vocab: Vocabulary) -> bool:
+    return max(vocab.tokens.count(), vocab.merges.count()) <= BROADCAST_TOKENS
+
+
+def _coded(df: DataFrame, key: str, pretokens: Column, vocab: Vocabulary, by_place: bool = False) -> DataFrame:
+    """``(key, ids)`` of every row by itself; ``by_place``: an array of ids for each pre-token."""
+    names, ranks = numbered_symbols([tuple(r) for r in vocab.merges.select("rank", "left", "right", "token").collect()])
+    known: dict[str, list] = {}
+    for token, number in vocab.tokens.select("token", "id").collect():
+        known.setdefault(token, []).append(vocab.unk_id if number is None else number)
+    symbol_ids = [sorted(known.get(s, [vocab.unk_id]), key=lambda x: (x is None, x)) for s in names]
+
+    def code(batches):
+        ids_of = pa.array(symbol_ids, pa.list_(pa.int32()))
+        for part in A.sliced(batches):
+            lists = part.column(1)
+            rows = A.bounds_of(np.diff(np.asarray(lists.offsets)))
+            places = pc.fill_null(lists.flatten(), "").dictionary_encode()
+            lengths, symbols = merge_words(*A.byte_strings(places.dictionary), ranks)
+            symbols = ids_of.take(pa.array(symbols))
+            bounds = np.asarray(symbols.offsets)[A.bounds_of(lengths)]
+            words = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), symbols.flatten()).take(places.indices)
+            if by_place:
+                ids = pa.ListArray.from_arrays(pa.array(rows, pa.int32()), words)
+            else:
+                bounds = np.asarray(words.offsets)[rows]
+                ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words.flatten())
+            yield pa.RecordBatch.from_arrays([part.column(0), ids], names=[key, "ids"])
+    kind = T.ArrayType(T.IntegerType())
+    schema = T.StructType([df.schema[key], T.StructField("ids", T.ArrayType(kind) if by_place else kind)])
+    words = F.coalesce(pretokens, F.array().cast("array<string>"))
+    return df.select(F.col(key), words.alias("words")).mapInArrow(code, schema)
+
+
 def encode(df: DataFrame, key: str, pretokens: Column, vocab: Vocabulary) -> DataFrame:
-    """``(key, ids array<int>)`` of every row; ``pretokens`` is the array of its pre-tokens
-    and ``key`` is unique.  No pre-tokens, or none at all (null): no ids.  The dictionary is
-    written once; places are joined with it."""
+    """``(key, ids array<int>)`` of every key; ``pretokens`` is the array of a row's pre-tokens.
+    No pre-tokens, or none at all (null): no ids.  Rows of one key (null too) become one row, place
+    by place.  The keys alone are counted first: rows of keys that come once stay where they are."""
+    if not _small(vocab):
+        return _encode_by_table(df, key, pretokens, vocab)
+    again = df.groupBy(F.col(key).alias("_again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_again")
+    again = written(again, "repeated-keys")
+    if again.isEmpty():
+        return _coded(df, key, pretokens, vocab)
+    same = df[key].eqNullSafe(again["_again"])
+    once = _coded(df.join(again, same, "left_anti"), key, pretokens, vocab)
+    rows = _coded(df.join(again, same, "left_semi"), key, pretokens, vocab, by_place=True)
+    places = F.transform("ids", lambda ids, pos: F.struct(pos.alias("pos"), ids.alias("ids")))
+    parts = F.array_sort(F.flatten(F.collect_list(places)))
+    return once.unionByName(rows.groupBy(key).agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids")))
+
+
+def _encode_by_table(df: DataFrame, key: str, pretokens: Column, vocab: Vocabulary) -> DataFrame:
+    """``encode`` with a vocabulary of any size.  The dictionary is written once; places are joined
+    with it."""
     places = df.select(F.col(key), F.posexplode_outer(pretokens).alias("pos", "pretoken"))
     words = places.where("pretoken <> ''").select("pretoken").distinct()
     coded = written(encode_words(words, vocab), "word-ids")

@@ -2,9 +2,11 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from pairforge.functions import arrays as A
 from pairforge.operators import bpe, vocabulary as V
 from pairforge.operators import features as Z
 
@@ -80,3 +82,51 @@ def test_word_lookup_with_unknown(spark):
     assert {r.word: r.id for r in vocab.collect()} == {"a": 5, "b": 6}
     got = {r.k: r.ids for r in V.lookup_ids(df, ["k"], words, vocab, Z.UNK).collect()}
     assert got == {1: [6, 5, 6, 1], 2: [5, 1], 3: [], 4: []}
+
+
+def _plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_are_merged_together_as_one_by_one():
+    """By whole arrays as pair by pair, with runs of one symbol, ranks out of order and a merge that comes twice."""
+    rnd = random.Random(7)
+    for _ in range(300):
+        symbols, merges = ["61", "62", "63"], []
+        for _ in range(rnd.randint(0, 12)):
+            merges.append((rnd.choice(symbols), rnd.choice(symbols)))
+            symbols.append("".join(merges[-1]))
+        if rnd.random() < 0.3:
+            rnd.shuffle(merges)
+        merges += rnd.sample(merges, len(merges) // 3)
+        names, ranks = V.numbered_symbols([(k, a, b, a + b) for k, (a, b) in enumerate(merges)])
+        words = ["".join(rnd.choice("abcc") for _ in range(rnd.randint(0, 25))) for _ in range(8)] + ["a" * 9, "", "z"]
+        lengths, found = V.merge_words(*A.byte_strings(pa.array(words)), ranks)
+        want = [bpe.merge_symbols([f"{b:02X}" for b in w.encode()], bpe._ranks(merges)) for w in words]
+        assert [names[s] for s in found] == [s for w in want for s in w] and list(lengths) == [len(w) for w in want]
+
+
+def test_encoding_shuffles_no_texts(spark):
+    """Places, words and texts went through two shuffles: several times the input on disk."""
+    vocab = _vocabulary(spark, [("61", "62"), ("6162", "63")])
+    coded = _encoded(spark, TEXTS, vocab)
+    assert "hashpartitioning" not in _plan(coded) and "Generate" not in _plan(coded)
+    assert coded.count() == len(TEXTS)
+
+
+def test_rows_of_one_key_become_one_row(spark, monkeypatch):
+    """As a vocabulary that is joined gives them: place by place, in order of their ids; null is a key."""
+    vocab = _vocabulary(spark, [("61", "62"), ("6162", "63"), ("20", "61")])
+    rows = [(1, "abc ab"), (1, "ab"), (1, "é abc z"), (2, "abc"), (None, "a b"), (None, "b a c"), (3, None), (3, ""), (4, None)]
+    df = spark.createDataFrame(rows, "k int, text string").repartition(3)
+    got = sorted(map(str, V.encode(df, "k", bpe.pretokens(F.col("text")), vocab).collect()))
+    monkeypatch.setattr(V, "BROADCAST_TOKENS", 10)
+    assert len(got) == 5 and got == sorted(map(str, V.encode(df, "k", bpe.pretokens(F.col("text")), vocab).collect()))
+
+
+def test_unknown_symbols_without_an_unknown_id(spark):
+    """A symbol without an id has none, and one with two ids has both."""
+    tokens = spark.createDataFrame([("61", 7), ("6162", 9), ("6162", 3), ("63", None)], "token string, id int")
+    for unk, want in ((None, [3, 9, None, 7, None]), (1, [3, 9, 1, 7, 1])):
+        vocab = V.Vocabulary(tokens, bpe.merges_frame(spark, [("61", "62")]), unk)
+        assert [r.ids for r in _encoded(spark, ["abcax"], vocab).collect()] == [want]
