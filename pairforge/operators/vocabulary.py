@@ -288,14 +288,40 @@ def _encode_by_table(df: DataFrame, key: str, pretokens: Column, vocab: Vocabula
     return joined.groupBy(key).agg(F.flatten(F.transform(parts, lambda p: p["ids"])).alias("ids"))
 
 
-def decode(df: DataFrame, key: str, ids: str, vocab: Vocabulary) -> DataFrame:
+def decode(df: DataFrame, key: str, ids: str, vocab: Vocabulary, one_row_each: bool = False) -> DataFrame:
     """``(key, text)``: the tokens' bytes in order, as UTF-8 (partial characters become U+FFFD);
-    ids that the vocabulary doesn't have are left out."""
+    ids that the vocabulary doesn't have are left out.  Rows of one key become one row, place by
+    place.  ``one_row_each``: no key comes twice (as from ``encode``), so rows stay where they are."""
+    text = F.make_valid_utf8(F.unhex("hex").cast("string")).alias("text")
+    if one_row_each and _small(vocab):
+        return _named(df, key, ids, vocab).select(key, text)
     names = _beside(vocab.tokens, vocab.tokens.count())
     rows = df.select(key, F.posexplode_outer(ids).alias("pos", "id")).join(names, "id", "left")
     parts = F.array_sort(F.collect_list(F.when(F.col("token").isNotNull(), F.struct("pos", "token"))))
-    whole = F.array_join(F.transform(parts, lambda p: p["token"]), "")
-    return rows.groupBy(key).agg(F.make_valid_utf8(F.unhex(whole).cast("string")).alias("text"))
+    return rows.groupBy(key).agg(F.array_join(F.transform(parts, lambda p: p["token"]), "").alias("hex")).select(key, text)
+
+
+def _named(df: DataFrame, key: str, ids: str, vocab: Vocabulary) -> DataFrame:
+    """``(key, hex)``: the tokens of every row's ids, one after the other."""
+    tokens: dict[int, list[str]] = {}
+    for token, number in vocab.tokens.where("token is not null and id is not null").select("token", "id").collect():
+        tokens.setdefault(number, []).append(token)
+    numbers = sorted(tokens)
+    names = ["".join(sorted(tokens[number])) for number in numbers] + [""]
+
+    def name(batches):
+        known = np.array(numbers, dtype=np.int64)
+        for part in A.sliced(batches):
+            lists = part.column(1)
+            rows = A.bounds_of(np.diff(np.asarray(lists.offsets)))
+            wanted = np.asarray(pc.fill_null(lists.flatten().cast(pa.int64()), -1))
+            there, at = A.found_in(known, wanted) if len(known) else (np.zeros(len(wanted), dtype=bool), wanted)
+            lengths, data = A.byte_strings(pa.array(names).take(pa.array(np.where(there, at, len(known)))))
+            bounds = A.bounds_of(lengths)[rows].astype(np.int32)
+            hexed = pa.StringArray.from_buffers(len(part), pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data)))
+            yield pa.RecordBatch.from_arrays([part.column(0), hexed], names=[key, "hex"])
+    schema = T.StructType([df.schema[key], T.StructField("hex", T.StringType())])
+    return df.select(key, F.coalesce(ids, F.array().cast(df.schema[ids].dataType)).alias("ids")).mapInArrow(name, schema)
 
 
 def frequent_words(df: DataFrame, words: Column, min_frequency: int = 2, first_id: int = 5) -> DataFrame:

@@ -94,7 +94,7 @@ def bpe_decode(spark, sf_dir):
     """Z1 there and back: the documents encoded with the vocabulary read from its files, then
     decoded; the texts are those that went in."""
     vocab = trained_vocabulary(spark, sf_dir)
-    back = V.decode(_encoded(spark, sf_dir, vocab), "doc_id", "ids", vocab)
+    back = V.decode(_encoded(spark, sf_dir, vocab), "doc_id", "ids", vocab, one_row_each=True)
     return back.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.md5("text").alias("text_md5"))
 
 

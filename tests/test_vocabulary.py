@@ -130,3 +130,15 @@ def test_unknown_symbols_without_an_unknown_id(spark):
     for unk, want in ((None, [3, 9, None, 7, None]), (1, [3, 9, 1, 7, 1])):
         vocab = V.Vocabulary(tokens, bpe.merges_frame(spark, [("61", "62")]), unk)
         assert [r.ids for r in _encoded(spark, ["abcax"], vocab).collect()] == [want]
+
+
+def test_decoding_rows_by_themselves_gives_what_joining_tokens_does(spark):
+    """Through a shuffle of every token, the query's disk was several times its input."""
+    tokens = spark.createDataFrame([("61", 7), ("C3", 9), ("A9", 3), ("62", 3), ("[UNK]", 1), (None, 8), ("63", None)], "token string, id int")
+    vocab = V.Vocabulary(tokens, bpe.merges_frame(spark, [("61", "62")]), 1)
+    rows = [(1, [7, 9, 3, 7]), (2, []), (3, None), (4, [5, None, 7, -1, 8]), (None, [9, 7]), (5, [7, 1])]
+    df = spark.createDataFrame(rows, "k int, ids array<int>").repartition(3)
+    alone, joined = V.decode(df, "k", "ids", vocab, one_row_each=True), V.decode(df, "k", "ids", vocab)
+    assert "hashpartitioning" in _plan(joined) and "hashpartitioning" not in _plan(alone) and "Generate" not in _plan(alone)
+    assert sorted(map(str, alone.collect())) == sorted(map(str, joined.collect()))
+    assert alone.schema == joined.schema
