@@ -1,3 +1,6 @@
+import collections
+import random
+
 from pyspark.sql import functions as F
 
 from pairforge.operators import bpe
@@ -71,3 +74,48 @@ def test_a_round_keeps_no_earlier_plan(spark, monkeypatch):
     bpe.train_bpe(words, 261 + 24, 2, checkpoint_every=100, max_per_round=2)
     words.unpersist()
     assert len(plans) > 6 and max(plans[2:]) < 1.1 * min(plans[2:])
+
+
+def _brute(words, n_merges, min_frequency=2):
+    """One merge at a time, all pairs counted anew."""
+    words, merges = [([f"{b:02X}" for b in w.encode()], n) for w, n in words], []
+    while len(merges) < n_merges:
+        counts = collections.Counter()
+        for symbols, n in words:
+            for pair in zip(symbols, symbols[1:]):
+                counts[pair] += n
+        best = min(counts.items(), key=lambda x: (-x[1], " ".join(x[0])), default=(None, 0))
+        if best[1] < min_frequency:
+            break
+        merges.append(best[0])
+        words = [(bpe.merge_symbols(symbols, bpe._ranks(merges[-1:])), n) for symbols, n in words]
+    return merges
+
+
+def test_training_equals_one_merge_at_a_time(spark):
+    """Runs of a symbol, symbols made from other parts once more, words with one byte, repeated rows."""
+    rnd = random.Random(3)
+    for k in range(4):
+        rows = [("".join(rnd.choice("aab" if k % 2 else "abcdé ") for _ in range(rnd.randint(1, 12))), rnd.randint(1, 40)) for _ in range(60)]
+        words = spark.createDataFrame(rows, "pretoken string, n bigint")
+        got = bpe.train_bpe(words, 261 + 14, 2, checkpoint_every=3)
+        assert got == _brute(rows, 14) and got
+
+
+def test_words_are_kept_as_numbers(spark, monkeypatch):
+    """Each round made strings of all words' symbols and merged them word by word."""
+    seen, inner = [], bpe.written
+
+    def written(df, name):
+        seen.append((name, df.schema.simpleString(), df._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(seq")))
+        return inner(df, name)
+    monkeypatch.setattr(bpe, "written", written)
+    bpe.train_bpe(_words(spark), 261 + 6, 2, checkpoint_every=1)
+    kept = [s for s in seen if s[0] == "bpe-words"]
+    assert len(kept) > 1 and {s[1:] for s in kept} == {("struct<symbols:binary,cnt:bigint>", 0)}
+
+
+def test_a_made_symbol_is_merged_after_it_was_made():
+    numbers = {"61": 0, "62": 1, "63": 2, "6162": 3}
+    groups = bpe._together([("61", "62"), ("63", "63"), ("6162", "63")], numbers)
+    assert [g.tolist() for g in groups] == [[[0, 1, 3], [2, 2, 4]], [[3, 2, 5]]] and numbers["6363"] == 4
