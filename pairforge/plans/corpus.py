@@ -21,6 +21,8 @@ from pairforge.streaming import contracts
 #: pairs of letters in the long string literal
 LONG_PAIRS = 3000
 REPLACED, BROKEN, EMPTY = ("0", "1", "2"), "7", "8"  # last digit of the codehash
+#: on a local disk Hadoop would write a checksum file beside each file and start a process (chmod) for both
+PLAIN_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 _LONG = ("contract D { function data(uint a) public returns (bytes memory) { x = \"" + "7{" * LONG_PAIRS
          + "\"; y = x; z = y; return z; } }")
 
@@ -34,16 +36,16 @@ def write_corpus(spark, sf_dir, folder: str) -> DataFrame:
     def contract(codes, wave):
         source = F.struct(F.transform(F.array(*codes), lambda c: F.struct(c.alias("Code"))).alias("SourceCodes"))
         return F.to_json(F.struct("codehash", F.lit("0x6080").alias("bytecode"), source.alias("source"))), wave
-    rows = None
-    for wanted, (value, wave) in ((F.lit(True), contract([F.col("text")], "1")),
-                                  (last.isin(*REPLACED), contract([F.replace("text", F.lit("total"), F.lit("supply")), F.lit(_LONG)], "2")),
-                                  (last == BROKEN, (F.concat(F.lit("{ broken "), "codehash"), "3")),
-                                  (last == EMPTY, (F.to_json(F.struct(F.concat("codehash", F.lit("x")).alias("codehash"))), "3"))):
-        part = src.where(wanted).select(F.lit(wave).alias("wave"), value.alias("value"))
-        rows = part if rows is None else rows.unionByName(part)
+    files = ((F.lit(True), contract([F.col("text")], "1")),
+             (last.isin(*REPLACED), contract([F.replace("text", F.lit("total"), F.lit("supply")), F.lit(_LONG)], "2")),
+             (last == BROKEN, (F.concat(F.lit("{ broken "), "codehash"), "3")),
+             (last == EMPTY, (F.to_json(F.struct(F.concat("codehash", F.lit("x")).alias("codehash"))), "3")))
+    # a contract's files are made together, so that contracts are derived once and tasks have like shares
+    made = F.array(*(F.when(wanted, F.struct(F.lit(wave).alias("wave"), value.alias("value"))) for wanted, (value, wave) in files))
+    rows = src.select(F.explode(F.filter(made, lambda f: f.isNotNull())).alias("f")).select("f.wave", "f.value")
     # tasks move their own files into place; the folder is read only after the whole job succeeded
     (rows.write.option("maxRecordsPerFile", 1).option("mapreduce.fileoutputcommitter.algorithm.version", 2)
-     .partitionBy("wave").text(folder))
+     .options(**PLAIN_FILES).partitionBy("wave").text(folder))
     return rows.select("wave")
 
 

@@ -20,13 +20,10 @@ from pyspark.sql import functions as F
 
 from pairforge.operators.extract import extract_functions, last_definition
 from pairforge.operators.index import dense_index
-from pairforge.sources.corpus import (CONTRACT_SCHEMA, READ_OPTIONS, file_status, last_file, read_or_empty,
-                                      source_text)
+from pairforge.sources.corpus import (CONTRACT_SCHEMA, LISTING, LISTING_TASKS, READ_OPTIONS, file_status, last_file,
+                                      read_or_empty, source_text)
 from pairforge.session import written
 
-LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
-#: tasks that list a batch's paths, for each slot
-LISTING_TASKS = 8
 OWNERS = "codehash string, file_path string, n bigint, batch string"
 STATUSES = "file_path string, status string, batch string"
 FUNCTIONS = ("id bigint, codehash string, file_path string, pos int, name string, signature string, selector string, "

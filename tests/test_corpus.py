@@ -3,6 +3,9 @@
 import json
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from pairforge.operators.extract import extract_functions, last_definition
 from pairforge.sources import corpus
 from pairforge.streaming import contracts
@@ -119,3 +122,39 @@ def test_batch_is_opened_once_and_listed_by_few_tasks(spark, tmp_path, monkeypat
     assert {s[1] for s in seen} == {contracts.LISTING_TASKS * spark.sparkContext.defaultParallelism}
     assert spark.conf.get(contracts.LISTING) == before
     assert len(_functions(contracts.current_functions(spark, str(tmp_path / "out")))) == 3
+
+
+def test_manifest_batch_is_opened_once_and_read_by_few_tasks(spark, tmp_path, monkeypatch):
+    """Listing took a task per path, reading a task per few files, and each file was parsed twice."""
+    root, out, seen, inner = str(tmp_path / "files"), str(tmp_path / "out"), [], corpus.written
+    for k in range(200):
+        _put(root, f"f{k}.json", _contract(f"g{k}"), f"0x{k}")
+    _put(root, "bad.json", "not json", None)
+
+    def written(df, name):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        seen.append((name, "_bad" in plan, df.rdd.getNumPartitions(), int(spark.conf.get(corpus.LISTING))))
+        return inner(df, name)
+    monkeypatch.setattr(corpus, "written", written)
+    before, slots = [spark.conf.get(k) for k in (corpus.LISTING, corpus.OPEN_COST)], spark.sparkContext.defaultParallelism
+    assert corpus.read_new_files(spark, root, out) == 1
+    assert [s[0] for s in seen if s[1]] == ["files"]
+    assert max(s[2] for s in seen) <= 2 * slots and {s[3] for s in seen} == {corpus.LISTING_TASKS * slots}
+    assert [spark.conf.get(k) for k in (corpus.LISTING, corpus.OPEN_COST)] == before
+    assert spark.read.parquet(f"{out}/sources").count() == 200 and spark.read.parquet(f"{out}/done").count() == 201
+
+
+def test_settings_come_back_after_a_failure(spark, tmp_path):
+    before = spark.conf.get(corpus.OPEN_COST)
+    with pytest.raises(AnalysisException):
+        corpus.read_new_files(spark, str(tmp_path / "nowhere"), str(tmp_path / "out"))
+    assert spark.conf.get(corpus.OPEN_COST) == before
+
+
+def test_contract_files_have_no_checksum_files(spark, tmp_path):
+    """Each file had one beside it, and a process was started for both."""
+    from pairforge.plans.corpus import write_corpus
+    rows = [(c, t, f"text {c} {t}") for c in range(5) for t in range(2)]
+    spark.createDataFrame(rows, "conv_id bigint, turn int, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    write_corpus(spark, str(tmp_path), str(tmp_path / "corpus"))
+    assert not list((tmp_path / "corpus").rglob(".*.crc")) and len(list((tmp_path / "corpus").rglob("part-*.txt"))) >= 5
